@@ -61,7 +61,8 @@ def main() -> None:
     folder = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     chosen = sys.argv[2:] or list(queries())
     spark = build_session(
-        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g"
+        "oracle", "local[8]", spark__sql__shuffle__partitions="8", spark__ui__enabled="false", spark__driver__memory="8g",
+        spark__ui__showConsoleProgress="false"
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, sqls, failed = connect(folder), oracle_sql(), []

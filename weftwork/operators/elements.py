@@ -6,6 +6,7 @@ scan. `fan_out` joins records that carry their values in a map with a table of
 compiled mappings, for streams and for mapping sets too large to write out.
 """
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -14,9 +15,10 @@ from pyspark.sql import functions as F
 from weftwork.constants import ENTITY, LINK
 from weftwork.functions.direction import direction_code, is_reversed
 from weftwork.functions.identity import (
+    all_have_text,
     as_column,
-    composite_id,
     composite_id_from,
+    joined_id,
     row_hash,
     row_key,
 )
@@ -30,17 +32,9 @@ from weftwork.plans.model import EntityType, LinkType, Mapping, Model
 from weftwork.plans.schemas import ELEMENT_COLUMNS, ELEMENT_FIELDS
 
 
-def _element(columns: dict[str, Column]) -> Column:
-    """Element struct with every field in order; absent fields are null."""
-    return F.struct(
-        *[columns.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in ELEMENT_FIELDS]
-    )
-
-
-def _complete(element: Column) -> Column:
-    """An element needs its id, and a link needs both ends."""
-    has_ends = element["from_entity_id"].isNotNull() & element["to_entity_id"].isNotNull()
-    return element["element_id"].isNotNull() & ((element["kind"] == ENTITY) | has_ends)
+def _element(columns: dict[str, Column]) -> list[Column]:
+    """Every element column in order; absent ones are null."""
+    return [columns.get(name, F.lit(None)).cast(type_).alias(name) for name, type_ in ELEMENT_FIELDS]
 
 
 def _reader(frame: DataFrame):
@@ -58,23 +52,32 @@ def _body(definition: EntityType | LinkType, mapping: Mapping, read) -> Column:
     return property_body(list(seen.values()))
 
 
-def _static_element(model: Model, mapping: Mapping, read, res_id, owner) -> Column | None:
+@dataclass(frozen=True)
+class _Plan:
+    """A mapping turned into expressions. Ids come first: the other columns refer to them by name."""
+
+    complete: Column  # the record has every id part and, for a link, both ends
+    ids: dict[str, Column]
+    columns: dict[str, Column]
+
+
+def _plan(model: Model, mapping: Mapping, read, res_id, owner, tag: int) -> _Plan | None:
     definition = model.find(mapping.kind, mapping.type_id)
     if definition is None:
         return None
     is_link = mapping.kind == LINK
     if is_link and not (definition.source_entity and definition.target_entity):
         return None
-    root = definition.uuid if is_link else definition.root
-    element_id = composite_id(root, [read(c) for c in mapping.id_columns])
-    key = row_key(res_id, element_id)
+    id_parts = [read(c) for c in mapping.id_columns]
+    complete = all_have_text(id_parts)
+    ids = {f"_id{tag}": joined_id(definition.uuid if is_link else definition.root, id_parts)}
     columns = {
         "model": F.lit(model.model_id),
         "kind": F.lit(mapping.kind),
         "type_id": F.lit(definition.uuid),
-        "row_key": key,
-        "row_hash": row_hash(key),
-        "element_id": element_id,
+        "row_key": F.col(f"_key{tag}"),
+        "row_hash": row_hash(F.col(f"_key{tag}")),
+        "element_id": F.col(f"_id{tag}"),
         "res_id": as_column(res_id),
         "owner": F.coalesce(as_column(owner).cast("string"), F.lit("")),
         "body": _body(definition, mapping, read),
@@ -82,11 +85,19 @@ def _static_element(model: Model, mapping: Mapping, read, res_id, owner) -> Colu
     if is_link:
         chosen = _column_directivity(mapping, read)
         swap = is_reversed(definition.directed, mapping.directivity, chosen)
-        source = composite_id(definition.source_root, [read(c) for c in mapping.source_columns])
-        target = composite_id(definition.target_root, [read(c) for c in mapping.target_columns])
-        columns |= {"direction_type": direction_code(definition.directed, mapping.directivity, chosen)}
-        columns |= _ends(swap, F.lit(definition.source_entity), source, F.lit(definition.target_entity), target)
-    return _element(columns)
+        source, target = [read(c) for c in mapping.source_columns], [read(c) for c in mapping.target_columns]
+        complete = complete & all_have_text(source) & all_have_text(target)
+        ids[f"_source{tag}"] = joined_id(definition.source_root, source)
+        ids[f"_target{tag}"] = joined_id(definition.target_root, target)
+        columns["direction_type"] = direction_code(definition.directed, mapping.directivity, chosen)
+        columns |= _ends(
+            swap,
+            F.lit(definition.source_entity),
+            F.col(f"_source{tag}"),
+            F.lit(definition.target_entity),
+            F.col(f"_target{tag}"),
+        )
+    return _Plan(complete, ids, columns)
 
 
 def _column_directivity(mapping: Mapping, read) -> Column:
@@ -123,14 +134,20 @@ def build_elements(
     read = _reader(frame)
     res_id = read(res_id) if isinstance(res_id, str) else res_id
     owner = read(owner) if isinstance(owner, str) else owner
-    built = [_static_element(model, m, read, res_id, owner) for m in mappings]
-    elements = [e for e in built if e is not None]
-    if not elements:
-        return frame.select(*keep, _element({}).alias("e")).select(*keep, "e.*").filter(F.lit(False))
-    if len(elements) == 1:
-        rows = frame.select(*keep, elements[0].alias("e"))
-        return rows.filter(_complete(F.col("e"))).select(*keep, "e.*")
-    return frame.select(*keep, F.inline(F.filter(F.array(*elements), _complete)))
+    built = [_plan(model, m, read, res_id, owner, i) for i, m in enumerate(mappings)]
+    plans = {i: p for i, p in enumerate(built) if p is not None}
+    if not plans:
+        return frame.select(*keep, *_element({})).filter(F.lit(False))
+    if len(plans) == 1:
+        frame = frame.filter(next(iter(plans.values())).complete)
+    ids = {name: column for p in plans.values() for name, column in p.ids.items()}
+    keys = {f"_key{i}": row_key(res_id, F.col(f"_id{i}")) for i in plans}
+    staged = frame.withColumns(ids).withColumns(keys)
+    if len(plans) == 1:
+        return staged.select(*keep, *_element(next(iter(plans.values())).columns))
+    # one scan for all mappings; what a record cannot give is dropped right after
+    rows = F.array(*[F.struct(p.complete.alias("_complete"), *_element(p.columns)) for p in plans.values()])
+    return staged.select(*keep, rows.alias("_rows")).select(*keep, F.inline("_rows")).filter("_complete").drop("_complete")
 
 
 def fan_out(
@@ -153,33 +170,45 @@ def fan_out(
     )
     joined = sized_join(record, compiled_mappings, ["data_schema_id"])
     v = F.col("_v")
-    element_id = composite_id_from(F.col("root"), F.col("id_columns"), v)
-    resource = F.try_element_at(v, F.lit(res_id))
-    key = row_key(resource, element_id)
-    chosen = F.try_element_at("direction_values", F.try_element_at(v, F.col("direction_column")))
     is_link = F.col("kind") == LINK
-    swap = is_reversed(F.col("directed"), F.col("directivity"), chosen)
+    chosen = F.try_element_at("direction_values", F.try_element_at(v, F.col("direction_column")))
+    carried = [f"record_{c}" for c in keep]
+    identified = joined.select(
+        *carried,
+        "_v",
+        "model",
+        "kind",
+        "type_id",
+        "fields",
+        "source_entity",
+        "target_entity",
+        composite_id_from(F.col("root"), F.col("id_columns"), v).alias("_id"),
+        F.when(is_link, composite_id_from(F.col("source_root"), F.col("source_columns"), v)).alias("_source"),
+        F.when(is_link, composite_id_from(F.col("target_root"), F.col("target_columns"), v)).alias("_target"),
+        is_reversed(F.col("directed"), F.col("directivity"), chosen).alias("_swap"),
+        F.when(is_link, direction_code(F.col("directed"), F.col("directivity"), chosen)).alias("_code"),
+        F.try_element_at(v, F.lit(res_id)).alias("_resource"),
+        F.coalesce(F.try_element_at(v, F.lit(owner)), F.lit("")).alias("_owner"),
+    )
+    has_ends = F.col("_source").isNotNull() & F.col("_target").isNotNull()
+    complete = identified.filter(F.col("_id").isNotNull() & (~is_link | has_ends))
+    keyed = complete.withColumn("_key", row_key(F.col("_resource"), F.col("_id")))
     ends = _ends(
-        swap,
-        F.col("source_entity"),
-        composite_id_from(F.col("source_root"), F.col("source_columns"), v),
-        F.col("target_entity"),
-        composite_id_from(F.col("target_root"), F.col("target_columns"), v),
+        F.col("_swap"), F.col("source_entity"), F.col("_source"), F.col("target_entity"), F.col("_target")
     )
     columns = {
         "model": F.col("model"),
         "kind": F.col("kind"),
         "type_id": F.col("type_id"),
-        "row_key": key,
-        "row_hash": row_hash(key),
-        "element_id": element_id,
-        "direction_type": F.when(is_link, direction_code(F.col("directed"), F.col("directivity"), chosen)),
-        "res_id": resource,
-        "owner": F.coalesce(F.try_element_at(v, F.lit(owner)), F.lit("")),
+        "row_key": F.col("_key"),
+        "row_hash": row_hash(F.col("_key")),
+        "element_id": F.col("_id"),
+        "direction_type": F.col("_code"),
+        "res_id": F.col("_resource"),
+        "owner": F.col("_owner"),
         "body": property_body_from(F.col("fields"), v),
-    } | {name: F.when(is_link, end) for name, end in ends.items()}
-    carried = [f"record_{c}" for c in keep]
-    return joined.select(*carried, F.inline(F.filter(F.array(_element(columns)), _complete)))
+    } | ends
+    return keyed.select(*carried, *_element(columns))
 
 
 def entities(elements: DataFrame) -> DataFrame:
