@@ -1,7 +1,5 @@
 """Property bodies: ``map<property uuid, struct<value, type>>``."""
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,18 +19,13 @@ def property_body(typed_values: list[tuple[str, Column, Column]]) -> Column:
     """Body from ``(uuid, value, type)`` triples known when the plan is built; null values are left out."""
     if not typed_values:
         return F.create_map().cast(BODY_TYPE)
-    named = [
-        (F.lit(uuid), value, F.struct(value.cast("string").alias("value"), type_.alias("type")))
-        for uuid, value, type_ in typed_values
-    ]
-    full = F.create_map(*[c for key, _, cell in named for c in (key, cell)])
-    present = F.array_compact(
-        F.array(
-            *[F.when(value.isNotNull(), F.struct(key.alias("key"), cell.alias("value"))) for key, value, cell in named]
-        )
-    )
-    complete = reduce(lambda a, b: a & b, [value.isNotNull() for _, value, _ in named])
-    return F.when(complete, full.cast(BODY_TYPE)).otherwise(F.map_from_entries(present).cast(BODY_TYPE))
+    nothing = F.create_map().cast(BODY_TYPE)
+    cells = []
+    for uuid, value, type_ in typed_values:
+        cell = F.create_map(F.lit(uuid), F.struct(value.cast("string").alias("value"), type_.alias("type")))
+        cells.append(F.when(value.isNotNull(), cell.cast(BODY_TYPE)).otherwise(nothing))
+    # no lambda here: a higher-order function would end whole-stage code generation
+    return cells[0] if len(cells) == 1 else F.map_concat(*cells)
 
 
 def property_body_from(properties: Column, values: Column) -> Column:

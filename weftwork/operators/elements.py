@@ -124,12 +124,17 @@ def build_elements(
     res_id="resId",
     owner="owner",
     keep: tuple[str, ...] = (),
+    single_pass: bool = False,
 ) -> DataFrame:
-    """Elements of all mappings from one scan of ``frame``.
+    """Elements of all mappings of ``frame``.
 
     ``res_id`` and ``owner`` are column names, or columns such as a literal
     resource id. ``keep`` names record columns to carry along. Records that
     lack an id part or a link end give nothing.
+
+    Each mapping is a select of its own that reads only the columns it needs,
+    which costs less than taking rows apart. Where ``frame`` is not a scan but
+    the outcome of heavy work, ``single_pass`` goes through it once.
     """
     read = _reader(frame)
     res_id = read(res_id) if isinstance(res_id, str) else res_id
@@ -138,18 +143,20 @@ def build_elements(
     plans = {i: p for i, p in enumerate(built) if p is not None}
     if not plans:
         return frame.select(*keep, *_element({})).filter(F.lit(False))
-    if len(plans) == 1:
-        frame = frame.filter(next(iter(plans.values())).complete)
-    ids = {name: column for p in plans.values() for name, column in p.ids.items()}
-    keys = {f"_key{i}": row_key(res_id, F.col(f"_id{i}")) for i in plans}
-    staged = frame.withColumns(ids).withColumns(keys)
-    if len(plans) == 1:
-        return staged.select(*keep, *_element(next(iter(plans.values())).columns))
-    # one scan for all mappings; what a record cannot give is dropped right after
+    if not single_pass or len(plans) == 1:
+        return union_all([_own_pass(frame, i, plan, res_id, keep) for i, plan in plans.items()])
+    staged = frame.withColumns({name: column for p in plans.values() for name, column in p.ids.items()})
+    staged = staged.withColumns({f"_key{i}": row_key(res_id, F.col(f"_id{i}")) for i in plans})
     rows = F.array(*[F.struct(p.complete.alias("_complete"), *_element(p.columns)) for p in plans.values()])
     return staged.select(*keep, rows.alias("_rows")).select(*keep, F.inline("_rows")).filter("_complete").drop("_complete")
 
 
+def _own_pass(frame: DataFrame, tag: int, plan: _Plan, res_id, keep: tuple[str, ...]) -> DataFrame:
+    identified = frame.filter(plan.complete).withColumns(plan.ids)
+    keyed = identified.withColumn(f"_key{tag}", row_key(res_id, F.col(f"_id{tag}")))
+    return keyed.select(*keep, *_element(plan.columns))
+
+
 def fan_out(
     frame: DataFrame,
     compiled_mappings: DataFrame,
