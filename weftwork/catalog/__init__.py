@@ -32,6 +32,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load() -> dict[str, Query]:
-    from weftwork.catalog import elements  # noqa: F401
+    from weftwork.catalog import configuration, cooccurrence, elements, expressions, outputs, selections  # noqa: F401
 
     return REGISTRY

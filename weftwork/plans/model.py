@@ -102,8 +102,8 @@ def definitions(models: DataFrame) -> DataFrame:
     """One row per entity type and link type of each model record."""
 
     def properties(column: Column) -> Column:
-        return F.transform(
-            F.coalesce(column, F.array().cast(DEFINITION_PROPERTIES)),
+        named = F.transform(
+            column,
             lambda p: F.struct(
                 p["uuid"].alias("uuid"),
                 p["name"].alias("name"),
@@ -111,6 +111,7 @@ def definitions(models: DataFrame) -> DataFrame:
                 F.coalesce(p["analyse"], F.lit(False)).alias("analyse"),
             ),
         ).cast(DEFINITION_PROPERTIES)
+        return F.coalesce(named, F.array().cast(DEFINITION_PROPERTIES))
 
     nothing = F.lit(None).cast("string")
     entities = models.select(F.col("modelId").alias("model"), F.explode("entities").alias("e")).select(
