@@ -32,6 +32,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load() -> dict[str, Query]:
-    from weftwork.catalog import configuration, cooccurrence, elements, expressions, outputs, selections  # noqa: F401
+    from weftwork.catalog import (  # noqa: F401
+        configuration,
+        cooccurrence,
+        dossiers,
+        elements,
+        expressions,
+        outputs,
+        selections,
+        streams,
+    )
 
     return REGISTRY
