@@ -56,17 +56,6 @@ def delete_by_query(documents: DataFrame, predicate: Column) -> DataFrame:
     return documents.filter(~F.coalesce(predicate, F.lit(False)))
 
 
-def _send_batch(send: Callable, collection: str, batch: list[dict], retries: int) -> tuple[int, str | None]:
-    for attempt in range(1, retries + 2):
-        try:
-            send(collection, batch)
-            return attempt, None
-        except OSError as error:  # connection and socket errors
-            if attempt > retries:
-                return attempt, str(error)
-    raise AssertionError("unreachable")
-
-
 def index_documents(
     documents: DataFrame,
     send: Callable[[str, list[dict]], None],
@@ -82,12 +71,21 @@ def index_documents(
     it becomes a status row with the error instead.
     """
 
+    def attempt(collection: str, batch: list[dict]) -> tuple[int, str | None]:
+        for number in range(1, retries + 2):
+            try:
+                send(collection, batch)
+                return number, None
+            except OSError as error:  # connection and socket errors
+                failure = str(error)
+        return retries + 1, failure
+
     def deliver(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         waiting: dict[str, list[dict]] = {}
 
         def flush(collection: str) -> pd.DataFrame:
             batch = waiting.pop(collection)
-            attempts, error = _send_batch(send, collection, batch, retries)
+            attempts, error = attempt(collection, batch)
             if error and not report_failures:
                 raise ConnectionError(f"{collection}: {error}")
             return pd.DataFrame(

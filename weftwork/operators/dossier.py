@@ -25,7 +25,6 @@ from weftwork.functions.properties import property_value
 from weftwork.operators.cells import scan_cells
 from weftwork.operators.dedup import dedup_by_key
 from weftwork.operators.elements import union_all
-from weftwork.operators.joins import sized_join
 from weftwork.operators.selection import exclude_resources, with_key
 from weftwork.plans.rules import DossierRule, Extension, Related
 
@@ -145,16 +144,22 @@ def two_hop(read: Reader, extension: Extension) -> DataFrame:
         F.col("doc_key").alias("hop"), "field", "value", F.col("copies").alias("held")
     )
     left = hops.select("doc_key", F.col("value").alias("hop"), "copies")
-    reached = sized_join(left, found, ["hop"]).select(
+    # both sides are large, and their sizes are known at run time only: adaptive
+    # execution splits the partitions of a value that many keys or elements share
+    reached = left.join(found, "hop").select(
         "doc_key", "field", "value", (F.col("copies") * F.col("held")).alias("copies")
     )
     return hops.unionByName(reached)
 
 
 def join_properties(root: DataFrame, other: DataFrame) -> DataFrame:
-    """Left outer join that concatenates properties: the root's values, and the others' of the same keys."""
+    """Left outer join that concatenates properties: the root's values, and the others' of the same keys.
+
+    As a semi join it repeats nothing, and a hot key on the other side is split
+    by adaptive execution.
+    """
     keys = root.select("doc_key").distinct()
-    return root.unionByName(sized_join(other, keys, ["doc_key"], "left_semi"))
+    return root.unionByName(other.join(keys, "doc_key", "left_semi").select(*root.columns))
 
 
 def tagged(values: DataFrame, doc_type: str, tags: dict | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_FRACTION = 0.005
+HOT_KEYS = 200  # any key with more than a 200th of the rows is among them
 SALTS = 32
 
 
@@ -20,14 +20,15 @@ def fits_broadcast(
     return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
 
-def hot_keys(frame: DataFrame, keys: list[str], fraction: float = HOT_FRACTION) -> DataFrame:
-    """Keys that hold more than ``fraction`` of the rows.
+def hot_keys(frame: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
+    """The ``limit`` most frequent keys.
 
-    There are fewer than ``1 / fraction`` of them whatever the size of the
-    frame, so the result may always be broadcast.
+    Their number does not grow with the frame, so the result may always be
+    broadcast. A key that is among them without being hot only costs a few
+    repeated rows.
     """
-    threshold = frame.count() * fraction
-    return frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > threshold).select(*keys)
+    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return counts.orderBy(F.desc("_n"), *keys).limit(limit).select(*keys)
 
 
 def salted_join(
@@ -36,7 +37,6 @@ def salted_join(
     keys: list[str],
     how: str,
     salts: int = SALTS,
-    fraction: float = HOT_FRACTION,
 ) -> DataFrame:
     """Shuffle join where each hot key of the left side is spread over ``salts`` partitions.
 
@@ -45,7 +45,7 @@ def salted_join(
     run again gives its rows the same salt. ``how`` is inner, left, left_semi
     or left_anti.
     """
-    hot = F.broadcast(hot_keys(left, keys, fraction).withColumn("_hot", F.lit(True)))
+    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
     unmatched = F.lit(False)
     for key in keys:
         unmatched = unmatched | F.col(key).isNull()
