@@ -34,27 +34,33 @@ def read_history(spark: SparkSession, path: str) -> DataFrame:
 
 
 class CursorStore:
-    """Change cursors by version: each upsert writes a new folder, so readers never see half of one."""
+    """Change cursors by version.
+
+    An upsert writes a new folder and then one row that says so. Readers go by
+    these rows, so they never see half a cursor, and what a failed run left
+    behind is overwritten.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path.rstrip("/")
 
     def _version(self) -> int:
         try:
-            done = self.spark.read.format("binaryFile").load(f"{self.path}/version=*/_SUCCESS")
+            commits = self.spark.read.schema("version int").parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return 0
-        number = F.regexp_extract("path", r"version=(\d+)", 1).cast("int")
-        return done.agg(F.max(number)).first()[0] or 0
+        return commits.agg(F.max("version")).first()[0] or 0
 
     def read(self) -> DataFrame | None:
         version = self._version()
-        return self.spark.read.parquet(f"{self.path}/version={version}") if version else None
+        return self.spark.read.parquet(f"{self.path}/v{version}") if version else None
 
     def upsert(self, new: DataFrame) -> DataFrame:
-        stored, version = self.read(), self._version()
+        version, stored = self._version(), self.read()
         cursor = new if stored is None else upsert_cursor(stored, new)
-        cursor.write.parquet(f"{self.path}/version={version + 1}")
+        cursor.write.mode("overwrite").parquet(f"{self.path}/v{version + 1}")
+        committed = self.spark.range(1).select(F.lit(version + 1).alias("version"))
+        committed.write.mode("append").parquet(f"{self.path}/commits")
         return self.read()

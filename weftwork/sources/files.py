@@ -9,7 +9,7 @@ from weftwork.operators.selection import READ_ALL, effective_sequences
 
 
 def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bool = False) -> DataFrame:
-    """``path, name, modified, bytes`` of the files in a folder; their content is not read."""
+    """``path, name, modified, bytes`` of the files in a folder that are not empty; their content is not read."""
     listing = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", pattern)
