@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.constants import ENTITY, LINK_FAMILY, PROPERTY_FAMILY, RESOURCE_QUALIFIER
+from weftwork.functions import computed_once
 from weftwork.functions.keys import table_name
 
 CELL_COLUMNS = ["table_name", "row_key", "family", "qualifier", "value", "ts"]
@@ -26,7 +27,8 @@ def _body_cells() -> Column:
 
 def body_cells(elements: DataFrame, keep: tuple[str, ...] = ("row_key",)) -> DataFrame:
     """One row per property of the body."""
-    return elements.select(*keep, F.explode("body").alias("qualifier", "_p")).select(
+    bodies = computed_once(elements, list(keep), {"_body": F.col("body")})
+    return bodies.select(*keep, F.explode("_body").alias("qualifier", "_p")).select(
         *keep, "qualifier", F.col("_p.value").alias("value"), F.col("_p.type").alias("type")
     )
 
@@ -47,12 +49,14 @@ def element_cells(elements: DataFrame, ts: Column | None = None) -> DataFrame:
         *common,
     )
     fixed = F.when(F.col("kind") == ENTITY, entity).otherwise(link)
-    return elements.select(
+    named = [
         table_name(F.col("model"), F.col("kind"), F.col("type_id")).alias("table_name"),
         F.col("row_hash").alias("row_key"),
         (F.current_timestamp() if ts is None else ts).alias("ts"),
-        F.inline(F.filter(F.concat(fixed, _body_cells()), lambda c: c["value"].isNotNull())),
-    ).select(*CELL_COLUMNS)
+    ]
+    listed = computed_once(elements, named, {"_cells": F.concat(fixed, _body_cells())})
+    cells = listed.select("table_name", "row_key", "ts", F.inline("_cells"))
+    return cells.filter(F.col("value").isNotNull()).select(*CELL_COLUMNS)
 
 
 def latest_cells(cells: DataFrame) -> DataFrame:

@@ -16,10 +16,12 @@ from weftwork.constants import (
     MAC_TYPE,
     NAME_SEPARATOR,
 )
+from weftwork.functions import computed_once
 from weftwork.functions.identity import composite_id, has_text, row_key
 from weftwork.functions.keys import collection_name
 
 MEMBERS = "array<struct<id_type:string,id:string>>"
+_MEMBER_BYTES = 20  # no member of a JSON line is shorter
 BLOCK = 128  # members paired inside one row; longer arrays are cut into blocks
 
 
@@ -61,7 +63,8 @@ def parse_identifiers(
         ),
     )
     others = [c for c in lines.columns if c != column]
-    return lines.select(*others, cleaned.alias("members")).filter(F.size("members") > 0)
+    parsed = computed_once(lines, [*others, F.octet_length(column).alias("line_bytes")], {"members": cleaned})
+    return parsed.filter(F.size("members") > 0)
 
 
 def identifier_entities(records: DataFrame, types: list[IdentifierEntity], res_id: str) -> DataFrame:
@@ -103,48 +106,44 @@ def _ordered_links(links: list[PairLink]) -> Column:
     )
 
 
-def _pairs(left: Column, right: Column, same: Column, links: Column) -> Column:
-    """Mapped pairs of two blocks; within one block only later members pair with earlier ones."""
-
-    def pair(a: Column, b: Column) -> Column:
-        name = F.concat(a["id_type"], F.lit(NAME_SEPARATOR), b["id_type"])
-        return F.struct(a.alias("a"), b.alias("b"), F.try_element_at(links, name).alias("link"))
-
-    def usable(p: Column) -> Column:
-        return p["link"].isNotNull() & has_text(p["a"]["id"]) & has_text(p["b"]["id"])
-
-    def with_later(a: Column, i: Column) -> Column:
-        later = F.when(same, F.slice(right, i + 2, F.size(right))).otherwise(right)
-        return F.filter(F.transform(later, lambda b: pair(a, b)), usable)
-
-    return F.flatten(F.transform(left, with_later))
+def _paired(blocks: DataFrame, links: Column) -> DataFrame:
+    """Mapped pairs of a ``left`` and a ``right`` block; within ``same`` block a member pairs with later ones only."""
+    first = blocks.select("right", "same", F.posexplode("left").alias("i", "a")).filter(has_text(F.col("a.id")))
+    later = F.when(F.col("same"), F.slice("right", F.col("i") + 2, F.size("right"))).otherwise(F.col("right"))
+    both = first.select("a", F.explode(later).alias("b")).filter(has_text(F.col("b.id")))
+    types = F.concat("a.id_type", F.lit(NAME_SEPARATOR), "b.id_type")
+    return both.select("a", "b", F.try_element_at(links, types).alias("link")).filter(F.col("link").isNotNull())
 
 
 def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK) -> DataFrame:
     """``a, b, link`` for every two members in array order whose types are linked.
 
-    Unlinked pairs are dropped where they arise. An array of more than
-    ``block`` members becomes one row per pair of blocks, and those rows are
-    spread over the cluster, so no task pairs a long array alone.
+    An array of more than ``block`` members becomes one row per pair of blocks,
+    and those rows are spread over the cluster, so no task pairs a long array
+    alone. Where `parse_identifiers` left the length of the line, lines too
+    short for so many members are passed over unparsed when long arrays are
+    looked for.
     """
     by_pair = _ordered_links(links)
-    whole = records.filter(F.size("members") <= block)
-    short = whole.select(F.inline(_pairs(F.col("members"), F.col("members"), F.lit(True), by_pair)))
-
+    members = F.col("members")
+    short = records.filter(F.size(members) <= block).select(
+        members.alias("left"), members.alias("right"), F.lit(True).alias("same")
+    )
+    long = records
+    if "line_bytes" in records.columns:
+        long = long.filter(F.col("line_bytes") > block * _MEMBER_BYTES)
     cut = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size("members") - 1) / block).cast("int")),
-        lambda k: F.slice(F.col("members"), k * block + 1, block),
+        F.sequence(F.lit(0), F.floor((F.size(members) - 1) / block).cast("int")),
+        lambda k: F.slice(members, k * block + 1, block),
     )
     # the reading task is part of the key, so copies of one array spread too
-    blocks = records.filter(F.size("members") > block).select(
-        F.spark_partition_id().alias("task"), cut.alias("blocks")
-    )
+    blocks = long.filter(F.size(members) > block).select(F.spark_partition_id().alias("task"), cut.alias("blocks"))
     left = blocks.select("task", "blocks", F.posexplode("blocks").alias("i", "left"))
     crossed = left.select(
         "task", "i", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("j", "right")
     ).repartition("task", "i", "j")
-    long = crossed.select(F.inline(_pairs(F.col("left"), F.col("right"), F.col("j") == 0, by_pair)))
-    return short.unionByName(long)
+    spread = crossed.select("left", "right", (F.col("j") == 0).alias("same"))
+    return _paired(short, by_pair).unionByName(_paired(spread, by_pair))
 
 
 def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: int = BLOCK) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.constants import ENTITY, INDEXED_AT_FIELD, PATTERN_ZONE, RESOURCE_QUALIFIER
+from weftwork.functions import computed_once
 from weftwork.functions.fields import typed_fields
 from weftwork.functions.keys import collection_name
 
@@ -37,10 +38,10 @@ def search_documents(
     link = fixed({"id": "row_hash", "relation_id": "element_id", "relation_type": "type_id"} | ends | common)
     own = F.when(F.col("kind") == ENTITY, entity).otherwise(link)
     present = F.map_filter(own, lambda _, value: value.isNotNull())
-    return elements.select(
-        F.col("row_hash").alias("id"),
-        collection_name(F.col("model"), F.col("kind")).alias("collection"),
-        F.map_concat(present, typed_fields(F.col("body"), patterns, zone)).alias("fields"),
+    return computed_once(
+        elements,
+        [F.col("row_hash").alias("id"), collection_name(F.col("model"), F.col("kind")).alias("collection")],
+        {"fields": F.map_concat(present, typed_fields(F.col("body"), patterns, zone))},
     )
 
 

@@ -1,9 +1,8 @@
 """Entities and links from raw records.
 
-Two ways lead to the same element rows. `build_elements` takes mappings known
-when the plan is built and turns them into plain column expressions over one
-scan. `fan_out` joins records that carry their values in a map with a table of
-compiled mappings, for streams and for mapping sets too large to write out.
+Two ways lead to the same element rows. `build_elements` takes mappings declared
+in code and turns them into plain column expressions. `fan_out` takes records
+that carry their values in a map, and a table of compiled mappings.
 """
 
 from dataclasses import dataclass
@@ -13,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.constants import ENTITY, LINK
+from weftwork.functions import computed_once
 from weftwork.functions.direction import direction_code, is_reversed
 from weftwork.functions.identity import (
     all_have_text,
@@ -28,7 +28,7 @@ from weftwork.functions.properties import (
     stored_type,
 )
 from weftwork.operators.joins import sized_join
-from weftwork.plans.model import EntityType, LinkType, Mapping, Model
+from weftwork.plans.model import EntityType, LinkType, Mapping, Model, Property
 from weftwork.plans.schemas import ELEMENT_COLUMNS, ELEMENT_FIELDS
 
 
@@ -157,19 +157,76 @@ def _own_pass(frame: DataFrame, tag: int, plan: _Plan, res_id, keep: tuple[str,
     return keyed.select(*keep, *_element(plan.columns))
 
 
+RECORD_KEYS = ("sequence_id", "data_schema_id", "res_id", "task_id")
+MAX_WRITTEN_OUT = 64
+
+
 def fan_out(
     frame: DataFrame,
     compiled_mappings: DataFrame,
     values: str = "value",
     res_id: str = "resId",
     owner: str = "owner",
-    keep: tuple[str, ...] = ("sequence_id", "data_schema_id", "res_id", "task_id"),
+    keep: tuple[str, ...] = RECORD_KEYS,
+    max_written_out: int = MAX_WRITTEN_OUT,
 ) -> DataFrame:
     """Each record times all mappings of its ``data_schema_id``.
 
     ``values`` is a ``map<string,string>`` column; the resource and owner of an
     element are read from it. Columns in ``keep`` come out prefixed ``record_``.
+
+    Up to ``max_written_out`` mappings are written out, one select over the
+    records of its schema each, so that records stored by schema are only read
+    where they match. More mappings, or a stream, are joined as a table.
     """
+    if not frame.isStreaming:
+        rows = compiled_mappings.limit(max_written_out + 1).collect()
+        if 0 < len(rows) <= max_written_out:
+            selected = [_written_out(frame, row, i, values, res_id, owner, keep) for i, row in enumerate(rows)]
+            return union_all([s for s in selected if s is not None])
+    return _joined_out(frame, compiled_mappings, values, res_id, owner, keep)
+
+
+def _written_out(frame: DataFrame, row, tag: int, values: str, res_id: str, owner: str, keep) -> DataFrame:
+    """The elements of one compiled mapping."""
+    # the types are refined already, which the analysed flag leaves as they are
+    properties = tuple(Property(f["uuid"], f["type"], True) for f in row["fields"])
+    if row["kind"] == ENTITY:
+        definition = EntityType(row["type_id"], row["root"], properties)
+        model = Model(row["model"], (definition,))
+    else:
+        definition = LinkType(
+            row["type_id"], row["source_entity"], row["target_entity"], row["source_root"], row["target_root"],
+            row["directed"], properties,
+        )
+        model = Model(row["model"], (), (definition,))
+    mapping = Mapping(
+        row["data_schema_id"],
+        row["model"],
+        row["kind"],
+        row["type_id"],
+        {f["uuid"]: f["column"] for f in row["fields"]},
+        tuple(row["id_columns"] or ()),
+        tuple(row["source_columns"] or ()),
+        tuple(row["target_columns"] or ()),
+        row["directivity"],
+        row["direction_column"],
+        dict(row["direction_values"] or {}),
+    )
+
+    def read(name: str) -> Column:
+        return F.try_element_at("_v", F.lit(name))
+
+    own = frame.filter(F.col("data_schema_id") == row["data_schema_id"])
+    record = computed_once(own, [F.col(c).alias(f"record_{c}") for c in keep], {"_v": F.col(values)})
+    plan = _plan(model, mapping, read, read(res_id), read(owner), tag)
+    return _own_pass(record, tag, plan, read(res_id), tuple(f"record_{c}" for c in keep))
+
+
+def _joined_out(
+    frame: DataFrame, compiled_mappings: DataFrame, values: str, res_id: str, owner: str, keep: tuple[str, ...]
+) -> DataFrame:
+    """The elements of a table of compiled mappings."""
     record = frame.select(
         F.col("data_schema_id"),
         F.col(values).alias("_v"),
