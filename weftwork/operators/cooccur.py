@@ -106,13 +106,14 @@ def _ordered_links(links: list[PairLink]) -> Column:
     )
 
 
-def _paired(blocks: DataFrame, links: Column) -> DataFrame:
+def _paired(blocks: DataFrame, links: Column, types: list[str]) -> DataFrame:
     """Mapped pairs of a ``left`` and a ``right`` block; within ``same`` block a member pairs with later ones only."""
-    first = blocks.select("right", "same", F.posexplode("left").alias("i", "a")).filter(has_text(F.col("a.id")))
+    first = blocks.select("right", "same", F.posexplode("left").alias("i", "a"))
+    first = first.filter(F.col("a.id_type").isin(types) & has_text(F.col("a.id")))
     later = F.when(F.col("same"), F.slice("right", F.col("i") + 2, F.size("right"))).otherwise(F.col("right"))
     both = first.select("a", F.explode(later).alias("b")).filter(has_text(F.col("b.id")))
-    types = F.concat("a.id_type", F.lit(NAME_SEPARATOR), "b.id_type")
-    return both.select("a", "b", F.try_element_at(links, types).alias("link")).filter(F.col("link").isNotNull())
+    pair = F.concat("a.id_type", F.lit(NAME_SEPARATOR), "b.id_type")
+    return both.select("a", "b", F.try_element_at(links, pair).alias("link")).filter(F.col("link").isNotNull())
 
 
 def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK) -> DataFrame:
@@ -143,7 +144,8 @@ def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK)
         "task", "i", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("j", "right")
     ).repartition("task", "i", "j")
     spread = crossed.select("left", "right", (F.col("j") == 0).alias("same"))
-    return _paired(short, by_pair).unionByName(_paired(spread, by_pair))
+    types = sorted({t for link in links for t in (link.first, link.second)})
+    return _paired(short, by_pair, types).unionByName(_paired(spread, by_pair, types))
 
 
 def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: int = BLOCK) -> DataFrame:
