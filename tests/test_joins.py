@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftwork.operators.dedup import dedup_by_key, distinct_payloads
-from weftwork.operators.joins import fits_broadcast, hot_keys, salted_join, sized_join
+from weftwork.operators.joins import adaptive_join, fits_broadcast, hot_keys, salted_join, sized_join
 from weftwork.operators.metrics import one_per_partition, reconcile, sized_partitions
 
 
@@ -33,6 +33,33 @@ def test_salted_join_equals_plain_join(skewed, lookup, how):
     assert salted.exceptAll(plain).isEmpty() and plain.exceptAll(salted).isEmpty()
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_adaptive_join_splits_hot_keys_beside_an_aggregate(spark, how):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2000",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2000",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        key = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 50)
+        left = spark.range(0, 20000, numPartitions=8).select(key.alias("k"), F.col("id").alias("v"))
+        right = spark.range(100).groupBy((F.col("id") % 40).alias("k")).agg(F.count("*").alias("n"))
+        joined = adaptive_join(left, right, ["k"], how)
+        plain = left.join(right, "k", how)
+        assert joined.columns == plain.columns
+        assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+        assert "(skew=true)" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_sized_join_broadcasts_only_within_the_bound(skewed, lookup):
     small = sized_join(skewed, lookup, ["k"], "left_semi")
     large = sized_join(skewed, lookup, ["k"], "left_semi", max_rows=10)

@@ -36,6 +36,7 @@ from weftwork.operators.elements import (
     union_all,
     unmapped_schemas,
 )
+from weftwork.operators.joins import adaptive_join
 from weftwork.operators.selection import with_identity
 from weftwork.plans.model import (
     LinkType,
@@ -71,18 +72,14 @@ def q_link_placed(spark: SparkSession, folder: str) -> DataFrame:
     people = dedup_by_key(entities(build_elements(customers(spark, folder), SHOP, [MAP_CUSTOMER])), ["entity_id"])
     named = people.select("entity_id", property_value(F.col("body"), "name").alias("customer_name"))
     end = F.when(F.col("from_entity_type") == "customer", F.col("from_entity_id")).otherwise(F.col("to_entity_id"))
-    return (
-        placed.withColumn("entity_id", end)
-        .join(named, "entity_id")
-        .select(
-            "row_hash",
-            "relation_id",
-            "direction_type",
-            "from_entity_id",
-            "to_entity_id",
-            property_value(F.col("body"), "ordered").alias("ordered"),
-            "customer_name",
-        )
+    return adaptive_join(placed.withColumn("entity_id", end), named, ["entity_id"]).select(
+        "row_hash",
+        "relation_id",
+        "direction_type",
+        "from_entity_id",
+        "to_entity_id",
+        property_value(F.col("body"), "ordered").alias("ordered"),
+        "customer_name",
     )
 
 

@@ -25,6 +25,7 @@ from weftwork.functions.properties import property_value
 from weftwork.operators.cells import scan_cells
 from weftwork.operators.dedup import dedup_by_key
 from weftwork.operators.elements import union_all
+from weftwork.operators.joins import SALTS, adaptive_join
 from weftwork.operators.selection import exclude_resources, with_key
 from weftwork.plans.rules import DossierRule, Extension, Related
 
@@ -144,9 +145,7 @@ def two_hop(read: Reader, extension: Extension) -> DataFrame:
         F.col("doc_key").alias("hop"), "field", "value", F.col("copies").alias("held")
     )
     left = hops.select("doc_key", F.col("value").alias("hop"), "copies")
-    # both sides are large, and their sizes are known at run time only: adaptive
-    # execution splits the partitions of a value that many keys or elements share
-    reached = left.join(found, "hop").select(
+    reached = adaptive_join(left, found, ["hop"]).select(
         "doc_key", "field", "value", (F.col("copies") * F.col("held")).alias("copies")
     )
     return hops.unionByName(reached)
@@ -155,11 +154,10 @@ def two_hop(read: Reader, extension: Extension) -> DataFrame:
 def join_properties(root: DataFrame, other: DataFrame) -> DataFrame:
     """Left outer join that concatenates properties: the root's values, and the others' of the same keys.
 
-    As a semi join it repeats nothing, and a hot key on the other side is split
-    by adaptive execution.
+    As a semi join it repeats nothing.
     """
     keys = root.select("doc_key").distinct()
-    return root.unionByName(other.join(keys, "doc_key", "left_semi").select(*root.columns))
+    return root.unionByName(adaptive_join(other, keys, ["doc_key"], "left_semi"))
 
 
 def tagged(values: DataFrame, doc_type: str, tags: dict | None = None) -> DataFrame:
@@ -202,24 +200,28 @@ def documents(keys: DataFrame, values: DataFrame, doc_type: str, part_size: int
         "doc_key", nothing.alias("field"), nothing.alias("value"), F.lit(0).cast("bigint").alias("copies")
     )
     rows = counted.filter(F.col("field").isNotNull()).unionByName(roots)
-    totals = (
-        rows.groupBy("doc_key")
-        .agg(F.sum("copies").alias("total"), F.bool_or(F.col("field").isNull()).alias("is_root"))
-        .filter("is_root")
-        .select("doc_key", "total", F.ceil(F.greatest("total", F.lit(1)) / part_size).cast("int").alias("parts"))
+    totals = rows.groupBy("doc_key").agg(
+        F.sum("copies").alias("total"), F.bool_or(F.col("field").isNull()).alias("large_root")
     )
+    large = totals.filter(F.col("total") > part_size).select(
+        "doc_key", "large_root", F.ceil(F.col("total") / part_size).cast("int").alias("parts")
+    )
+    # each large key is spread over the salts; there are at most as many large
+    # keys as parts, and adaptive execution broadcasts them when they are few
+    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
+    repeated = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     slices = F.ceil(F.col("copies") / part_size).cast("int")
-    # sizes are known only at run time here: adaptive execution broadcasts the
-    # totals when they are small, and otherwise splits the partitions of hot keys
     placed = (
-        rows.join(totals, "doc_key")
-        .filter(F.col("field").isNotNull() | (F.col("total") == 0))
+        salted.join(repeated, ["doc_key", "_salt"], "left")
+        .withColumn("parts", F.coalesce("parts", F.lit(1)))
+        .filter(F.col("field").isNotNull() | (F.col("parts") == 1))
         .select(
             "doc_key",
             "parts",
             "field",
             "value",
             "copies",
+            (F.col("field").isNull() | F.coalesce("large_root", F.lit(False))).alias("is_root"),
             F.explode(F.sequence(F.lit(0), F.greatest(slices, F.lit(1)) - 1)).alias("slice"),
         )
     )
@@ -229,16 +231,17 @@ def documents(keys: DataFrame, values: DataFrame, doc_type: str, part_size: int
         "doc_key",
         part.cast("int").alias("part"),
         "field",
+        "is_root",
         F.array_repeat("value", repeats.cast("int")).alias("values"),
     ).repartition("doc_key", "part")
     per_field = sized.groupBy("doc_key", "part", "field").agg(
-        F.array_sort(F.flatten(F.collect_list("values"))).alias("values")
+        F.array_sort(F.flatten(F.collect_list("values"))).alias("values"), F.bool_or("is_root").alias("is_root")
     )
     entry = F.when(F.col("field").isNotNull(), F.struct("field", "values"))
     assembled = per_field.groupBy("doc_key", "part").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("fields")
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("fields"), F.bool_or("is_root").alias("is_root")
     )
-    return assembled.select(
+    return assembled.filter("is_root").select(
         F.concat(F.lit(doc_type + DOC_KEY_SEPARATOR), F.col("doc_key")).alias("doc_id"),
         F.lit(doc_type).alias("doc_type"),
         "doc_key",

@@ -60,6 +60,19 @@ def salted_join(
     return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
 
 
+def adaptive_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join of two sides whose sizes are known at run time only.
+
+    Adaptive execution broadcasts a side that turns out small, and splits the
+    partitions of hot keys. It splits only where both sides are shuffled for
+    this very join. A side that an aggregation has left partitioned by the keys
+    would not be, so the join gets one more key, computed from the others.
+    """
+    extra = F.xxhash64(*keys)
+    joined = left.withColumn("_key_hash", extra).join(right.withColumn("_key_hash", extra), [*keys, "_key_hash"], how)
+    return joined.drop("_key_hash")
+
+
 def sized_join(
     left: DataFrame,
     right: DataFrame,
