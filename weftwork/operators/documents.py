@@ -49,7 +49,8 @@ def stamped(documents: DataFrame, indexed_at: Column | None = None) -> DataFrame
     """Documents with the time they were indexed."""
     moment = F.current_timestamp() if indexed_at is None else indexed_at
     stamp = F.create_map(F.lit(INDEXED_AT_FIELD), moment.cast("string"))
-    return documents.withColumn("fields", F.map_concat("fields", stamp))
+    fields = F.map_concat("fields", stamp) if "fields" in documents.columns else stamp
+    return documents.withColumn("fields", fields)
 
 
 def delete_by_query(documents: DataFrame, predicate: Column) -> DataFrame:

@@ -187,19 +187,23 @@ def fan_out(
     return _joined_out(frame, compiled_mappings, values, res_id, owner, keep)
 
 
-def _written_out(frame: DataFrame, row, tag: int, values: str, res_id: str, owner: str, keep) -> DataFrame:
-    """The elements of one compiled mapping."""
+def declared(row) -> tuple[Model, Mapping]:
+    """A row of compiled mappings as a model of its one element, and the mapping."""
     # the types are refined already, which the analysed flag leaves as they are
     properties = tuple(Property(f["uuid"], f["type"], True) for f in row["fields"])
     if row["kind"] == ENTITY:
-        definition = EntityType(row["type_id"], row["root"], properties)
-        model = Model(row["model"], (definition,))
+        model = Model(row["model"], (EntityType(row["type_id"], row["root"], properties),))
     else:
-        definition = LinkType(
-            row["type_id"], row["source_entity"], row["target_entity"], row["source_root"], row["target_root"],
-            row["directed"], properties,
+        link = LinkType(
+            row["type_id"],
+            row["source_entity"],
+            row["target_entity"],
+            row["source_root"],
+            row["target_root"],
+            row["directed"],
+            properties,
         )
-        model = Model(row["model"], (), (definition,))
+        model = Model(row["model"], (), (link,))
     mapping = Mapping(
         row["data_schema_id"],
         row["model"],
@@ -213,6 +217,12 @@ def _written_out(frame: DataFrame, row, tag: int, values: str, res_id: str, owne
         row["direction_column"],
         dict(row["direction_values"] or {}),
     )
+    return model, mapping
+
+
+def _written_out(frame: DataFrame, row, tag: int, values: str, res_id: str, owner: str, keep) -> DataFrame:
+    """The elements of one compiled mapping."""
+    model, mapping = declared(row)
 
     def read(name: str) -> Column:
         return F.try_element_at("_v", F.lit(name))
