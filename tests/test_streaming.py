@@ -127,3 +127,11 @@ def test_messages_keep_their_topic(spark):
 
 def test_event_stream_is_a_stream(spark):
     assert event_stream(spark, "/root/testdata/sf0.001").isStreaming
+
+
+def test_event_stream_reads_a_folder_of_files_too(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    out = f"{tmp_path}/out"
+    stream = event_stream(spark, str(tmp_path)).select("user_id")
+    start_running_counts(stream, ["user_id"], f"{out}/c", f"{out}/checkpoint", interval=None).awaitTermination()
+    assert spark.read.parquet(f"{out}/c").agg(F.sum("running_count")).first()[0] == 1000

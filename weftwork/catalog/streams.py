@@ -64,9 +64,10 @@ def _messages(events: DataFrame) -> DataFrame:
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The events file as a stream."""
+    """The events table, a file or a folder of files, as a stream."""
     schema = table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(folder)
+    # a stream takes a single file only by a pattern
+    return spark.readStream.schema(schema).parquet(f"{folder}/events.parque[t]")
 
 
 def _run_transform(spark: SparkSession, folder: str) -> str:
