@@ -1,6 +1,21 @@
 """The thin queries over the whole tables, one for each operator, and their SQL where SQL can state them."""
 
 from weftwork.llm.common import table
+from weftwork.session import shared_folder
+
+
+def op5_packing(spark, sf_dir):
+    from weftwork.llm.packing import pack
+
+    return pack(table(spark, sf_dir, "documents"))
+
+
+def op6_token_files(spark, sf_dir):
+    from weftwork.llm.tokenfile import read_token_files, write_token_files
+
+    path = shared_folder(spark, "token-files")
+    write_token_files(table(spark, sf_dir, "documents"), path)
+    return read_token_files(spark, path)
 
 
 def op8_minhash(spark, sf_dir):
@@ -9,6 +24,6 @@ def op8_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {"op8_minhash": op8_minhash}
+QUERIES = {q.__name__: q for q in (op5_packing, op6_token_files, op8_minhash)}
 
 SQL: dict[str, str] = {}
