@@ -1,5 +1,7 @@
 """The thin queries over the whole tables, one for each operator, and their SQL where SQL can state them."""
 
+from pyspark.sql import functions as F
+
 from weftwork.llm.common import table
 from weftwork.session import shared_folder
 
@@ -18,12 +20,20 @@ def op6_token_files(spark, sf_dir):
     return read_token_files(spark, path)
 
 
+def op7_line_dedup(spark, sf_dir):
+    from weftwork.llm.linededup import without_repeated_lines
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cleaned = without_repeated_lines(docs)
+    return cleaned.select("doc_id", "lines_dropped", F.length("text").cast("long").alias("n_chars"), F.sha2("text", 256).alias("text_sha256"))
+
+
 def op8_minhash(spark, sf_dir):
     from weftwork.llm.minhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op5_packing, op6_token_files, op8_minhash)}
+QUERIES = {q.__name__: q for q in (op5_packing, op6_token_files, op7_line_dedup, op8_minhash)}
 
 SQL: dict[str, str] = {}
