@@ -79,6 +79,9 @@ def test_awkward_rows(spark):
         (6, 1, 6, True), (7, 1, 7, True), (8, 5, 8, True), (9, 5, 8, False),
     }
     assert near_duplicates(frame.limit(0)).count() == 0
+    shared = [(1, "a b c d e f"), (1, "u v w x y z"), (1, ""), (2, "A b c d e f"), (3, "U v w x y z")]
+    found = near_duplicates(spark.createDataFrame(shared, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(1, 1), (2, 1), (3, 1)} and len(found) == 5
 
 
 @pytest.mark.parametrize("seed", [1, 2])

@@ -7,8 +7,9 @@ Steps, each a Spark job over all rows:
 2. Texts with the same digest are one class, represented by the smallest id, so exact copies never meet in a bucket.
 3. In every bucket each member is paired with one leader only (another one in every bucket, chosen by hash).
    Pairs whose sketches leave a link possible are confirmed on the full shingle sets.
-4. Buckets whose members are still in several components are compared whole, in blocks of bounded size; only pairs
-   of different components that the sketches leave possible leave a block. These are confirmed in the same way.
+4. Buckets whose members are still in several components are compared whole, in blocks of bounded size, on the full
+   shingle sets, each pair in the first bucket that it shares; only links leave a block, one for each member and
+   component. So no rows are made for pairs.
 
 So a group of thousands of near copies costs one pair for each member and bucket, and no link between different
 components that share a bucket is lost. A pair of similarity 0.75 shares no bucket with probability 2e-5
@@ -25,7 +26,7 @@ from weftwork.llm.components import components
 from weftwork.llm.textbatch import mix, shingles, signed, sliced, text_buffers, word_hashes
 
 WIDTH, PERCENT, BANDS, ROWS = 5, 75, 40, 5
-BLOCK = 256  # members of a bucket that are compared with each other at once
+BLOCK, BLOCK_SHINGLES = 256, 1_000_000  # members of a bucket that are compared at once, and their shingles, on average
 BROADCAST_IDS = 1_000_000  # ids, 8 bytes each, up to which the list of candidate texts is broadcast
 
 _SIGNATURE = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, sketch binary"
@@ -91,12 +92,12 @@ def _signatures(seed: int, bands: int, rows: int, width: int):
 
 
 def _possible(one: np.ndarray, two: np.ndarray, n_one: np.ndarray, n_two: np.ndarray, percent: int) -> np.ndarray:
-    """Pairs whose sizes and sketches leave the wanted similarity possible (within six standard deviations)."""
+    """Pairs whose sizes and sketches leave the wanted similarity possible (within five standard deviations)."""
     n = one.shape[-1]
     same = (one == two).sum(axis=-1) / n
     wanted = percent / 100
     share = wanted + (1 - wanted) / 256
-    enough = same >= share - 6 * np.sqrt(share * (1 - share) / n)
+    enough = same >= share - 5 * np.sqrt(share * (1 - share) / n)
     return enough & (100 * np.minimum(n_one, n_two) >= percent * np.maximum(n_one, n_two))
 
 
@@ -116,22 +117,40 @@ def _keep_possible(width: int, percent: int):
 
 
 def _compare_blocks(width: int, percent: int):
-    """Pairs of different components within a block, or between the two blocks of a pair."""
+    """Links between different components within a block, or between the two blocks of a pair."""
 
     def run(group: pa.Table) -> pa.Table:
-        ids, component = group.column("node").to_numpy(), group.column("component").to_numpy()
-        sizes, side = group.column("n_shingles").to_numpy(), group.column("side").to_numpy()
-        sketch = _matrix(group.column("sketch").combine_chunks(), width)
-        within = bool((group.column("i").to_numpy() == group.column("j").to_numpy()).all())
+        column = {name: group.column(name).combine_chunks() for name in group.column_names}
+        ids, component, sizes, side = (column[c].to_numpy() for c in ("node", "component", "n_shingles", "side"))
+        sketch = _matrix(column["sketch"], width)
+        keys = column["bands"].values.to_numpy().reshape(len(ids), -1)
+        sets, ends = column["shingles"].values.to_numpy(), column["shingles"].offsets.to_numpy()
+        full = np.diff(ends)
+        bucket = column["bucket"][0].as_py()
+        within = column["i"][0].as_py() == column["j"][0].as_py()
         left = np.flatnonzero(side == 0)
         right = left if within else np.flatnonzero(side == 1)
-        a, b = [], []
+        u, v = [], []
         for x in left:
             others = right[(component[right] != component[x]) & ((ids[right] > ids[x]) | (not within))]
-            ok = others[_possible(sketch[x], sketch[others], sizes[x], sizes[others], percent)] if len(others) else others
-            a.append(np.minimum(ids[x], ids[ok]))
-            b.append(np.maximum(ids[x], ids[ok]))
-        return pa.table({"a": np.concatenate(a or [ids[:0]]), "b": np.concatenate(b or [ids[:0]])})
+            if len(others):
+                others = others[_possible(sketch[x], sketch[others], sizes[x], sizes[others], percent)]
+            if len(others):
+                shared = keys[others] == keys[x]
+                others = others[keys[x][shared.argmax(axis=1)] == bucket]
+            if not len(others):
+                continue
+            own = sets[ends[x] : ends[x + 1]]
+            theirs = np.concatenate([sets[ends[y] : ends[y + 1]] for y in others])
+            at = np.searchsorted(own, theirs)
+            at[at == len(own)] = 0
+            starts = np.concatenate([[0], np.cumsum(full[others])[:-1]])
+            common = np.add.reduceat((own[at] == theirs).astype(np.int64), starts)
+            linked = others[100 * common >= percent * (len(own) + full[others] - common)]
+            _, one = np.unique(component[linked], return_index=True)
+            u.extend([ids[x]] * len(one))
+            v.extend(ids[linked[one]])
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
@@ -141,6 +160,9 @@ def _shingle_sets(width: int):
         for batch in sliced(batches, "text"):
             data, starts = text_buffers(batch.column(1))
             values, before = distinct_sorted(*shingles(*word_hashes(data, starts), width))
+            if batch.num_rows and len(values):  # in the order of signed values, as they are read
+                text = np.repeat(np.arange(batch.num_rows), np.diff(before))
+                values = values[np.lexsort((signed(values), text))]
             sets = pa.ListArray.from_arrays(pa.array(before.astype(np.int32)), pa.array(signed(values)))
             yield pa.RecordBatch.from_arrays([batch.column(0), sets], names=["node", "shingles"])
 
@@ -152,7 +174,7 @@ def _confirm(percent: int):
         for batch in batches:
             ok = np.zeros(batch.num_rows, dtype=bool)
             for k in range(batch.num_rows):
-                one, two = (batch.column(i)[k].values.to_numpy().view(np.uint64) for i in (2, 3))
+                one, two = (batch.column(i)[k].values.to_numpy() for i in (2, 3))
                 common = len(np.intersect1d(one, two, assume_unique=True))
                 ok[k] = 100 * common >= percent * (len(one) + len(two) - common)
             keep = pa.array(ok)
@@ -161,13 +183,18 @@ def _confirm(percent: int):
     return run
 
 
-def confirmed(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
-    """Pairs ``(a, b)`` linked on the full shingle sets of ``texts (node, text)``, as edges ``(u, v)``."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    ids = written(ids, "candidate-ids")
+def shingle_sets(ids: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """``(node, shingles)``, hashes in order, of the ``texts (node, text)`` that ``ids`` names."""
+    ids = written(ids.distinct(), "candidate-ids")
     few = ids.count() <= BROADCAST_IDS
     wanted = texts.join(F.broadcast(ids) if few else ids, "node", "left_semi")
-    sets = written(wanted.mapInArrow(_shingle_sets(width), "node long, shingles array<long>"), "shingle-sets")
+    sets = wanted.mapInArrow(_shingle_sets(width), "node long, shingles array<long>").filter(F.size("shingles") > 0)
+    return written(sets, "shingle-sets")
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
+    """Pairs ``(a, b)`` linked on the full shingle sets of ``texts (node, text)``, as edges ``(u, v)``."""
+    sets = shingle_sets(pairs.select(F.explode(F.array("a", "b")).alias("node")), texts, width)
     both = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b")), "b").join(
         sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a")), "a"
     )
@@ -216,25 +243,24 @@ def near_duplicates(
 
     # Buckets that hold several components still: all members, block against block.
     placed = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    mixed = placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    count = F.ceil(F.col("size") / BLOCK).cast("int")
-    open_members = (
-        placed.join(mixed.select("bucket"), "bucket")
-        .withColumn("blocks", count)
-        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .join(sizes, "node")
-    )
-    spread = open_members.select(
-        "bucket", "node", "component", "n_shingles", "sketch", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    ).select(
-        "bucket", "node", "component", "n_shingles", "sketch",
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"),
+    placed = placed.join(sizes.select("node", "n_shingles"), "node")
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n_shingles").alias("volume")
     )
-    late = spread.groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(n, percent), "a long, b long").distinct()
-    late = written(late.join(pairs, ["a", "b"], "left_anti"), "late-pairs")
-    if not late.isEmpty():
-        found = components(edges.unionByName(written(confirmed(late, by_node, width, percent), "late-links")))
+    mixed = mixed.filter("low < high").select("bucket", "volume")
+    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("volume") / BLOCK_SHINGLES)).cast("int")
+    open_members = written(placed.join(mixed, "bucket").select("bucket", "node", "component", blocks.alias("blocks")), "open-members")
+    if not open_members.isEmpty():
+        sets = shingle_sets(open_members.select("node"), by_node, width)
+        spread = open_members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+            "bucket", "node", "component",
+            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+            (F.col("block") > F.col("other")).cast("int").alias("side"),
+        )
+        full = spread.join(chosen, "node").join(sets, "node")
+        late = full.groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(n, percent), "u long, v long")
+        found = components(edges.unionByName(written(late, "late-links")))
 
     named = classes.join(found, "node", "left").select(
         "digest_a", "digest_b", "n_shingles", F.coalesce("component", "node").alias("component_id")
