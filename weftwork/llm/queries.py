@@ -6,6 +6,12 @@ from weftwork.llm.common import table
 from weftwork.session import shared_folder
 
 
+def op4_decontamination(spark, sf_dir):
+    from weftwork.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_packing(spark, sf_dir):
     from weftwork.llm.packing import pack
 
@@ -34,6 +40,6 @@ def op8_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op5_packing, op6_token_files, op7_line_dedup, op8_minhash)}
+QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash)}
 
 SQL: dict[str, str] = {}
