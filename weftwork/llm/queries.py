@@ -40,6 +40,13 @@ def op8_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash)}
+def op10_toxicity(spark, sf_dir):
+    from weftwork.llm.toxicity import learn, toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
+QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op10_toxicity)}
 
 SQL: dict[str, str] = {}
