@@ -1,24 +1,67 @@
-"""From raw documents to packed sequences: each stage reads what the one before wrote."""
+"""From raw documents to packed sequences: each stage reads what the one before wrote.
+
+A null text stays null, a row with a null id is never linked, matched or rejected as a copy, and repeated rows of one
+document stay together. Columns beyond those the stages name are carried along untouched, whatever their names.
+"""
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weftwork.llm.common import table, written
+from weftwork.llm.decontaminate import contaminated
+from weftwork.llm.linededup import without_repeated_lines
 from weftwork.llm.minhash import near_duplicates
+from weftwork.llm.packing import pack
+from weftwork.llm.toxicity import learn, toxicity
+
+
+def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is not among ``ids (doc_id)``."""
+    return docs.join(ids.select(F.col("doc_id").alias("__gone")).distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+
+
+def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose score reaches one half go."""
+    scores = toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
+    return _without(docs, scores.filter("predicted = 1"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later repeated runs of lines go; a document of which nothing is left goes with them. ``n_chars`` follows the text."""
+    cleaned = without_repeated_lines(docs)
+    left = cleaned.filter((F.col("lines_dropped") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    if "n_chars" in docs.columns:
+        changed = F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        left = left.withColumn("n_chars", changed)
+    return left.select(docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays; all that are alone stay."""
-    dropped = near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near copies the document with the smallest id stays."""
+    return _without(docs, near_duplicates(docs).filter("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold most of a benchmark text go."""
+    return _without(docs, contaminated(docs, table(spark, sf_dir, "benchmark")))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents that are left, in sequences of 2048 ids."""
+    return pack(docs)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", without_toxic),
+    ("line dedup", line_dedup),
     ("minhash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("packing", packing),
 ]
 
-#: None of the stages can be stated in SQL; they are tested against brute force.
+#: None: the stages learn, tile and pack, which SQL cannot state. They are tested against brute force.
 ORACLE_SQL = None
 
 
