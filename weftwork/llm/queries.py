@@ -40,6 +40,12 @@ def op8_minhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark, sf_dir):
+    from weftwork.llm.suffixdedup import without_repeats
+
+    return without_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark, sf_dir):
     from weftwork.llm.toxicity import learn, toxicity
 
@@ -47,6 +53,6 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
 
 SQL: dict[str, str] = {}
