@@ -6,6 +6,12 @@ from weftwork.llm.common import table
 from weftwork.session import shared_folder
 
 
+def op2_importance(spark, sf_dir):
+    from weftwork.llm.resample import resample
+
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_decontamination(spark, sf_dir):
     from weftwork.llm.decontaminate import contaminated
 
@@ -53,6 +59,6 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op2_importance, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
 
 SQL: dict[str, str] = {}
