@@ -12,6 +12,12 @@ def op2_importance(spark, sf_dir):
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_neighbours(spark, sf_dir):
+    from weftwork.llm.neighbours import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op4_decontamination(spark, sf_dir):
     from weftwork.llm.decontaminate import contaminated
 
@@ -59,6 +65,6 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op2_importance, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op2_importance, op3_neighbours, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
 
 SQL: dict[str, str] = {}
