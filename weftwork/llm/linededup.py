@@ -7,8 +7,10 @@ window (the first of equals) is a fingerprint. So every repeated run of lines th
 is chosen in all its places, and no match is shorter than a gram.
 
 Each fingerprint is joined to its first position, by document id and line number. From there the match is extended
-both ways, line by line, as long as both texts agree, and the matched run is deleted from the later text. The two runs
-may not overlap when they lie in one text: the match ends before the later run begins.
+both ways, line by line, as long as both texts agree, up to the fingerprints next to it, which have matches of their
+own; the matched run is deleted from the later text. Fewer than ``2 * min_words`` lines lie between two fingerprints, so
+what is joined is bounded. The two runs may not overlap when they lie in one text: the match ends before the later run
+begins.
 """
 
 import numpy as np
@@ -108,35 +110,50 @@ def _winnow(gram_words: int, min_words: int):
     return run
 
 
-def matched_run(own, first, at: int, first_at: int, same_text: bool) -> tuple[int, int]:
-    """The run of lines of ``own`` around ``at`` that agrees with ``first`` around ``first_at``, its end excluded."""
-    a, x = at, first_at
-    room = at - first_at  # in one text, the earlier run has to end where the later one begins
-    while a > 0 and x > 0 and own[a - 1] == first[x - 1] and not (same_text and first_at - x + 1 >= room):
-        a, x = a - 1, x - 1
-    b, y = at + 1, first_at + 1
-    while b < len(own) and y < len(first) and own[b] == first[y] and not (same_text and y >= a):
-        b, y = b + 1, y + 1
-    return a, b
+def _contexts(min_words: int):
+    """For each wanted fingerprint its lines, those back to the one before it, and those on to the end of the next."""
+
+    def run(batches):
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                lines, marks = row["lines"], row["marks"]
+                place = {at: k for k, at in enumerate(marks)}
+                for w in row["wanted"]:
+                    at, k = w["at"], place[w["at"]]
+                    begin = marks[k - 1] if k else 0
+                    end = marks[k + 1] + min_words if k + 1 < len(marks) else len(lines)
+                    out.append((w["hash"], w["is_first"], row["doc_id"], row["version"], at, lines[begin:at], lines[at:end]))
+            columns = list(zip(*out)) or [[] for _ in range(7)]
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            names = ["hash", "is_first", "doc_id", "version", "at", "back", "on"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+    return run
+
+
+def agreement(own: list[int], other: list[int], room: int) -> int:
+    """How many values agree from the start, at most ``room``."""
+    n = 0
+    for x, y in zip(own[: max(room, 0)], other):
+        if x != y:
+            break
+        n += 1
+    return n
 
 
 def _runs(batches):
     for batch in batches:
-        out = []
+        begins, ends = [], []
         for row in batch.to_pylist():
-            own, first = row["lines"], row["first_lines"]
-            same = (row["doc_id"], row["version"]) == (row["first_id"], row["first_version"])
-            drop, done = set(), {}
-            for at, first_at in sorted(zip(row["at"], row["first_at"])):
-                if not same and done.get(at - first_at, -1) > at:
-                    continue  # within the run found last at this distance
-                a, b = matched_run(own, first, at, first_at, same)
-                done[at - first_at] = b
-                drop.update(range(a, b))
-            out.append(sorted(drop))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int32()))], names=["doc_id", "version", "drop"]
-        )
+            at = row["at"]
+            room = at - row["first_at"] if (row["doc_id"], row["version"]) == (row["first_id"], row["first_version"]) else 1 << 30
+            back = agreement(row["back"][::-1], row["first_back"][::-1], room - 1)
+            on = agreement(row["on"], row["first_on"], room - back)
+            begins.append(at - back)
+            ends.append(at + on)
+        columns = [batch.column(0), batch.column(1), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "begin", "end"])
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", gram_words: int = GRAM_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
@@ -152,19 +169,22 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     marks = lines.select("doc_id", "version", F.inline(F.arrays_zip("marks", "grams"))).toDF("doc_id", "version", "at", "hash")
     place = F.struct("doc_id", "version", "at")
     firsts = marks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
-    later = marks.join(firsts.select("hash", "first"), "hash").filter(place != F.col("first"))
-    # All positions of a text that point to the same earlier text go together.
-    pairs = later.groupBy("doc_id", "version", F.col("first.doc_id").alias("first_id"), F.col("first.version").alias("first_version")).agg(
-        F.collect_list(F.struct("at", F.col("first.at").alias("first_at"))).alias("places")
-    )
-    pairs = written(pairs.select("doc_id", "version", "first_id", "first_version", "places.at", "places.first_at"), "line-matches")
-    own = lines.select("doc_id", "version", "lines").dropDuplicates(["doc_id", "version"])
-    first = own.select(F.col("doc_id").alias("first_id"), F.col("version").alias("first_version"), F.col("lines").alias("first_lines"))
-    both = pairs.join(own, ["doc_id", "version"]).join(first, ["first_id", "first_version"])
-    both = both.select("doc_id", "version", "first_id", "first_version", "at", "first_at", "lines", "first_lines")
-    drops = both.mapInArrow(_runs, "doc_id long, version long, drop array<int>").filter(F.size("drop") > 0)
-    exploded = drops.select("doc_id", "version", F.explode("drop").alias("line")).distinct()
-    return exploded.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list("line")).alias("drop"))
+    wanted = marks.join(firsts.select("hash", "first"), "hash").withColumn("is_first", place == F.col("first"))
+    wanted = wanted.groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "hash", "is_first")).alias("wanted"))
+    own = lines.select("doc_id", "version", "lines", "marks").dropDuplicates(["doc_id", "version"])
+    both = own.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "lines", "marks", "wanted")
+    schema = "hash long, is_first boolean, doc_id long, version long, at int, back array<long>, on array<long>"
+    contexts = written(both.mapInArrow(_contexts(min_words), schema), "line-contexts")
+    first = contexts.filter("is_first").select(
+        "hash", F.col("doc_id").alias("first_id"), F.col("version").alias("first_version"), F.col("at").alias("first_at"),
+        F.col("back").alias("first_back"), F.col("on").alias("first_on"),
+    )
+    later = contexts.filter("not is_first").join(first, "hash").drop("hash", "is_first")
+    later = later.select("doc_id", "version", *[c for c in later.columns if c not in ("doc_id", "version")])
+    found = later.mapInArrow(_runs, "doc_id long, version long, begin int, end int")
+    found = found.groupBy("doc_id", "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+    numbers = F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"] - 1)))
+    return found.select("doc_id", "version", F.array_sort(F.array_distinct(numbers)).alias("drop"))
 
 
 def without_repeated_lines(
