@@ -17,9 +17,15 @@ from weftwork.llm.packing import pack
 from weftwork.llm.toxicity import learn, toxicity
 
 
+#: Ids, 8 bytes each, up to which a list of rejected documents is broadcast; a longer one is joined by a shuffle.
+BROADCAST_IDS = 1_000_000
+
+
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``ids (doc_id)``."""
-    return docs.join(ids.select(F.col("doc_id").alias("__gone")).distinct(), F.col("doc_id") == F.col("__gone"), "left_anti")
+    gone = written(ids.filter("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct(), "rejected")
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("merge")
+    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -204,8 +204,9 @@ def without_repeated_lines(
     )
     text = F.col(text_column)
     kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("__drop", i))
+    # Both sides are shuffled at every size: the list of lines grows with the documents.
     joined = docs.join(
-        drops, (docs[id_column].cast("long") == F.col("__drop_id")) & (F.xxhash64(docs[text_column]) == F.col("__drop_version")), "left"
+        drops.hint("merge"), (docs[id_column].cast("long") == F.col("__drop_id")) & (F.xxhash64(docs[text_column]) == F.col("__drop_version")), "left"
     )
     columns = [c for c in docs.columns if c != "lines_dropped"]
     changed = F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_column)
