@@ -6,6 +6,12 @@ from weftwork.llm.common import table
 from weftwork.session import shared_folder
 
 
+def op1_main_text(spark, sf_dir):
+    from weftwork.llm.wrappers import main_texts
+
+    return main_texts(table(spark, sf_dir, "pages"))
+
+
 def op2_importance(spark, sf_dir):
     from weftwork.llm.resample import resample
 
@@ -65,6 +71,6 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op2_importance, op3_neighbours, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
+QUERIES = {q.__name__: q for q in (op1_main_text, op2_importance, op3_neighbours, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
 
 SQL: dict[str, str] = {}
