@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from weftwork.constants import BIDIRECTIONAL, ENTITY, LINK, TARGET_TO_SOURCE
 from weftwork.operators.cells import element_cells, latest_cells, scan_cells
 from weftwork.operators.documents import delete_by_query, index_documents, search_documents
-from weftwork.operators.elements import build_elements, canonical, entities, fan_out, links, unmapped_schemas
+from weftwork.operators.elements import build_elements, canonical, entities, fan_out, links, union_all, unmapped_schemas
 from weftwork.plans.model import (
     EntityType,
     LinkType,
@@ -63,8 +63,8 @@ def table_of(spark):
 
 
 def test_the_ways_to_build_agree(spark, frame, records):
-    separate = build_elements(frame, MODEL, MAPPINGS)
-    together = build_elements(frame, MODEL, MAPPINGS, single_pass=True)
+    separate = union_all([build_elements(frame, MODEL, [m]) for m in MAPPINGS])
+    together = build_elements(frame, MODEL, MAPPINGS)
     written = fan_out(records, table_of(spark))
     joined = fan_out(records, table_of(spark), max_written_out=0)
     assert separate.columns == together.columns == ELEMENT_COLUMNS
@@ -161,3 +161,16 @@ def test_index_delivery_retries_and_reports(spark, tmp_path):
     assert {r["error"] for r in rows} == {"down"}
     with pytest.raises(Exception, match="down"):
         index_documents(docs, down, batch_size=10).collect()
+
+
+def scans(frame) -> int:
+    return frame._jdf.queryExecution().executedPlan().toString().count("FileScan")
+
+
+def test_sixty_mappings_are_one_scan(spark, frame, tmp_path):
+    frame.write.parquet(f"{tmp_path}/t")
+    stored = spark.read.parquet(f"{tmp_path}/t")
+    mappings = [m for _ in range(60) for m in MAPPINGS][:60]
+    built = build_elements(stored, MODEL, mappings)
+    assert scans(built) == 1
+    assert built.count() == sum(build_elements(stored, MODEL, [m]).count() for m in mappings)

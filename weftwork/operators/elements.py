@@ -54,14 +54,15 @@ def _body(definition: EntityType | LinkType, mapping: Mapping, read) -> Column:
 
 @dataclass(frozen=True)
 class _Plan:
-    """A mapping turned into expressions. Ids come first: the other columns refer to them by name."""
+    """A mapping turned into expressions, and what is the same for all its elements."""
 
+    constants: dict[str, str | None]
     complete: Column  # the record has every id part and, for a link, both ends
     ids: dict[str, Column]
-    columns: dict[str, Column]
+    body: Column
 
 
-def _plan(model: Model, mapping: Mapping, read, res_id, owner, tag: int) -> _Plan | None:
+def _plan(model: Model, mapping: Mapping, read) -> _Plan | None:
     definition = model.find(mapping.kind, mapping.type_id)
     if definition is None:
         return None
@@ -70,34 +71,18 @@ def _plan(model: Model, mapping: Mapping, read, res_id, owner, tag: int) -> _Pla
         return None
     id_parts = [read(c) for c in mapping.id_columns]
     complete = all_have_text(id_parts)
-    ids = {f"_id{tag}": joined_id(definition.uuid if is_link else definition.root, id_parts)}
-    columns = {
-        "model": F.lit(model.model_id),
-        "kind": F.lit(mapping.kind),
-        "type_id": F.lit(definition.uuid),
-        "row_key": F.col(f"_key{tag}"),
-        "row_hash": row_hash(F.col(f"_key{tag}")),
-        "element_id": F.col(f"_id{tag}"),
-        "res_id": as_column(res_id),
-        "owner": F.coalesce(as_column(owner).cast("string"), F.lit("")),
-        "body": _body(definition, mapping, read),
-    }
+    ids = {"_id": joined_id(definition.uuid if is_link else definition.root, id_parts)}
+    constants = {"model": model.model_id, "kind": mapping.kind, "type_id": definition.uuid}
     if is_link:
         chosen = _column_directivity(mapping, read)
-        swap = is_reversed(definition.directed, mapping.directivity, chosen)
         source, target = [read(c) for c in mapping.source_columns], [read(c) for c in mapping.target_columns]
         complete = complete & all_have_text(source) & all_have_text(target)
-        ids[f"_source{tag}"] = joined_id(definition.source_root, source)
-        ids[f"_target{tag}"] = joined_id(definition.target_root, target)
-        columns["direction_type"] = direction_code(definition.directed, mapping.directivity, chosen)
-        columns |= _ends(
-            swap,
-            F.lit(definition.source_entity),
-            F.col(f"_source{tag}"),
-            F.lit(definition.target_entity),
-            F.col(f"_target{tag}"),
-        )
-    return _Plan(complete, ids, columns)
+        ids["_source"] = joined_id(definition.source_root, source)
+        ids["_target"] = joined_id(definition.target_root, target)
+        ids["_swap"] = is_reversed(definition.directed, mapping.directivity, chosen)
+        ids["_code"] = direction_code(definition.directed, mapping.directivity, chosen)
+        constants |= {"_source_type": definition.source_entity, "_target_type": definition.target_entity}
+    return _Plan(constants, complete, ids, _body(definition, mapping, read))
 
 
 def _column_directivity(mapping: Mapping, read) -> Column:
@@ -124,41 +109,71 @@ def build_elements(
     res_id="resId",
     owner="owner",
     keep: tuple[str, ...] = (),
-    single_pass: bool = False,
 ) -> DataFrame:
-    """Elements of all mappings of ``frame``.
+    """Elements of all mappings of ``frame``, in one pass over it.
 
     ``res_id`` and ``owner`` are column names, or columns such as a literal
     resource id. ``keep`` names record columns to carry along. Records that
     lack an id part or a link end give nothing.
-
-    Each mapping is a select of its own that reads only the columns it needs,
-    which costs less than taking rows apart. Where ``frame`` is not a scan but
-    the outcome of heavy work, ``single_pass`` goes through it once.
     """
+    return build_mapped(frame, [(model, m) for m in mappings], res_id, owner, keep)
+
+
+def build_mapped(
+    frame: DataFrame, mapped: list[tuple[Model, Mapping]], res_id="resId", owner="owner", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """As `build_elements`, where each mapping comes with its model."""
     read = _reader(frame)
     res_id = read(res_id) if isinstance(res_id, str) else res_id
     owner = read(owner) if isinstance(owner, str) else owner
-    built = [_plan(model, m, read, res_id, owner, i) for i, m in enumerate(mappings)]
-    plans = {i: p for i, p in enumerate(built) if p is not None}
+    built = [_plan(model, mapping, read) for model, mapping in mapped]
+    plans = [p for p in built if p is not None]
     if not plans:
         return frame.select(*keep, *_element({})).filter(F.lit(False))
-    if not single_pass or len(plans) == 1:
-        return union_all([_own_pass(frame, i, plan, res_id, keep) for i, plan in plans.items()])
-    staged = frame.withColumns({name: column for p in plans.values() for name, column in p.ids.items()})
-    staged = staged.withColumns({f"_key{i}": row_key(res_id, F.col(f"_id{i}")) for i in plans})
-    rows = F.array(*[F.struct(p.complete.alias("_complete"), *_element(p.columns)) for p in plans.values()])
-    return staged.select(*keep, rows.alias("_rows")).select(*keep, F.inline("_rows")).filter("_complete").drop("_complete")
+    return _one_pass(frame, plans, F.array(*[F.lit(i) for i in range(len(plans))]), res_id, owner, keep)
 
 
-def _own_pass(frame: DataFrame, tag: int, plan: _Plan, res_id, keep: tuple[str, ...]) -> DataFrame:
-    identified = frame.filter(plan.complete).withColumns(plan.ids)
-    keyed = identified.withColumn(f"_key{tag}", row_key(res_id, F.col(f"_id{tag}")))
-    return keyed.select(*keep, *_element(plan.columns))
+def _one_pass(frame: DataFrame, plans: list[_Plan], tags: Column, res_id, owner, keep: tuple[str, ...]) -> DataFrame:
+    """Each record once for each of its ``tags``, the numbers of plans, and the element of that plan.
+
+    A record is repeated before its elements are built, so the generated code evaluates for each row the expressions
+    of its own plan only. Constants come from lists, which keeps that code short enough to be compiled.
+    """
+    one = len(plans) == 1
+
+    def own(values: list[Column | None]) -> Column:
+        if one:
+            return values[0]
+        chosen = None
+        for i, value in enumerate(values):
+            if value is not None:
+                chosen = (F if chosen is None else chosen).when(F.col("_tag") == i, value)
+        return chosen
+
+    def constant(name: str) -> Column:
+        values = [F.lit(p.constants.get(name)).cast("string") for p in plans]
+        return values[0] if one or len({p.constants.get(name) for p in plans}) == 1 else F.get(F.array(*values), F.col("_tag"))
+
+    tagged = frame if one else frame.withColumn("_tag", F.explode(tags))
+    names = list(dict.fromkeys(n for p in plans for n in p.ids))
+    identified = tagged.filter(own([p.complete for p in plans])).withColumns({n: own([p.ids.get(n) for p in plans]) for n in names})
+    keyed = identified.withColumn("_key", row_key(res_id, F.col("_id")))
+    columns = {n: constant(n) for n in ("model", "kind", "type_id")} | {
+        "row_key": F.col("_key"),
+        "row_hash": row_hash(F.col("_key")),
+        "element_id": F.col("_id"),
+        "res_id": as_column(res_id),
+        "owner": F.coalesce(as_column(owner).cast("string"), F.lit("")),
+        "body": own([p.body for p in plans]),
+    }
+    if "_swap" in names:
+        columns["direction_type"] = F.col("_code")
+        columns |= _ends(F.col("_swap"), constant("_source_type"), F.col("_source"), constant("_target_type"), F.col("_target"))
+    return keyed.select(*keep, *_element(columns))
 
 
 RECORD_KEYS = ("sequence_id", "data_schema_id", "res_id", "task_id")
-MAX_WRITTEN_OUT = 64
+MAX_WRITTEN_OUT = 64  # mappings that are written out as expressions; both ways go over the records once
 
 
 def fan_out(
@@ -175,15 +190,14 @@ def fan_out(
     ``values`` is a ``map<string,string>`` column; the resource and owner of an
     element are read from it. Columns in ``keep`` come out prefixed ``record_``.
 
-    Up to ``max_written_out`` mappings are written out, one select over the
-    records of its schema each, so that records stored by schema are only read
-    where they match. More mappings, or a stream, are joined as a table.
+    Up to ``max_written_out`` mappings are written out as expressions, more, or
+    those of a stream, are joined as a table. Either way the records are read
+    once, and only those of the schemas that have mappings.
     """
     if not frame.isStreaming:
         rows = compiled_mappings.limit(max_written_out + 1).collect()
         if 0 < len(rows) <= max_written_out:
-            selected = [_written_out(frame, row, i, values, res_id, owner, keep) for i, row in enumerate(rows)]
-            return union_all([s for s in selected if s is not None])
+            return _written_out(frame, rows, values, res_id, owner, keep)
     return _joined_out(frame, compiled_mappings, values, res_id, owner, keep)
 
 
@@ -220,17 +234,27 @@ def declared(row) -> tuple[Model, Mapping]:
     return model, mapping
 
 
-def _written_out(frame: DataFrame, row, tag: int, values: str, res_id: str, owner: str, keep) -> DataFrame:
-    """The elements of one compiled mapping."""
-    model, mapping = declared(row)
+def _written_out(frame: DataFrame, rows: list, values: str, res_id: str, owner: str, keep) -> DataFrame:
+    """The elements of a list of compiled mappings."""
 
     def read(name: str) -> Column:
         return F.try_element_at("_v", F.lit(name))
 
-    own = frame.filter(F.col("data_schema_id") == row["data_schema_id"])
-    record = computed_once(own, [F.col(c).alias(f"record_{c}") for c in keep], {"_v": F.col(values)})
-    plan = _plan(model, mapping, read, read(res_id), read(owner), tag)
-    return _own_pass(record, tag, plan, read(res_id), tuple(f"record_{c}" for c in keep))
+    carried = tuple(f"record_{c}" for c in keep)
+    built = [(row["data_schema_id"], _plan(*declared(row), read)) for row in rows]
+    built = [(schema, plan) for schema, plan in built if plan is not None]
+    by_schema: dict[str, list[int]] = {}
+    for i, (schema, _) in enumerate(built):
+        by_schema.setdefault(schema, []).append(i)
+    wanted = frame.filter(F.col("data_schema_id").isin(list(by_schema)))
+    schema_of = F.col("data_schema_id").alias("_schema")
+    record = computed_once(wanted, [schema_of, *[F.col(c).alias(f"record_{c}") for c in keep]], {"_v": F.col(values)})
+    if not built:
+        return record.select(*carried, *_element({})).filter(F.lit(False))
+    tags = F.lit(None)
+    for schema, own in by_schema.items():
+        tags = F.when(F.col("_schema") == schema, F.array(*[F.lit(i) for i in own])).otherwise(tags)
+    return _one_pass(record, [plan for _, plan in built], tags, read(res_id), read(owner), carried)
 
 
 def _joined_out(

@@ -15,6 +15,8 @@ def build_session(name: str = "weftwork", master: str | None = None, **settings)
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # the JVM never compiles methods beyond this size; without generated stages they are cut into smaller ones
+        .config("spark.sql.codegen.hugeMethodLimit", "8000")
     )
     if master:
         builder = builder.master(master)
