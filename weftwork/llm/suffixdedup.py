@@ -6,7 +6,9 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere
    leftmost of equals. Equal windows have equal anchors at the same distance, so all places of a repeated window carry
    the same anchor hash. The windows of one anchor lie side by side and make up a region of the text.
 2. *Counting.* Regions with an anchor that occurs once hold nothing repeated. Regions that occur twice as a whole are
-   repeated as a whole. This settles all but the regions at the ends of repeats and around changes.
+   repeated as a whole. This settles all but the regions at the ends of repeats and around changes. Of these, only
+   such can hold a repeated window as share one of ``PARTS`` strings around the anchor with another region: a window
+   reaches ``i`` steps to the left of the anchor, and ``PARTS - 1 - i`` to the right, for some ``i``.
 3. *Suffix arrays.* The different regions of an anchor whose regions are not settled go to one shard. A shard's text is
    sorted by induced sorting, and a window is repeated if its permuted common prefix reaches ``LENGTH``.
 4. *Hot anchors.* An anchor with more than ``HOT`` different regions would overload a shard. Its windows are hashed and
@@ -25,12 +27,12 @@ from weftwork.llm.common import written
 from weftwork.llm.suffixarray import permuted_prefixes, suffix_array
 from weftwork.llm.textbatch import Hasher, mix, signed, sliced, text_buffers
 
-LENGTH, GRAM, HOT = 400, 64, 3000
+LENGTH, GRAM, HOT, PARTS = 400, 64, 3000, 4
 SHARD_BYTES = 1 << 20
 SEGMENT = 1 << 22  # windows of a long text that are looked at at once
 BROADCAST_ROWS, BROADCAST_SPANS = 500_000, 2_000_000
 
-_REGIONS = "doc_id long, version long, first int, last int, anchor long, region long"
+_REGIONS = "doc_id long, version long, first int, last int, anchor long, region long, parts array<long>"
 _SPANS = "doc_id long, version long, start int, stop int"
 
 
@@ -47,7 +49,7 @@ def sliding_minimum(keys: np.ndarray, width: int) -> np.ndarray:
 
 
 def regions(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """For all texts: text number, first and last window of each region in it, hash of its anchor, hash of the region."""
+    """For all texts: text number, first and last window of each region in it, hashes of its anchor, the region, and its parts."""
     out = []
     hasher = Hasher(data)
     bits = np.uint64((1 << 24) - 1)
@@ -65,11 +67,17 @@ def regions(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         first, last = np.flatnonzero(new), np.flatnonzero(stop)
         number, anchor = text[first], anchor[first]
         first, last = first + begin, last + begin
+        step = (length - gram) // PARTS
+        parts = np.zeros((len(first), PARTS), dtype=np.uint64)  # 0 where the region does not reach so far
+        for i in range(PARTS):
+            a, b = anchor - step * i, anchor + gram + step * (PARTS - 1 - i)
+            reached = (a >= first) & (b <= last + length)
+            parts[reached, i] = mix(hasher.of(a[reached], b[reached]) + np.uint64(i + 1))
         whole = mix(hasher.of(first, last + length) + (anchor - first).astype(np.uint64))
-        out.append((number, first - offsets[number], last - offsets[number], hasher.of(anchor, anchor + gram), whole))
+        out.append((number, first - offsets[number], last - offsets[number], hasher.of(anchor, anchor + gram), whole, parts))
     if not out:
         empty = np.zeros(0, np.int64)
-        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64)
+        return empty, empty, empty, empty.astype(np.uint64), empty.astype(np.uint64), np.zeros((0, PARTS), np.uint64)
     return tuple(np.concatenate(column) for column in zip(*out))
 
 
@@ -77,14 +85,15 @@ def _find_regions(length: int, gram: int):
     def run(batches):
         for batch in sliced(batches, "text"):
             data, offsets = text_buffers(batch.column(2))
-            text, first, last, anchor, whole = regions(data, offsets, length, gram)
+            text, first, last, anchor, whole, parts = regions(data, offsets, length, gram)
             at = pa.array(text)
+            parts = pa.ListArray.from_arrays(pa.array(np.arange(len(text) + 1, dtype=np.int32) * PARTS), pa.array(signed(parts).reshape(-1)))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0).take(at), batch.column(1).take(at), pa.array(first.astype(np.int32)),
-                    pa.array(last.astype(np.int32)), pa.array(signed(anchor)), pa.array(signed(whole)),
+                    pa.array(last.astype(np.int32)), pa.array(signed(anchor)), pa.array(signed(whole)), parts,
                 ],
-                names=["doc_id", "version", "first", "last", "anchor", "region"],
+                names=["doc_id", "version", "first", "last", "anchor", "region", "parts"],
             )
 
     return run
@@ -208,18 +217,24 @@ def repeated_spans(
     long_texts = texts.filter(F.octet_length("text") >= length)
     found = written(long_texts.mapInArrow(_find_regions(length, gram), _REGIONS), "regions")
     several = found.groupBy("anchor").agg(F.count("*").alias("places")).filter("places > 1").select("anchor")
-    found = written(found.join(several, "anchor").select("doc_id", "version", "first", "last", "anchor", "region"), "shared-regions")
+    found = written(found.join(several, "anchor").select("doc_id", "version", "first", "last", "anchor", "region", "parts"), "shared-regions")
     kinds = found.groupBy("anchor", "region").agg(
-        F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "first", "last")).alias("one")
+        F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "first", "last", "parts")).alias("one")
     )
     kinds = written(kinds, "region-kinds")
     whole = found.join(kinds.filter("n > 1").select("anchor", "region"), ["anchor", "region"])
     spans = whole.select("doc_id", "version", F.col("first").alias("start"), (F.col("last") + length).cast("int").alias("stop"))
 
     open_anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
-    unsettled = kinds.join(open_anchors.select("anchor", "kinds"), "anchor")
+    unsettled = written(kinds.join(open_anchors.select("anchor"), "anchor"), "open-regions")
+    parts = unsettled.select("anchor", "region", F.explode("one.parts").alias("part")).filter("part <> 0")
+    twice = parts.groupBy("part").agg(F.count("*").alias("places")).filter("places > 1").select("part")
+    sharing = parts.join(twice, "part").select("anchor", "region").distinct()
+    unsettled = written(unsettled.join(sharing, ["anchor", "region"]), "sharing-regions")
+    open_anchors = unsettled.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1")
+    unsettled = unsettled.join(open_anchors.select("anchor"), "anchor")
     wanted = written(
-        unsettled.select("one.*", "anchor", "n", "kinds")
+        unsettled.select("one.doc_id", "one.version", "one.first", "one.last", "anchor", "n")
         .groupBy("doc_id", "version")
         .agg(F.collect_list(F.struct("first", "last", "anchor", "n")).alias("wanted"), F.sum(F.col("last") - F.col("first") + length).alias("bytes")),
         "unsettled",
