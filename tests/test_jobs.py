@@ -20,6 +20,7 @@ from weftwork.plans.model import (
     mapping_table,
 )
 from weftwork.plans.rules import DossierRule, Related
+from weftwork.sinks.tables import delete_documents, read_documents
 
 MODEL = Model(
     "m",
@@ -73,6 +74,7 @@ def test_dossiers_full_then_incremental(spark, stored, tmp_path):
     out = str(tmp_path / "dossiers")
     collect_dossiers(spark, cells, rule, out)
     found = {r["doc_id"]: r["fields"] for r in spark.read.parquet(f"{out}/documents/PERSON/*").collect()}
+    assert all(fields.pop("_indexed_at_tdt") for fields in found.values())
     assert found == {
         "PERSON@1": {"d_name": ["Ann"], "d_knows": ["2"]}, "PERSON@2": {"d_name": ["Bob"]}, "PERSON@3": {"d_name": ["Cid"]},
     }
@@ -83,6 +85,26 @@ def test_dossiers_full_then_incremental(spark, stored, tmp_path):
     assert sorted(map(tuple, history.collect())) == [("successful", "0"), ("successful", "3")]
 
 
+def test_first_incremental_run_has_no_history(spark, stored, tmp_path):
+    rule = DossierRule("PERSON", "m", "person", "code", (("name", "d_name"),), collection="people")
+    out = str(tmp_path / "first")
+    collect_dossiers(spark, spark.read.parquet(f"{stored}/cells"), rule, out, mode=INCREMENTAL)
+    found = spark.read.parquet(f"{out}/documents/PERSON/*")
+    assert sorted((r["id"], r["collection"]) for r in found.collect()) == [(f"PERSON@{k}", "people") for k in (1, 2, 3)]
+
+
+def test_repeated_runs_and_deletion_by_id(spark, stored, tmp_path):
+    table = compiled(mapping_table(spark, *MAPPINGS), definition_table(spark, MODEL))
+    transform_files(spark, str(tmp_path / "data"), table, stored, cursor=20)
+    path = f"{stored}/documents"
+    assert spark.read.parquet(path).count() == 8 and read_documents(spark, path).count() == 4
+    delete_documents(spark, path, F.try_element_at("fields", F.lit("entity_id")) == "human~`#2")
+    left = read_documents(spark, path)
+    assert left.count() == 3 and spark.read.parquet(path).filter("collection = 'm_entity_index'").count() == 2
+    delete_documents(spark, path, F.col("collection") == "m_relation_index")
+    assert {r["collection"] for r in read_documents(spark, path).collect()} == {"m_entity_index"}
+
+
 def test_a_failure_is_recorded(spark, stored, tmp_path):
     out = str(tmp_path / "failed")
     rule = DossierRule("PERSON", "m", "person", "code", (("name", "d_name"),))
@@ -111,5 +133,12 @@ def test_identifier_lines(spark, tmp_path):
     entry = spark.read.parquet(f"{out}/history").first()
     counts = ("srcCount", "countAfterParseJson", "entityDataCount", "linkDataCount")
     assert [entry[c] for c in counts] == ["3", "2", "3", "1"]
+    again = spark.read.parquet(f"{out}/entities").count()
+    relate_identifiers(
+        spark, str(tmp_path / "in"), [IdentifierEntity("phone", "std", "phone_number", "phone"), IdentifierEntity("mail", "std", "mail_box", "mail")],
+        [PairLink("mail", "phone", "std", "mail_phone", "mail_box", "phone_number")], "day", out,
+    )
+    rows = spark.read.parquet(f"{out}/history").select(*counts).collect()
+    assert [tuple(r) for r in rows] == [("3", "2", "3", "1")] * 2 and spark.read.parquet(f"{out}/entities").count() == again == 3
     links = spark.read.parquet(f"{out}/links")
     assert links.filter(F.col("collection") == "std_relation_index").first()["id"] == "day@1234@sina.com~`#1234"

@@ -13,7 +13,7 @@ from weftwork.operators.selection import (
     with_key,
 )
 from weftwork.session import shared_folder
-from weftwork.sources.files import list_schemas, scan_files
+from weftwork.sources.files import list_schemas, read_sequence, scan_files
 
 
 @query("""
@@ -26,6 +26,20 @@ def q_union_scan(spark: SparkSession, folder: str) -> DataFrame:
     return scan_files(spark, paths).select("c_custkey", "c_name", "s_suppkey", "s_name")
 
 
+@query("""
+SELECT event_id, event_type, CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS DOUBLE) AS value FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, NULL, CAST(user_id AS BIGINT), CAST(value AS DOUBLE) FROM events WHERE event_id % 3 = 1
+""")
+def q_sequence_columns(spark: SparkSession, folder: str) -> DataFrame:
+    """Sequence files of two schemas, read up to a cursor with the columns of all of them."""
+    events, path = table(spark, folder, "events"), shared_folder(spark, "sequences")
+    of = lambda n: events.filter(F.pmod("event_id", F.lit(3)) == n)
+    of(0).select("event_id", "event_type").write.parquet(f"{path}/10.parquet")
+    of(1).select("event_id", F.col("user_id").cast("long"), F.col("value").cast("double")).write.parquet(f"{path}/20.parquet")
+    of(2).write.parquet(f"{path}/30.parquet")
+    return read_sequence(spark, path, 15).select("event_id", "event_type", "user_id", "value")
+
+
 @query("""
 SELECT event_id, event_type, user_id FROM events
 WHERE event_id > 500 AND event_type NOT IN (SELECT event_type FROM events WHERE value > 95 AND event_type > 'p')

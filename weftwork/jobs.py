@@ -10,7 +10,7 @@ from datetime import datetime, timezone
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.operators.cells import element_cells
@@ -22,9 +22,9 @@ from weftwork.operators.cooccur import (
     parse_identifiers,
 )
 from weftwork.operators.dedup import dedup_by_key
-from weftwork.operators.documents import search_documents
+from weftwork.operators.documents import search_documents, stamped
 from weftwork.operators.dossier import build_dossiers, cell_reader
-from weftwork.operators.elements import build_elements, declared, union_all
+from weftwork.operators.elements import build_mapped, declared, union_all
 from weftwork.operators.selection import READ_ALL, last_task_time
 from weftwork.plans.rules import DossierRule
 from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents
@@ -72,6 +72,9 @@ def transform_files(
 ) -> None:
     """Files of each data schema to deduplicated elements, stored as cells and as documents.
 
+    A run that repeats another writes the same ids again; `sinks.tables.read_documents` and `operators.cells` give the
+    newest of each.
+
     A schema is a folder with the trees ``read`` and ``compact`` of sequence
     files. The mappings are those in scope, see `plans.scope.task_scope`; they
     are configuration, and are collected.
@@ -84,7 +87,7 @@ def transform_files(
         for schema_id, plans in sorted(by_schema.items()):
             frame = _trees(spark, f"{data_path}/{schema_id}", cursor, fmt, extension)
             if frame is not None:
-                built += [build_elements(frame, model, [mapping]) for model, mapping in plans]
+                built.append(build_mapped(frame, plans))
         entry["schemas"] = len(by_schema)
         if not built:
             return
@@ -107,17 +110,22 @@ def relate_identifiers(
     out: str,
     extension: str = ".txt",
 ) -> None:
-    """Identifier lines to entity and pair-link documents, with the counts of every stage."""
+    """Identifier lines to entity and pair-link documents, with the counts of every stage.
+
+    The documents of a resource replace those of an earlier run. The counts are those of this run, observed while the
+    documents are written.
+    """
     with task_history(spark, f"{out}/history", tableName="relation", resourceId=res_id) as entry:
-        lines = read_text_lines(spark, path, extension)
-        records = parse_identifiers(lines)
-        entry["srcCount"] = lines.count()
-        entry["countAfterParseJson"] = records.count()
-        write_documents(identifier_entities(records, entity_types, res_id), f"{out}/entities")
-        write_documents(pair_links(records, links, res_id), f"{out}/links")
-        # counted from what is stored, which reads the file footers only
-        entry["entityDataCount"] = spark.read.parquet(f"{out}/entities").count()
-        entry["linkDataCount"] = spark.read.parquet(f"{out}/links").count()
+        one = F.count(F.lit(1)).alias("n")
+        seen = {name: Observation(name) for name in ("srcCount", "countAfterParseJson", "entityDataCount", "linkDataCount")}
+        records = parse_identifiers(read_text_lines(spark, path, extension).observe(seen["srcCount"], one))
+        records = records.observe(seen["countAfterParseJson"], one)
+        found = identifier_entities(records, entity_types, res_id).observe(seen["entityDataCount"], one)
+        write_documents(found, f"{out}/entities/resource={res_id}", mode="overwrite")
+        unobserved = parse_identifiers(read_text_lines(spark, path, extension))
+        linked = pair_links(unobserved, links, res_id).observe(seen["linkDataCount"], one)
+        write_documents(linked, f"{out}/links/resource={res_id}", mode="overwrite")
+        entry |= {name: observation.get["n"] for name, observation in seen.items()}
 
 
 def collect_dossiers(
@@ -133,13 +141,13 @@ def collect_dossiers(
     until = until or datetime.now(timezone.utc)
     millis = int(until.timestamp() * 1000)
     history = f"{out}/history"
-    since = 0
-    if mode == INCREMENTAL:
-        since = last_task_time(read_history(spark, history), rule.doc_type, rule.model).first()["last_sync"]
     with task_history(
         spark, history, docType=rule.doc_type, elpModel=rule.model, elpType=rule.root_type, lastSynTimeStamp=millis
     ) as entry:
+        since = 0
+        if mode == INCREMENTAL:
+            since = last_task_time(read_history(spark, history), rule.doc_type, rule.model).first()["last_sync"]
         bounds = [F.timestamp_millis(F.lit(t)) for t in (since, millis)]
         documents = build_dossiers(cell_reader(cells, rule.model, *bounds), rule, resources)
-        documents.write.mode("overwrite").parquet(f"{out}/documents/{rule.doc_type}/{millis}")
+        stamped(documents).write.mode("overwrite").parquet(f"{out}/documents/{rule.doc_type}/{millis}")
         entry["count"] = spark.read.parquet(f"{out}/documents/{rule.doc_type}/{millis}").count()

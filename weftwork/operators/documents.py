@@ -48,11 +48,22 @@ def search_documents(
 def stamped(documents: DataFrame, indexed_at: Column | None = None) -> DataFrame:
     """Documents with the time they were indexed."""
     moment = F.current_timestamp() if indexed_at is None else indexed_at
-    stamp = F.create_map(F.lit(INDEXED_AT_FIELD), moment.cast("string"))
+    text = moment.cast("string")
+    if "fields" in documents.columns and documents.schema["fields"].dataType.valueType.typeName() == "array":
+        text = F.array(text)
+    stamp = F.create_map(F.lit(INDEXED_AT_FIELD), text)
     fields = F.map_concat("fields", stamp) if "fields" in documents.columns else stamp
     return documents.withColumn("fields", fields)
 
 
+def latest_documents(documents: DataFrame) -> DataFrame:
+    """Of the stored documents the newest of each collection and id, as an index that replaces by id has them."""
+    stamp = F.try_element_at("fields", F.lit(INDEXED_AT_FIELD))
+    others = [c for c in documents.columns if c not in ("collection", "id")]
+    newest = documents.groupBy("collection", "id").agg(F.max_by(F.struct(*others), stamp.cast("string")).alias("_d"))
+    return newest.select(*[F.col(c) if c in ("collection", "id") else F.col("_d")[c].alias(c) for c in documents.columns])
+
+
 def delete_by_query(documents: DataFrame, predicate: Column) -> DataFrame:
     """The documents that remain; one for which the predicate is unknown remains."""
     return documents.filter(~F.coalesce(predicate, F.lit(False)))

@@ -186,8 +186,13 @@ def dossier_values(read: Reader, rule: DossierRule) -> tuple[DataFrame, DataFram
     return roots.select("doc_key"), union_all([values, *related])
 
 
-def documents(keys: DataFrame, values: DataFrame, doc_type: str, part_size: int = PART_SIZE) -> DataFrame:
-    """``doc_id, doc_type, doc_key, part, fields``: the values of each key as ``map<field, array>``.
+def documents(
+    keys: DataFrame, values: DataFrame, doc_type: str, part_size: int = PART_SIZE, collection: str | None = None
+) -> DataFrame:
+    """``id, collection, doc_id, doc_type, doc_key, part, fields``: the values of each key as ``map<field, array>``.
+
+    ``id`` names the row: it is the ``doc_id`` for the first part, and has the number of the part added for others, so
+    a store that replaces by id keeps all parts. Without a ``collection`` they go to one named after the type.
 
     Keys missing in ``keys`` give nothing, and a key without values gives an
     empty document. A key with more than ``part_size`` values gets several
@@ -241,8 +246,12 @@ def documents(keys: DataFrame, values: DataFrame, doc_type: str, part_size: int
     assembled = per_field.groupBy("doc_key", "part").agg(
         F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("fields"), F.bool_or("is_root").alias("is_root")
     )
+    doc_id = F.concat(F.lit(doc_type + DOC_KEY_SEPARATOR), F.col("doc_key"))
+    part_id = F.when(F.col("part") > 0, F.concat(doc_id, F.lit(DOC_KEY_SEPARATOR), F.col("part").cast("string")))
     return assembled.filter("is_root").select(
-        F.concat(F.lit(doc_type + DOC_KEY_SEPARATOR), F.col("doc_key")).alias("doc_id"),
+        F.coalesce(part_id, doc_id).alias("id"),
+        F.lit(collection or doc_type.lower()).alias("collection"),
+        doc_id.alias("doc_id"),
         F.lit(doc_type).alias("doc_type"),
         "doc_key",
         "part",
@@ -256,7 +265,7 @@ def build_dossiers(
     """The documents of one rule, without the rows of the listed resources."""
     source = read if resources is None else excluding(read, resources)
     keys, values = dossier_values(source, rule)
-    return documents(keys, values, rule.doc_type, part_size)
+    return documents(keys, values, rule.doc_type, part_size, rule.collection)
 
 
 def field_values(docs: DataFrame) -> DataFrame:

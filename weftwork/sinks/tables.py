@@ -1,10 +1,11 @@
 """Tables of cells, documents, task history and cursors."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.operators.documents import stamped
+from weftwork.operators.documents import delete_by_query, latest_documents, stamped
+from weftwork.session import shared_folder
 from weftwork.plans.scope import upsert_cursor
 
 
@@ -18,6 +19,30 @@ def write_documents(documents: DataFrame, path: str, mode: str = "append", fmt:
     stamped(documents).write.mode(mode).partitionBy("collection").format(fmt).save(path)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Stored documents, the newest of each id: what was written again replaces what was there."""
+    return latest_documents(spark.read.parquet(path))
+
+
+def delete_documents(spark: SparkSession, path: str, predicate: Column) -> None:
+    """Remove the documents that satisfy the predicate; only the collections that hold some are rewritten.
+
+    What remains is written aside first, so a run that is cut short leaves the stored table or its copy whole.
+    """
+    stored = read_documents(spark, path)
+    touched = [r["collection"] for r in stored.filter(predicate).select("collection").distinct().collect()]
+    if not touched:
+        return
+    remaining = delete_by_query(stored.filter(F.col("collection").isin(touched)), predicate)
+    aside = shared_folder(spark, "remaining")
+    remaining.write.parquet(aside)
+    kept = spark.read.schema(remaining.schema).parquet(aside)
+    emptied = [c for c in touched if kept.filter(F.col("collection") == c).isEmpty()]
+    kept.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("collection").parquet(path)
+    for collection in emptied:  # a dynamic overwrite leaves partitions without rows as they are
+        kept.limit(0).drop("collection").write.mode("overwrite").parquet(f"{path}/collection={collection}")
+
+
 def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
     """The output of one micro-batch in a folder of its own, which a batch that runs again replaces."""
     frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
@@ -29,8 +54,17 @@ def append_history(spark: SparkSession, path: str, **entry) -> None:
     spark.range(1).select(*columns).write.mode("append").parquet(path)
 
 
+HISTORY = "docType string, elpModel string, status string, lastSynTimeStamp string"
+
+
 def read_history(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """The task history; one that does not exist yet has no rows."""
+    try:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], HISTORY)
 
 
 class CursorStore:

@@ -24,12 +24,17 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
     )
 
 
+def _reading(spark: SparkSession, fmt: str, **options):
+    """A reader that keeps the columns of every file: formats whose files carry a schema merge them."""
+    return spark.read.format(fmt).options(**({"mergeSchema": "true"} | options))
+
+
 def scan_files(spark: SparkSession, paths: list[str], fmt: str = "parquet", **options) -> DataFrame:
-    """Union of several files or folders by column name; a path that does not exist is skipped."""
+    """Union of several files or folders by column name, with the columns of all; a path that does not exist is skipped."""
     frames = []
     for path in paths:
         try:
-            frames.append(spark.read.format(fmt).options(**options).load(path))
+            frames.append(_reading(spark, fmt, **options).load(path))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -43,28 +48,29 @@ def read_text_lines(spark: SparkSession, path: str, extension: str = ".txt") ->
     return spark.read.option("pathGlobFilter", f"*{extension}*").text(path)
 
 
-def sequence_of(name: Column, extension: str) -> Column:
-    """The number a sequence file is named by; null for other names."""
-    stem = F.regexp_extract(name, rf"^(\d+){extension.replace('.', chr(92) + '.')}$", 1)
-    return F.nullif(stem, F.lit("")).try_cast("bigint")
+def sequence_of(path: Column, extension: str) -> Column:
+    """The number a sequence file is named by, or the folder of its name that holds it; null for other names."""
+    form = rf"(?:^|/)(\d+){extension.replace('.', chr(92) + '.')}(?:/[^/]+)?$"
+    return F.nullif(F.regexp_extract(path, form, 1), F.lit("")).try_cast("bigint")
 
 
 def sequence_files(spark: SparkSession, path: str, extension: str = ".parquet") -> DataFrame:
-    """``path, sequence_id`` of the files named ``<number><extension>``."""
-    files = list_files(spark, path, f"*{extension}")
-    return files.select("path", sequence_of(F.col("name"), extension).alias("sequence_id")).dropna()
+    """``path, sequence_id`` of the files named ``<number><extension>``, or in a folder of that name."""
+    files = list_files(spark, path, f"*{extension}", recursive=True)
+    return files.select("path", sequence_of(F.col("path"), extension).alias("sequence_id")).dropna()
 
 
 def read_sequence(
-    spark: SparkSession, path: str, cursor: int, fmt: str = "parquet", extension: str = ".parquet"
+    spark: SparkSession, path: str, cursor: int, fmt: str = "parquet", extension: str = ".parquet", **options
 ) -> DataFrame:
-    """The sequence files a cursor selects.
+    """The sequence files a cursor selects, with the columns of all files; one a file lacks is null in its rows.
 
-    Selection is a filter on the file name, which Spark applies to the listing,
-    so the other files are not opened.
+    Selection is a filter on the file path, which Spark applies to the listing, so the rows of other files are not
+    read. Files whose format carries no schema get that which Spark infers from all of them.
     """
-    number = sequence_of(F.col("_metadata.file_name"), extension)
-    frame = spark.read.format(fmt).option("pathGlobFilter", f"*{extension}").load(path)
+    number = sequence_of(F.col("_metadata.file_path"), extension)
+    reader = _reading(spark, fmt, pathGlobFilter=f"*{extension}", recursiveFileLookup="true", **options)
+    frame = reader.load(path)
     if cursor == READ_ALL:
         return frame.filter(number.isNotNull())
     highest = effective_sequences(sequence_files(spark, path, extension), cursor).agg(F.max("sequence_id")).first()[0]
