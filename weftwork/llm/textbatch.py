@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 4 << 20  # texts are worked on in parts of about this size, so that memory stays bounded
+SLICE_BYTES = 1 << 20  # texts are worked on in parts of about this size, so that memory stays bounded
 
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 1 << 64)
