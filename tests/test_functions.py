@@ -208,3 +208,15 @@ def test_addresses(spark):
 def test_addresses_round_trip(spark, numbers):
     frame = spark.createDataFrame([(n,) for n in numbers], "n bigint")
     assert frame.filter(ip_to_long(long_to_ip(F.col("n"))) != F.col("n")).isEmpty()
+
+
+def test_epoch_beyond_the_year_9999(spark):
+    frame = spark.createDataFrame([("253402300799999",), ("253402300800000",), ("9223371950454775",), ("92233719504547750",)], "t string")
+    t = F.col("t")
+    rows = frame.select(convert_temporal("datetime", t), convert_temporal("date", t), convert_temporal("time", t), convert_fixed("datetime", t)).collect()
+    assert [tuple(r) for r in rows] == [
+        ("10000-01-01 07:59:59", "10000-01-01 00:00:00", "07:59:59", "10000-01-01 07:59:59"),
+        ("10000-01-01 08:00:00", "10000-01-01 00:00:00", "08:00:00", "10000-01-01 08:00:00"),
+        ("294247-01-09 12:00:54", "294247-01-09 00:00:00", "12:00:54", "294247-01-09 12:00:54"),
+        (None, None, None, "92233719504547750"),
+    ]

@@ -22,7 +22,7 @@ from weftwork.constants import (
 )
 
 _ZONE_LETTERS = "XxZzOV"
-_MAX_EPOCH_MILLIS = 253402300799999  # the last millisecond of year 9999
+_MAX_EPOCH_MILLIS = 9223371950454775  # what a timestamp can hold, less a day for the zone
 
 
 def _number_at(parts: Column, position: int) -> Column:
@@ -65,13 +65,19 @@ def _time_of_day(seconds: Column) -> Column:
 
 
 def _clock(moment: Column) -> Column:
-    return F.substring(moment.cast("string"), 12, 8)
+    return F.nullif(F.regexp_extract(moment.cast("string"), r" (\d\d:\d\d:\d\d)", 1), F.lit(""))
+
+
+def _to_seconds(moment: Column) -> Column:
+    """The text of a moment without fractions; years beyond 9999 have more digits and no sign."""
+    return F.regexp_replace(moment.cast("string"), r"^\+|\.\d+$", "")
 
 
 def _from_epoch_millis(text: Column, zone: str) -> Column:
     millis = text.try_cast("bigint")
-    seconds = F.when(millis.between(0, _MAX_EPOCH_MILLIS), F.floor(millis / 1000))
-    moment = _plus_seconds(F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), seconds)
+    held = F.when(millis.between(0, _MAX_EPOCH_MILLIS), millis)
+    days = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(held / 86_400_000).cast("int"))
+    moment = _plus_seconds(days.cast("timestamp_ntz"), F.floor((held % 86_400_000) / 1000))
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), moment)
 
 
@@ -126,9 +132,9 @@ def parse_time(text: Column, patterns: list[str] = (), zone: str = PATTERN_ZONE)
 def convert_temporal(type_: str, text: Column, patterns: list[str] = (), zone: str = PATTERN_ZONE) -> Column:
     """Multi-pattern conversion of one property type, as normalised text; null when nothing reads it."""
     if type_ == DATE:
-        return parse_date(text, patterns, zone).cast("timestamp_ntz").cast("string")
+        return _to_seconds(parse_date(text, patterns, zone).cast("timestamp_ntz"))
     if type_ == DATETIME:
-        return F.substring(parse_datetime(text, patterns, zone).cast("string"), 1, 19)
+        return _to_seconds(parse_datetime(text, patterns, zone))
     if type_ == TIME:
         return parse_time(text, patterns, zone)
     raise ValueError(f"not a temporal type: {type_}")
@@ -149,4 +155,4 @@ def convert_fixed(type_: str, text: Column, zone: str = PATTERN_ZONE) -> Column:
         .when(text.rlike(DATETIME_FORM), _lenient_datetime(text))
         .when(text.rlike(DATE_FORM), _lenient_date(text).cast("timestamp_ntz"))
     )
-    return F.coalesce(F.substring(converted.cast("string"), 1, 19), F.nullif(text, F.lit("")))
+    return F.coalesce(_to_seconds(converted), F.nullif(text, F.lit("")))
