@@ -111,14 +111,17 @@ WITH ends AS (
     CASE type WHEN 'phone_mail' THEN 'mail_box' ELSE 'phone_number' END AS target FROM ({_PAIRS_SQL}))
 SELECT DISTINCT 'rel@' || greatest(a, b) || '~`#' || least(a, b) AS id, 'std_relation_index' AS collection, type AS relation_type,
   '1' AS direction_type,
+  CASE WHEN a >= b THEN source ELSE target END AS from_entity_type,
   CASE WHEN a >= b THEN source ELSE target END || '~`#' || greatest(a, b) AS from_entity_id,
+  CASE WHEN a >= b THEN target ELSE source END AS to_entity_type,
   CASE WHEN a >= b THEN target ELSE source END || '~`#' || least(a, b) AS to_entity_id
 FROM ends
 """)
 def q_pair_links(spark: SparkSession, folder: str) -> DataFrame:
     """Link documents of pairs, each once."""
     made = pair_links(parse_identifiers(lines(spark, folder)), LINKS, "rel")
-    return made.select("id", "collection", "relation_type", "direction_type", "from_entity_id", "to_entity_id").distinct()
+    ends = ("from_entity_type", "from_entity_id", "to_entity_type", "to_entity_id")
+    return made.select("id", "collection", "relation_type", "direction_type", *ends).distinct()
 
 
 @query(f"""

@@ -239,7 +239,7 @@ UNION ALL
 SELECT 'contains', 'contains~`#' || l_orderkey || '~`#' || l_linenumber, CAST(count(*) AS BIGINT) FROM lineitem GROUP BY ALL
 """)
 def q_batch_fanout(spark: SparkSession, folder: str) -> DataFrame:
-    """Two mappings of one table as column expressions over a single scan."""
+    """Two mappings of one table over a single scan."""
     built = build_elements(lines(spark, folder), SHOP, [MAP_CONTAINS, MAP_SUPPLIES])
     return built.groupBy("type_id", "element_id").agg(F.count(F.lit(1)).alias("copies"))
 
@@ -253,13 +253,13 @@ SELECT sequence_id || '@shop_' || CASE kind WHEN 'Entity' THEN 'entity' ELSE 're
     '{{"rowkey":"' || res_id || '@' || element_id || '","relation_id":"' || element_id || '","relation_type":"' || type_id
     || '","direction_type":"' || direction_type || '","from_entity_type":"' || from_entity_type || '","from_entity_id":"'
     || from_entity_id || '","to_entity_type":"' || to_entity_type || '","to_entity_id":"' || to_entity_id || '",'
-  END || '"owner":"","dsId":"' || res_id || '"' AS head
+  END || '"owner":"","dsId":"' || res_id || '","body":{{' || replace(regexp_replace(
+    body_text, '(\\w+)=([^;:]*):(\\w+)', '"\\1":{{"value":"\\2","type":"\\3"}}', 'g'), ';', ',') || '}}}}' AS value
 FROM ({FANOUT_SQL})
 """)
 def q_element_messages(spark: SparkSession, folder: str) -> DataFrame:
-    """Elements as keyed JSON messages, shown up to the body."""
-    messages = element_messages(fan_out(raw_records(spark, folder), shop_mappings(spark)))
-    return messages.select("key", F.substring_index("value", ',"body":', 1).alias("head"))
+    """Elements as keyed JSON messages."""
+    return element_messages(fan_out(raw_records(spark, folder), shop_mappings(spark)))
 
 
 @query("""

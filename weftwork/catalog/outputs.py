@@ -292,10 +292,20 @@ def q_size_estimate(spark: SparkSession, folder: str) -> DataFrame:
     return size_estimate(table(spark, folder, "documents"), ["doc_id", "text", "lang"], block_mb=2)
 
 
-@query()
+@query("SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS unknown, true AS one_each FROM lineitem")
 def q_partition_sample(spark: SparkSession, folder: str) -> DataFrame:
-    """One row of each partition that is read."""
-    return one_per_partition(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
+    """One row of each partition that is read: every one is in the table, and no partition gives two."""
+    keys = ["l_orderkey", "l_linenumber"]
+    lines = table(spark, folder, "lineitem").select(*keys)
+    sample = one_per_partition(lines)
+    found = sample.join(lines.distinct().withColumn("known", F.lit(True)), keys, "left")
+    marked = found.select(F.lit(0).alias("row"), F.col("known").isNull().cast("long").alias("lost"), "partition")
+    both = marked.unionByName(lines.select(F.lit(1).alias("row"), F.lit(0).cast("long").alias("lost"), F.lit(None).cast("int").alias("partition")))
+    return both.agg(
+        F.sum("row").cast("long").alias("rows"),
+        F.sum("lost").alias("unknown"),
+        (F.count("partition") == F.count_distinct("partition")).alias("one_each"),
+    )
 
 
 def _history(spark: SparkSession, folder: str) -> DataFrame:

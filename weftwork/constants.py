@@ -75,4 +75,3 @@ CONSTANT_TAGS = {"PEOPLE": {"tab_s_showTag": "重点人员"}}
 TRANSFORM_METRIC = "trans.task.resid"
 LOAD_METRIC = "load.task.resid"
 TASK_SUCCESSFUL = "successful"
-TASK_STATUSES = ("append", "running", "successful", "interrupted", "failure")
