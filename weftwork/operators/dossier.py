@@ -25,12 +25,13 @@ from weftwork.functions.properties import property_value
 from weftwork.operators.cells import scan_cells
 from weftwork.operators.dedup import dedup_by_key
 from weftwork.operators.elements import union_all
-from weftwork.operators.joins import SALTS, adaptive_join
+from weftwork.operators.joins import adaptive_join
 from weftwork.operators.selection import exclude_resources, with_key
 from weftwork.plans.rules import DossierRule, Extension, Related
 
 VALUE_COLUMNS = ["doc_key", "field", "value", "copies"]
 PART_SIZE = 100_000  # values in one part of a document
+SALTS = 32  # tasks over which the values of a large key are spread before they get their part
 
 # (kind, element type, properties) -> frame with ``resid`` and the properties as columns
 Reader = Callable[[str, str, list[str]], DataFrame]

@@ -1,65 +1,23 @@
-"""Joins whose broadcast is decided by a measured size, with a salted join beyond it."""
+"""Joins whose broadcast is decided by a size that is measured up to a bound, with an adaptive join beyond it."""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_ROWS = 1_000_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-HOT_KEYS = 200  # any key with more than a 200th of the rows is among them
-SALTS = 32
 
 
 def fits_broadcast(
     frame: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
 ) -> bool:
-    """Measure a frame: its rows and the bytes of their JSON text."""
-    measured = frame.agg(
+    """Whether rows and the bytes of their JSON text stay within the bounds; no more rows than that are looked at."""
+    measured = frame.limit(max_rows + 1).agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0)).alias("bytes"),
     ).first()
     return measured["rows"] <= max_rows and measured["bytes"] <= max_bytes
 
 
-def hot_keys(frame: DataFrame, keys: list[str], limit: int = HOT_KEYS) -> DataFrame:
-    """The ``limit`` most frequent keys.
-
-    Their number does not grow with the frame, so the result may always be
-    broadcast. A key that is among them without being hot only costs a few
-    repeated rows.
-    """
-    counts = frame.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.orderBy(F.desc("_n"), *keys).limit(limit).select(*keys)
-
-
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    keys: list[str],
-    how: str,
-    salts: int = SALTS,
-) -> DataFrame:
-    """Shuffle join where each hot key of the left side is spread over ``salts`` partitions.
-
-    Only the right rows of hot keys are repeated. The salt of a left row is the
-    task that reads it, so copies of one row spread as well, and a task that is
-    run again gives its rows the same salt. ``how`` is inner, left, left_semi
-    or left_anti.
-    """
-    hot = F.broadcast(hot_keys(left, keys).withColumn("_hot", F.lit(True)))
-    unmatched = F.lit(False)
-    for key in keys:
-        unmatched = unmatched | F.col(key).isNull()
-    spread = F.pmod(F.spark_partition_id(), F.lit(salts))
-    salted_left = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | unmatched, spread).otherwise(F.lit(0)))
-        .drop("_hot")
-    )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = right.join(hot, keys, "left").withColumn("_salt", F.explode(copies)).drop("_hot")
-    return salted_left.join(salted_right, [*keys, "_salt"], how).drop("_salt")
-
-
 def adaptive_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join of two sides whose sizes are known at run time only.
 
@@ -81,7 +39,7 @@ def sized_join(
     max_rows: int = MAX_BROADCAST_ROWS,
     max_bytes: int = MAX_BROADCAST_BYTES,
 ) -> DataFrame:
-    """Broadcast the right side when its measured size allows it, else `salted_join`.
+    """Broadcast the right side when it is small, as measured up to the bound, else `adaptive_join`.
 
     A streaming left side gets no hint: a size measured now would not hold for
     later micro-batches, so Spark decides for each batch from the statistics.
@@ -90,4 +48,4 @@ def sized_join(
         return left.join(right, keys, how)
     if fits_broadcast(right, max_rows, max_bytes):
         return left.join(F.broadcast(right), keys, how)
-    return salted_join(left, right, keys, how)
+    return adaptive_join(left, right, keys, how)
