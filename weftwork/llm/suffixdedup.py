@@ -251,7 +251,9 @@ def repeated_spans(
         hot_anchors = open_anchors.filter(F.col("kinds") > hot).select("anchor")
         shards = max(1, -(-int(volume) // SHARD_BYTES))
         cold = pieces.join(hot_anchors, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
-        sorted_spans = cold.groupBy("shard").applyInArrow(_sort_shard(length), _SPANS)
+        # Few bytes mean much sorting here, so the shards are not gathered into partitions by their size.
+        tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards // 64)
+        sorted_spans = cold.repartition(tasks, "shard").groupBy("shard").applyInArrow(_sort_shard(length), _SPANS)
         spans = spans.unionByName(sorted_spans)
         if not hot_anchors.isEmpty():
             heated = pieces.join(hot_anchors, "anchor").select("doc_id", "version", "first", "anchor", "n", "piece")
