@@ -5,7 +5,7 @@ import random
 import re
 
 from weftwork.llm import queries
-from weftwork.llm.linededup import without_repeated_lines
+from weftwork.llm.linededup import repeated_lines, without_repeated_lines
 
 FOLDER = "/root/testdata/sf0.01"
 SPACE = " \t\n\x0b\x0c\r"
@@ -111,3 +111,51 @@ def test_shared_passages_in_random_places(spark):
         if sum(len(words(x)) for x in lines) >= 16:
             assert sum(any(f"p{p} " in x for x in text.split("\n")) for text in left.values()) <= 1
     assert all(f"u{i} 0" in text for i, text in left.items())
+
+
+def repeats(rows, min_words=16):
+    """All lines of later runs of ``min_words`` that stand earlier too, apart from each other."""
+    texts = sorted((i, [line.strip(SPACE) for line in t.split("\n")]) for i, t in rows)
+    first, out = {}, {i: set() for i, _ in texts}
+    for i, lines in texts:
+        for start in range(len(lines)):
+            total = 0
+            for end in range(start, len(lines)):
+                total += max(1, len(words(lines[end])))
+                if total >= min_words:
+                    at = first.setdefault(tuple(lines[start : end + 1]), (i, start))
+                    if at[0] != i or at[1] + end - start < start:
+                        out[i].update(range(start, end + 1))
+                if total >= 3 * min_words:
+                    break
+    return out
+
+
+def test_other_places_than_the_first_of_a_fingerprint(spark):
+    line = lambda name: " ".join(f"{name}{k}" for k in range(10))
+    rows = [(1, "xfy"), (2, "almb"), (3, "clmd"), (4, "flg"), (5, "hmi"), (6, "plmfq"), (7, "rlmfs"), (8, "tfu"), (9, "vlmfw")]
+    rows = [(i, "\n".join(map(line, t))) for i, t in rows]
+    left = {r.doc_id: r.text for r in without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert left[3] == line("c") + "\n" + line("d") and left[7] == line("r") + "\n" + line("s") and left[9] == line("v") + "\n" + line("w")
+    # Versions of passages: pieces of different lengths in many texts, lines of one word to twelve.
+    rng = random.Random(7)
+    passages = [["p%d.%d " % (p, k) + "w " * rng.randrange(12) for k in range(14)] for p in range(15)]
+    rows = []
+    for i in range(500):
+        lines = []
+        for part in range(rng.randrange(1, 4)):
+            a = rng.randrange(13)
+            lines += ["u%d.%d" % (i, part) + " q" * rng.randrange(9)] + rng.choice(passages)[a : a + rng.randrange(1, 9)]
+        rows.append((i, "\n".join(lines)))
+    rows += [(500, "\n".join(f"line {k % 20}" for k in range(60))), (501, "\n".join(["z"] * 100))]
+    want = repeats(rows)
+    found = {r.doc_id: set(r.drop) for r in repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert sum(map(len, want.values())) > 1000
+    assert not {i: lines - found.get(i, set()) for i, lines in want.items() if lines - found.get(i, set())}
+
+
+def test_every_repeated_run_of_the_documents(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    want = repeats([(r.doc_id, r.text) for r in docs.collect() if r.text is not None and r.doc_id is not None])
+    found = {r.doc_id: set(r.drop) for r in repeated_lines(docs).collect()}
+    assert not {i: lines - found.get(i, set()) for i, lines in want.items() if lines - found.get(i, set())}

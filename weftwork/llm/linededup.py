@@ -11,6 +11,11 @@ both ways, line by line, as long as both texts agree, up to the fingerprints nex
 own; the matched run is deleted from the later text. Fewer than ``2 * min_words`` lines lie between two fingerprints, so
 what is joined is bounded. The two runs may not overlap when they lie in one text: the match ends before the later run
 begins.
+
+The first place of a fingerprint may agree on less than another early one. So the windows over each repeated fingerprint,
+the shortest runs of ``min_words`` from a line on and up to a line, are looked up as a whole too: a window that stands
+anywhere earlier is deleted. Each line of a repeated run that weighs ``min_words`` lies in such a window, and each window
+of the run holds one of its fingerprints, so all lines of all these runs go.
 """
 
 import numpy as np
@@ -19,11 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.llm.common import written
-from weftwork.llm.textbatch import Hasher, signed, sliced, text_buffers, word_spans
+from weftwork.llm.textbatch import Hasher, run_hashes, signed, sliced, text_buffers, word_spans
 
 GRAM_WORDS, MIN_WORDS = 8, 16
 
-_LINES = "doc_id long, version long, lines array<long>, marks array<int>, grams array<long>"
+_LINES = "doc_id long, version long, lines array<long>, weights array<int>, marks array<int>, grams array<long>"
 
 
 def line_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -101,17 +106,36 @@ def _winnow(gram_words: int, min_words: int):
                     batch.column(0),
                     batch.column(1),
                     pa.ListArray.from_arrays(ends, pa.array(signed(hashes))),
+                    pa.ListArray.from_arrays(ends, pa.array(np.minimum(weights, min_words).astype(np.int32))),
                     pa.ListArray.from_arrays(mark_ends, pa.array(marks, pa.int32())),
                     pa.ListArray.from_arrays(mark_ends, pa.array(signed(np.array(grams, dtype=np.uint64)))),
                 ],
-                names=["doc_id", "version", "lines", "marks", "grams"],
+                names=["doc_id", "version", "lines", "weights", "marks", "grams"],
             )
 
     return run
 
 
+def windows(hashes: np.ndarray, weights: np.ndarray, wanted: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begins, ends and hashes of the shortest runs of ``min_words`` from a line on, and up to a line, that hold a wanted line."""
+    n = len(hashes)
+    sums = np.concatenate([[0], np.cumsum(weights, dtype=np.int64)])
+    lines = np.arange(n)
+    on = np.searchsorted(sums, sums[:-1] + min_words)
+    back = np.searchsorted(sums, sums[1:] - min_words, side="right") - 1
+    pairs = np.concatenate([np.stack([lines, on], 1)[on <= n], np.stack([back, lines + 1], 1)[back >= 0]])
+    marked = np.zeros(n + 1, np.int64)
+    marked[wanted + 1] = 1
+    marked = np.cumsum(marked)
+    pairs = np.unique(pairs[marked[pairs[:, 1]] > marked[pairs[:, 0]]], axis=0)
+    return pairs[:, 0], pairs[:, 1], run_hashes(hashes, pairs[:, 0], pairs[:, 1])
+
+
 def _contexts(min_words: int):
-    """For each wanted fingerprint its lines, those back to the one before it, and those on to the end of the next."""
+    """For each wanted fingerprint its lines, those back to the one before it, and those on to the end of the next.
+
+    And, with an end ``to``, all windows over wanted fingerprints.
+    """
 
     def run(batches):
         for batch in batches:
@@ -123,10 +147,14 @@ def _contexts(min_words: int):
                     at, k = w["at"], place[w["at"]]
                     begin = marks[k - 1] if k else 0
                     end = marks[k + 1] + min_words if k + 1 < len(marks) else len(lines)
-                    out.append((w["hash"], w["is_first"], row["doc_id"], row["version"], at, lines[begin:at], lines[at:end]))
-            columns = list(zip(*out)) or [[] for _ in range(7)]
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            names = ["hash", "is_first", "doc_id", "version", "at", "back", "on"]
+                    out.append((w["hash"], w["is_first"], row["doc_id"], row["version"], at, lines[begin:at], lines[at:end], None))
+                at = np.array([w["at"] for w in row["wanted"]])
+                found = windows(np.array(lines, np.int64).view(np.uint64), np.array(row["weights"]), at, min_words)
+                for begin, end, value in zip(*(x.tolist() for x in (found[0], found[1], signed(found[2])))):
+                    out.append((value, None, row["doc_id"], row["version"], begin, None, None, end))
+            columns = list(zip(*out)) or [[] for _ in range(8)]
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.int32()]
+            names = ["hash", "is_first", "doc_id", "version", "at", "back", "on", "to"]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
     return run
@@ -156,6 +184,20 @@ def _runs(batches):
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "begin", "end"])
 
 
+def _union(batches):
+    """The numbers of the lines that the runs of a text cover."""
+    for batch in batches:
+        drops = []
+        for runs in batch.column(2):
+            begins, ends = (runs.values.field(k).to_numpy() for k in (0, 1))
+            covered = np.zeros(int(ends.max()) + 1, np.int64)
+            np.add.at(covered, begins, 1)
+            np.add.at(covered, ends, -1)
+            drops.append(np.flatnonzero(np.cumsum(covered)).astype(np.int32))
+        columns = [batch.column(0), batch.column(1), pa.array(drops, pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "drop"])
+
+
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", gram_words: int = GRAM_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
     """``(doc_id, version, drop)``: for each text with repeated runs, the numbers of the lines to delete.
 
@@ -171,20 +213,24 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     firsts = marks.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last")
     wanted = marks.join(firsts.select("hash", "first"), "hash").withColumn("is_first", place == F.col("first"))
     wanted = wanted.groupBy("doc_id", "version").agg(F.collect_set(F.struct("at", "hash", "is_first")).alias("wanted"))
-    own = lines.select("doc_id", "version", "lines", "marks").dropDuplicates(["doc_id", "version"])
-    both = own.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "lines", "marks", "wanted")
-    schema = "hash long, is_first boolean, doc_id long, version long, at int, back array<long>, on array<long>"
+    own = lines.select("doc_id", "version", "lines", "weights", "marks").dropDuplicates(["doc_id", "version"])
+    both = own.join(wanted, ["doc_id", "version"]).select("doc_id", "version", "lines", "weights", "marks", "wanted")
+    schema = "hash long, is_first boolean, doc_id long, version long, at int, back array<long>, on array<long>, to int"
     contexts = written(both.mapInArrow(_contexts(min_words), schema), "line-contexts")
     first = contexts.filter("is_first").select(
         "hash", F.col("doc_id").alias("first_id"), F.col("version").alias("first_version"), F.col("at").alias("first_at"),
         F.col("back").alias("first_back"), F.col("on").alias("first_on"),
     )
-    later = contexts.filter("not is_first").join(first, "hash").drop("hash", "is_first")
+    later = contexts.filter("not is_first").join(first, "hash").drop("hash", "is_first", "to")
     later = later.select("doc_id", "version", *[c for c in later.columns if c not in ("doc_id", "version")])
     found = later.mapInArrow(_runs, "doc_id long, version long, begin int, end int")
-    found = found.groupBy("doc_id", "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-    numbers = F.flatten(F.transform("runs", lambda r: F.sequence(r["begin"], r["end"] - 1)))
-    return found.select("doc_id", "version", F.array_sort(F.array_distinct(numbers)).alias("drop"))
+    runs = contexts.filter("to is not null").select("hash", "doc_id", "version", "at", "to")
+    earliest = runs.groupBy("hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).filter("first <> last").drop("last")
+    # In one text, the earlier place has to end before the later one begins.
+    apart = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("version") != F.col("first.version")) | (F.col("at") - F.col("first.at") >= F.col("to") - F.col("at"))
+    again = runs.join(earliest, "hash").filter(apart).select("doc_id", "version", F.col("at").alias("begin"), F.col("to").alias("end"))
+    found = found.unionAll(again).groupBy("doc_id", "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
+    return found.mapInArrow(_union, "doc_id long, version long, drop array<int>")
 
 
 def without_repeated_lines(

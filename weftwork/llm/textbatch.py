@@ -84,6 +84,14 @@ class Hasher:
         return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of runs of 64-bit values, by running sums as above."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(mix(values + np.uint64(1)) * _power(_R, len(values)), out=sums[1:])
+    raw = (sums[ends] - sums[starts]) * _power(_R_INVERSE, len(values) + 1)[starts]
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+
+
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true bytes; a run ends where its text ends."""
     if not len(inside):
