@@ -7,7 +7,7 @@ import re
 import pytest
 
 from weftwork.llm import queries
-from weftwork.llm.wrappers import KEY, NEEDED, REPEATED, aligned, folded, main_texts, merged, parse, wrapper_of
+from weftwork.llm.wrappers import KEY, NEEDED, REPEATED, aligned, folded, main_texts, marked, match, merged, parse, wrapper_of
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -85,3 +85,28 @@ def test_awkward_pages(spark):
     assert by_id[1] == "A & B C" and by_id[2] == "" and by_id[3] == "" and by_id[None] == "text only"
     assert by_id[4] == ("word " * 300000).strip() and by_id[5] == "deep" and by_id[7] == "a" and by_id[8].endswith("1 < 2 < 3")
     assert main_texts(frame.limit(0)).count() == 0
+
+
+def texts_of(pages):
+    """The main texts of the pages of one host, without Spark."""
+    whole = None
+    for page in pages:
+        one = wrapper_of(parse(page))
+        whole = one if whole is None else merged(whole, one, True)
+    marked(whole)
+    found = []
+    for page in pages:
+        out = []
+        match(whole, parse(page), out)
+        found.append("\n".join(out))
+    return found
+
+
+def test_groups_within_groups():
+    section = lambda n, k: f"<h2>s{n} {k}</h2>" + "".join(f"<h3>t{n} {k} {i}</h3><p>x{n} {k} {i}</p>" for i in range(2))
+    rng, pages = random.Random(5), ["<article>" + "".join(section(n, k) for k in range(1 + n)) + "</article>" for n in range(5)]
+    pages += ["<article>" + "".join(f"<h2>a{n} {k}</h2>" + f"<p>b{n} {k}</p><ul><li>c{n} {k}</ul>" * 2 for k in range(n)) + "</article>" for n in range(1, 6)]
+    pages += ["<article>" + "".join(f"<{t}>{t} {n} {k}</{t}>" for k, t in enumerate(rng.choices(["h2", "h3", "p", "figure"], k=30))) + "</article>" for n in range(40)]
+    want = ["\n".join(re.findall(r">([^<>]+)", page)) for page in pages]
+    for some in (range(4), range(4, 5), range(5), range(5, 10), range(10), range(10, 50), range(50)):
+        assert texts_of([pages[k] for k in some]) == [want[k] for k in some]

@@ -328,11 +328,14 @@ def marked(wrapper: list) -> None:
     walk(wrapper, False, False)
 
 
+def in_line(stream: list) -> list:
+    """The nodes of a stream with those of its groups, which may hold groups, in their place; a group may begin again."""
+    return [x for node in stream for x in (in_line(node[CHILDREN]) if node[KEY].startswith("(") else [node])]
+
+
 def match(wrapper: list, element: Element, out: list[str]) -> None:
     """Reads the main slots of a page along its wrapper."""
-    flat = []  # the nodes of groups stand in line; a group may begin again
-    for node in wrapper[CHILDREN]:
-        flat += node[CHILDREN] if node[KEY].startswith("(") else [node]
+    flat = in_line(wrapper[CHILDREN])
     cursor = 0
     for child in element.children:
         key = SLOT if isinstance(child, tuple) else child.key
