@@ -110,3 +110,30 @@ def test_groups_within_groups():
     want = ["\n".join(re.findall(r">([^<>]+)", page)) for page in pages]
     for some in (range(4), range(4, 5), range(5), range(5, 10), range(10), range(10, 50), range(50)):
         assert texts_of([pages[k] for k in some]) == [want[k] for k in some]
+
+
+WHOLE_PAGES = [
+    "<body class='single has-sidebar'>{a}<div class=sidebar>Side {n}</div></body>",
+    "<body class='single has-sidebar'><article class='post'>{a}</article><div class=sidebar><p>Side {n}</p></div></body>",
+    "<body id=top><main class='content with-sidebar'>{a}<div class=share>Share {n}</div></main><div class=comments>Nice {n}</div></body>",
+    "<body><article class='post has-comments'>{a}<div class=comments>Nice {n}</div></article><div class=widget>Ad {n}</div></body>",
+    "<body><article class='ad-free'>{a}</article><article class='comment'>Nice {n}</article></body>",
+    "<body><main><article class='post ad-free'>{a}</article><p class=notice>Notice {n}</p></main></body>",
+    "<body><main><article class='ad-free'>{a}</article></main><aside>Side {n}</aside></body>",
+    "<body><div class='page has-sidebar'><article>{a}</article><div class=sidebar>Side {n}</div></div></body>",
+    "<body><div class='content with-sidebar'>{a}<div class=widget>Ad {n}</div></div><div class=footer>Foot {n}</div></body>",
+    "<body><div class='wrap has-menu'>{a}<div class=menu>Menu {n}</div></div></body>",
+    "<body><article><div class='entry with-sidebar'>{a}</div><div class=related>Other {n}</div></article></body>",
+    "<body><div class='post-content'>{a}</div><div class='post-comments'>Nice {n}</div></body>",
+    "<body><article>{a}<div><div class=share>Share {n}</div><div class=ad>Ad {n}</div></div></article></body>",
+    "<body><main>{a}</main><article class=comment>Nice {n}</article></body>",
+    "<body><main>{a}</main><div id=comments>" + "<article class=comment>Nice {n} and some more text here</article>" * 9 + "</div></body>",
+]
+
+
+@pytest.mark.parametrize("page", WHOLE_PAGES)
+def test_words_that_tell_what_a_whole_page_has(page):
+    blocks = [[f"title {n}"] + [f"block {n} {k} of the text of this article" for k in range(2 + n % 3)] for n in range(6)]
+    pages = [page.format(a=f"<h1>{b[0]}</h1>" + "".join(f"<p>{x}</p>" for x in b[1:]), n=n) for n, b in enumerate(blocks)]
+    assert texts_of(pages) == ["\n".join(b) for b in blocks]
+    assert [texts_of([p])[0] for p in pages] == ["\n".join(b) for b in blocks]

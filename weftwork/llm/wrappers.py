@@ -55,6 +55,8 @@ SKIPPED_WORDS = set(
     " comments disqus reply replies respond share sharing social related recommended recommendations breadcrumb breadcrumbs pagination"
     " pager toolbar widget widgets skip search masthead topbar alert hidden copyright discussion reactions outbrain taboola".split()
 )
+WHOLE = {"html", "body", "main"}  # never skipped for the words of their class and id
+FAR_MORE = 4  # times the text of another element, which then is no match for it
 HEADER_WORDS = {"header", "head", "top"}
 MAIN_WORDS = {"article", "articlebody", "content", "main", "maincontent", "post", "entry", "story", "body"}
 
@@ -254,75 +256,146 @@ def aligned(a: list, b: list, pages: bool) -> list:
     return out
 
 
-def skipped(key: str, in_article: bool) -> bool:
-    """Whether an element of this key is no part of the main text, with all that is in it."""
+def barred(key: str, in_article: bool) -> bool:
+    """Whether an element's name, role or hiding says that it is no part of the main text, with all that is in it."""
     tag, *words = key.split(" ")
     role = next((w[1:] for w in words if w[0] == "="), "")
+    return tag.endswith("!") or tag in SKIPPED or role in SKIPPED_ROLES or tag == "header" and not in_article
+
+
+def doubtful(key: str, in_article: bool) -> bool:
+    """Whether the words of its class and id say so, which may as well tell what the element has beside its text."""
+    tag, *words = key.split(" ")
     names = {w for w in words if w[0] != "="}
-    if tag.endswith("!") or tag in SKIPPED or role in SKIPPED_ROLES or names & SKIPPED_WORDS:
-        return True
-    return not in_article and (tag == "header" or bool(names & HEADER_WORDS and not names & MAIN_WORDS))
+    if tag in WHOLE or "=main" in words:
+        return False
+    return bool(names & SKIPPED_WORDS) or not in_article and bool(names & HEADER_WORDS and not names & MAIN_WORDS)
+
+
+def _kept(node: list, in_article: bool, spare: set) -> list:
+    """The children that are not skipped."""
+    plain = lambda key: key == SLOT or key.startswith("(")
+    return [
+        c for c in node[CHILDREN]
+        if plain(c[KEY]) or not barred(c[KEY], in_article) and (id(c) in spare or not doubtful(c[KEY], in_article))
+    ]
 
 
-def _totals(node: list, in_article: bool) -> tuple[int, int]:
-    """Characters, and characters in links, of what is not skipped."""
+def _totals(node: list, in_article: bool, spare: set = frozenset()) -> tuple[int, int]:
+    """Characters, and characters in links, of what is not skipped in a node that itself is not."""
     if node[KEY] == SLOT:
         return node[CHARS], node[LINKED]
-    if not node[KEY].startswith("(") and skipped(node[KEY], in_article):
-        return 0, 0
-    parts = [_totals(c, in_article) for c in node[CHILDREN]]
+    parts = [_totals(c, in_article, spare) for c in _kept(node, in_article, spare)]
     return sum(p[0] for p in parts), sum(p[1] for p in parts)
 
 
-def _roots(node: list, wanted, out: list) -> list:
+def _doubts(node: list, in_article: bool, spare: set, out: list) -> list:
+    """The outermost doubtful elements that are not spared."""
+    kept = {id(c) for c in _kept(node, in_article, spare)}
     for child in node[CHILDREN]:
-        if child[KEY] == SLOT or not child[KEY].startswith("(") and skipped(child[KEY], False):
-            continue
-        if wanted(child[KEY]):
+        if id(child) in kept:
+            _doubts(child, in_article, spare, out)
+        elif not barred(child[KEY], in_article):
             out.append(child)
-        else:
-            _roots(child, wanted, out)
     return out
 
 
-def main_nodes(wrapper: list) -> list:
-    """The wrapper elements that hold the article."""
+def _all_text(node: list, in_article: bool) -> int:
+    return node[CHARS] + sum(_all_text(c, in_article) for c in node[CHILDREN] if c[KEY].startswith("(") or c[KEY] == SLOT or not barred(c[KEY], in_article))
+
+
+def spared(root: list, in_article: bool) -> set:
+    """The ids of doubtful elements that are not skipped, as they hold by far the most of the root's text: their words
+    describe a whole page or article. In an article they have to be named as its body as well, if there is other text."""
+    spare: set = set()
+    while True:
+        rest = _totals(root, in_article, spare)[0]
+        far = [
+            (_all_text(d, in_article), -k, d) for k, d in enumerate(_doubts(root, in_article, spare, []))
+            if not d[REPEATED] and (not in_article or not rest or set(d[KEY].split(" ")[1:]) & MAIN_WORDS)
+        ]
+        best = max(far, default=None, key=lambda f: f[:2])
+        if best is None or best[0] <= FAR_MORE * rest:
+            return spare
+        spare.add(id(best[2]))
+
+
+def _roots(node: list, wanted, out: list, doubts: int = 0) -> list:
+    """The outermost wanted elements, each with 0, 1 if its own words are doubtful, 2 if those of one around it are."""
+    for child in node[CHILDREN]:
+        if child[KEY] == SLOT:
+            continue
+        if child[KEY].startswith("("):
+            _roots(child, wanted, out, doubts)
+        elif not barred(child[KEY], False):
+            own = doubtful(child[KEY], False)
+            if wanted(child[KEY]):
+                out.append((child, doubts or int(own)))
+            else:
+                _roots(child, wanted, out, 2 if own else doubts)
+    return out
+
+
+def main_nodes(wrapper: list) -> tuple[list, set]:
+    """The wrapper elements that hold the article, and the ids of doubtful elements that are not skipped in them.
+
+    Elements with doubtful words count if nothing else says that it is the article, or only what is far shorter, and
+    if they have more text than all that is not skipped beside them.
+    """
     tag = lambda key: key.split(" ")[0]
+    possible: list = []  # doubtful elements, first those that are surer
     for wanted in (
         lambda key: tag(key) == "article",
         lambda key: tag(key) == "main" or "=main" in key.split(" "),
         lambda key: bool(set(key.split(" ")[1:]) & MAIN_WORDS),
     ):
-        found = [(sum(_totals(n, True)[:1]), k, n) for k, n in enumerate(_roots(wrapper, wanted, []))]
-        found = [f for f in found if f[0]]
-        if found:
-            most = max(f[0] for f in found)
-            return [n for chars, _, n in found if 4 * chars >= most]
+        found = [(_totals(n, True, spared(n, True))[0], doubts, n) for n, doubts in _roots(wrapper, wanted, [])]
+        sure = [f for f in found if f[0] and not f[1]]
+        unsure = [f for f in found if f[0] and f[1] and not f[2][REPEATED]] or [f for f in found if f[0] and f[1]]
+        if unsure:
+            possible.append(unsure)
+        if sure:
+            break
+    most = max((f[0] for f in sure), default=0)
+    for unsure in possible:
+        best = max(f[0] for f in unsure)
+        rest = _totals(wrapper, False)[0]
+        if best > (FAR_MORE * most if sure else rest):
+            sure, most = unsure, best
+            break
+    if sure:
+        roots = [f[2] for f in sure if FAR_MORE * f[0] >= most]
+        return roots, set().union(*(spared(n, True) for n in roots))
+    spare = spared(wrapper, False)
     node = wrapper  # no element says so: the smallest one that holds most of the text
     while True:
-        total = _totals(node, False)[0]
-        inner = [c for c in node[CHILDREN] if c[KEY] != SLOT and not c[REPEATED] and 10 * _totals(c, False)[0] > 7 * total > 0]
+        total = _totals(node, False, spare)[0]
+        children = _kept(node, False, spare)
+        inner = [c for c in children if c[KEY] != SLOT and not c[REPEATED] and 10 * _totals(c, False, spare)[0] > 7 * total > 0]
         if not inner:
-            return [node]
+            return [node], spare
         node = inner[0]
 
 
 def marked(wrapper: list) -> None:
     """Puts, in the place of the page count, whether a slot is main text (1) or not (0)."""
-    chosen = {id(n) for n in main_nodes(wrapper)}
+    roots, spare = main_nodes(wrapper)
+    chosen = {id(n) for n in roots}
     varies = lambda n: n[KEY] == SLOT and n[FIXED] is None or any(varies(c) for c in n[CHILDREN])
-    any_slot = any(varies(n) for n in main_nodes(wrapper))
+    any_slot = any(varies(n) for n in roots)
+    of_articles = all(n[KEY].split(" ")[0] == "article" for n in roots)
 
     def walk(node: list, inside: bool, drop: bool) -> None:
         inside = inside or id(node) in chosen
         if node[KEY] != SLOT and not node[KEY].startswith("("):
-            drop = drop or skipped(node[KEY], inside)
             if node[KEY].split(" ")[0] in ("ul", "ol", "dl") and inside:
-                chars, linked = _totals(node, True)
+                chars, linked = _totals(node, True, spare)
                 drop = drop or 2 * linked > chars
         fixed = node[KEY] == SLOT and node[FIXED] is not None and node[PAGES] >= 3 and any_slot
+        kept = {id(c) for c in _kept(node, True, spare)} if inside and not drop else set()
         for child in node[CHILDREN]:
-            walk(child, inside, drop)
+            whole = inside and not of_articles and child[KEY].split(" ")[0] == "article" and not child[REPEATED]
+            walk(child, inside, drop or inside and not whole and id(child) not in kept)
         node[PAGES] = int(inside and not drop and not fixed)
 
     walk(wrapper, False, False)
