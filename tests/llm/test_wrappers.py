@@ -137,3 +137,28 @@ def test_words_that_tell_what_a_whole_page_has(page):
     pages = [page.format(a=f"<h1>{b[0]}</h1>" + "".join(f"<p>{x}</p>" for x in b[1:]), n=n) for n, b in enumerate(blocks)]
     assert texts_of(pages) == ["\n".join(b) for b in blocks]
     assert [texts_of([p])[0] for p in pages] == ["\n".join(b) for b in blocks]
+
+
+def test_copies_and_lists_of_links(spark):
+    rows, want = [], []
+
+    def add(host, body, text):
+        rows.append((len(rows), f"https://{host}/{len(rows)}", f"<body><article>{body}<h6>Follow this site.</h6></article></body>"))
+        want.append(text)
+
+    for host, n in (("two", 2), ("three", 3), ("thirty", 30)):
+        for k in range(6):
+            add(host, f"<h1>t {k}</h1><p>text {k}</p>", f"t {k}\ntext {k}")
+        for _ in range(n):
+            add(host, "<h1>own</h1><blockquote>said once</blockquote><p>more</p>", "own\nsaid once\nmore")
+    for k in range(6):  # the same article beside other counters
+        page = f"<body><i>{k}</i><article><h1>a</h1><figure>one</figure></article></body>" if k < 4 else f"<body><article><h1>b {k}</h1></article></body>"
+        rows.append((len(rows), f"https://counters/{k}", page))
+        want.append("a\none" if k < 4 else f"b {k}")
+    for k in range(5):
+        links = "<ul>" + f"<li><a href=x>a long linked text {k}</a>" * 9 + "</ul>"
+        add("lists", f"<h1>l {k}</h1>" + (links if k else f"<ul><li>plain {k}<li>item {k}</ul>"), f"l {k}" if k else "l 0\nplain 0\nitem 0")
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 5):
+        found = {r.page_id: r.text for r in main_texts(frame.repartition(parts)).collect()}
+        assert [found[k] for k in range(len(rows))] == want

@@ -6,7 +6,8 @@
    that differs becomes a slot, a text that is the same on all pages stays fixed. Each task aligns the pages of its
    own part, then the wrappers of the parts are aligned in two steps, so a host with a third of all pages is no burden.
 4. The wrapper shows which of its slots are main text: those of the article, without menus, adverts, comments and the
-   like, without lists of links, without fixed text. Each page is matched with its host's wrapper and gives these slots.
+   like, without fixed text, which stands on most distinct pages of the host, in different articles. Each page is matched
+   with its host's wrapper and gives these slots, without those of its lists that are mostly links.
 """
 
 import html
@@ -173,21 +174,23 @@ def parse(page: str) -> Element:
     return root
 
 
-# A wrapper node is a list: key, at least once?, repeated?, children, pages, characters, characters in links, digest of a fixed text.
-KEY, NEEDED, REPEATED, CHILDREN, PAGES, CHARS, LINKED, FIXED = range(8)
+# A wrapper node is a list: key, at least once?, repeated?, children, distinct pages, characters, characters in links, digest of a fixed
+# text, digest of the article that it stands in if it is always the same one. Each of n copies of a page counts as 1/n page.
+KEY, NEEDED, REPEATED, CHILDREN, PAGES, CHARS, LINKED, FIXED, ARTICLE = range(9)
+TEMPLATE_PAGES = 3  # distinct pages that fixed text stands on, at least
 SLOT = "#"
 
 
-def wrapper_of(element: Element) -> list:
-    """The wrapper that fits this element alone."""
+def wrapper_of(element: Element, share: float = 1, article: str | None = None) -> list:
+    """The wrapper that fits this element alone; its page counts as ``share`` and has this article."""
     children = []
     for child in element.children:
         if isinstance(child, tuple):
             fixed = f"{len(child[0])}:{zlib.crc32(child[0].encode(errors='replace'))}"
-            children.append([SLOT, True, False, [], 1, len(child[0]), child[1], fixed])
+            children.append([SLOT, True, False, [], share, len(child[0]), child[1], fixed, article])
         else:
-            children.append(wrapper_of(child))
-    return [element.key, True, False, folded(children), 1, 0, 0, None]
+            children.append(wrapper_of(child, share, article))
+    return [element.key, True, False, folded(children), share, 0, 0, None, article]
 
 
 def merged(a: list, b: list, pages: bool) -> list:
@@ -195,7 +198,9 @@ def merged(a: list, b: list, pages: bool) -> list:
     children = aligned(a[CHILDREN], b[CHILDREN], pages)
     fixed = a[FIXED] if a[FIXED] == b[FIXED] else None
     count = a[PAGES] + b[PAGES] if pages else max(a[PAGES], b[PAGES])
-    return [a[KEY], a[NEEDED] and b[NEEDED], a[REPEATED] or b[REPEATED], children, count, a[CHARS] + b[CHARS], a[LINKED] + b[LINKED], fixed]
+    article = a[ARTICLE] if a[ARTICLE] == b[ARTICLE] else None
+    chars, linked = a[CHARS] + b[CHARS], a[LINKED] + b[LINKED]
+    return [a[KEY], a[NEEDED] and b[NEEDED], a[REPEATED] or b[REPEATED], children, count, chars, linked, fixed, article]
 
 
 def folded(stream: list) -> list:
@@ -220,7 +225,7 @@ def folded(stream: list) -> list:
                 out.append(whole[0])
             else:
                 pages = max(x[PAGES] for x in whole)
-                out.append(["(" + " ".join(keys) + ")", True, True, whole, pages, 0, 0, None])
+                out.append(["(" + " ".join(keys) + ")", True, True, whole, pages, 0, 0, None, None])
             k += n * period
         stream = out
     return stream
@@ -383,15 +388,12 @@ def marked(wrapper: list) -> None:
     chosen = {id(n) for n in roots}
     varies = lambda n: n[KEY] == SLOT and n[FIXED] is None or any(varies(c) for c in n[CHILDREN])
     any_slot = any(varies(n) for n in roots)
+    least = max(TEMPLATE_PAGES - 0.01, wrapper[PAGES] / 2)  # shares of copies do not add up exactly
     of_articles = all(n[KEY].split(" ")[0] == "article" for n in roots)
 
     def walk(node: list, inside: bool, drop: bool) -> None:
         inside = inside or id(node) in chosen
-        if node[KEY] != SLOT and not node[KEY].startswith("("):
-            if node[KEY].split(" ")[0] in ("ul", "ol", "dl") and inside:
-                chars, linked = _totals(node, True, spare)
-                drop = drop or 2 * linked > chars
-        fixed = node[KEY] == SLOT and node[FIXED] is not None and node[PAGES] >= 3 and any_slot
+        fixed = node[KEY] == SLOT and node[FIXED] is not None and node[ARTICLE] is None and node[PAGES] > least and any_slot
         kept = {id(c) for c in _kept(node, True, spare)} if inside and not drop else set()
         for child in node[CHILDREN]:
             whole = inside and not of_articles and child[KEY].split(" ")[0] == "article" and not child[REPEATED]
@@ -406,6 +408,22 @@ def in_line(stream: list) -> list:
     return [x for node in stream for x in (in_line(node[CHILDREN]) if node[KEY].startswith("(") else [node])]
 
 
+def _page_totals(element: Element) -> tuple[int, int]:
+    """Characters, and characters in links, of what is not skipped in an element of a page."""
+    parts = [
+        (len(c[0]), c[1]) if isinstance(c, tuple) else _page_totals(c) for c in element.children
+        if isinstance(c, tuple) or not barred(c.key, True) and not doubtful(c.key, True)
+    ]
+    return sum(p[0] for p in parts), sum(p[1] for p in parts)
+
+
+def mostly_links(element: Element) -> bool:
+    if element.tag not in ("ul", "ol", "dl"):
+        return False
+    chars, linked = _page_totals(element)
+    return 2 * linked > chars
+
+
 def match(wrapper: list, element: Element, out: list[str]) -> None:
     """Reads the main slots of a page along its wrapper."""
     flat = in_line(wrapper[CHILDREN])
@@ -420,10 +438,20 @@ def match(wrapper: list, element: Element, out: list[str]) -> None:
         if isinstance(child, tuple):
             if flat[at][PAGES]:
                 out.append(child[0])
-        else:
+        elif not mostly_links(child):
             match(flat[at], child, out)
 
 
+def page_wrapper(page: str, share: float = 1) -> list:
+    """The wrapper of one page, which knows a digest of the page's article, as the page alone shows it."""
+    element = parse(page)
+    own, out = wrapper_of(element), []
+    marked(own)
+    match(own, element, out)
+    text = "\n".join(out)
+    return wrapper_of(element, share, f"{len(text)}:{zlib.crc32(text.encode(errors='replace'))}")
+
+
 def _infer(batches):
     """A wrapper for each host of a task's pages."""
     found: dict[str, list] = {}
@@ -434,8 +462,8 @@ def _infer(batches):
         return _wrappers(rows)
 
     for batch in batches:
-        for host, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            one = wrapper_of(parse(page or ""))
+        for host, page, copies in zip(*(batch.column(k).to_pylist() for k in range(3))):
+            one = page_wrapper(page or "", 1 / copies)
             found[host] = merged(found[host], one, True) if host in found else one
             if len(found) > MAX_HOSTS:
                 yield leave()
@@ -473,8 +501,14 @@ def _read(batches):
 
 def infer_wrappers(pages: DataFrame) -> DataFrame:
     """``(host, wrapper)`` for all hosts of ``pages (host, html)``."""
-    parts = pages.select("host", "html").mapInArrow(_infer, "host string, wrapper string")
-    parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS))).distinct()
+    pages = pages.select("host", "html", F.xxhash64("html").alias("digest"))
+    copies = pages.groupBy("host", "digest").agg(F.count("*").alias("copies")).filter("copies > 1")
+    copies = written(copies, "page-copies")
+    size = copies.agg(F.sum(F.octet_length("host") + 16)).first()[0] or 0
+    counted = pages.join(F.broadcast(copies) if size <= BROADCAST_BYTES else copies, ["host", "digest"], "left")
+    counted = counted.select("host", "html", F.coalesce("copies", F.lit(1)).alias("copies"))
+    parts = counted.mapInArrow(_infer, "host string, wrapper string")
+    parts = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
     parts = parts.groupBy("host", "salt").applyInArrow(_align, "host string, wrapper string")
     return parts.groupBy("host").applyInArrow(_align, "host string, wrapper string")
 
