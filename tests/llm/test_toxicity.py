@@ -2,8 +2,12 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
+
 from weftwork.llm import queries
-from weftwork.llm.toxicity import EXACT, FUZZY, STEM, Lexicon, Trie, context_of, learn, toxicity
+from weftwork.llm.textbatch import spans
+from weftwork.llm.toxicity import _WORD, EXACT, FUZZY, STEM, Lexicon, Scanner, Trie, context_of, inside_words, learn, toxicity
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -75,3 +79,18 @@ def test_awkward_rows(spark):
     assert max(r.score for r in found if r.doc_id == 3) > max(r.score for r in found if r.doc_id in (1, 2, 4, 5))
     assert toxicity(docs.limit(0), model).count() == 0
     assert [r.predicted for r in toxicity(docs.limit(2), learn(docs, labels.limit(0))).collect()] == [0, 0]
+
+
+def test_words_end_at_marks_of_all_scripts():
+    lexicon = Lexicon({"nastyword": 2.0, "été": 1.0, "x" * 60: 1.0, "悪い言葉です": 1.0, "ка́к": 1.0}, {})
+    hits = lambda text: Scanner(lexicon).column(pa.array([text]))[0]
+    for text in ("“nastyword”", "« nastyword »", "so—nastyword—then", "well…nastyword…", "a nastyword b", "これは、悪い言葉です。", "ÉTÉ!", "ка́к"):
+        assert hits(text)[EXACT] > 0, text
+    assert hits("said“ nastyword ”")[4] > 0 and hits("the “nastyword” here")[4] > 0 and hits("« nastyword »")[4] > 0
+    assert hits("y" * 300 + " nastyword")[EXACT] > 0 and hits("x" * 60)[EXACT] > 0 and hits("x" * 500000)[EXACT] == 0
+    rng = random.Random(3)
+    for _ in range(300):
+        text = "".join(chr(rng.choice([*range(32, 700), *range(0x900, 0x950), *range(0x2000, 0x2070), *range(0x3000, 0x3050), *range(0x1F600, 0x1F610), 0x20000])) for _ in range(40))
+        data = np.frombuffer(text.encode(), np.uint8)
+        starts, ends = spans(inside_words(data), np.array([0, len(data)]))
+        assert [data[a:b].tobytes().decode() for a, b in zip(starts, ends)] == _WORD.findall(text)

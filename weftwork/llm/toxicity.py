@@ -9,6 +9,7 @@ Labels are learned on a bounded sample: at most ``SAMPLE`` labelled documents of
 """
 
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass, field
 
@@ -34,9 +35,38 @@ REPORTING = {"said", "says", "wrote", "quote", "quoted", "called", "word", "term
 ADDRESS = {"you", "your", "youre", "u", "tu", "toi", "vous", "du", "dich", "ihr", "usted", "tú", "ustedes"}
 QUOTES = "\"“”„«»‹›"
 
-_INSIDE = np.zeros(256, dtype=bool)  # bytes of words: ASCII letters and digits, and all of other scripts
-_INSIDE[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
-_WORD = re.compile(r"[0-9a-z\u0080-\U0010ffff]+")
+JOINERS = {0xAD, 0x200C, 0x200D}  # soft hyphen and joiners, which stand within words
+
+
+def _letters() -> np.ndarray:
+    """By code point: whether it belongs to words, as letters, marks, numbers and joiners do."""
+    return np.array([c in JOINERS or unicodedata.category(chr(c))[0] in "LMN" for c in range(0x110000)])
+
+
+_INSIDE = _letters()
+_edges = np.flatnonzero(np.diff(_INSIDE.astype(np.int8), prepend=0, append=0)).reshape(-1, 2)
+_WORD = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in _edges.tolist()) + "]+")
+
+
+def inside_words(data: np.ndarray) -> np.ndarray:
+    """Which bytes of UTF-8 texts belong to words."""
+    inside = _INSIDE[:256][data]
+    long = data >= 128
+    if long.any():
+        lead = np.flatnonzero(data >= 0xC0)
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
+        code = data[lead].astype(np.int64) & (0x7F >> size)
+        inside[long] = False
+        for k in range(1, 4):
+            more = size > k
+            at = np.minimum(lead[more] + k, len(data) - 1)
+            code[more] = code[more] << 6 | data[at] & 0x3F
+        word = _INSIDE[np.minimum(code, 0x10FFFF)]
+        for k in range(4):
+            at = lead[word & (size > k)] + k
+            inside[at[at < len(data)]] = True
+    return inside
+
 
 EXACT, STEM, FUZZY = range(3)
 
@@ -88,6 +118,7 @@ class Lexicon:
                 half = len(term) // 2
                 self._heads.add(term[:half])
                 self._tails.add(term[half:])
+        self._longest = max(map(len, self.terms), default=0)
         self._sizes = sorted({len(x) for x in self._heads | self._tails})
         self._lengths = sorted({len(x) for x in self.stems})
 
@@ -100,7 +131,7 @@ class Lexicon:
             if weight is not None:
                 return STEM, weight
         # One edit leaves the first or the second half of the term as it is.
-        if len(word) >= FUZZY_LENGTH - 1 and any(word[:n] in self._heads or word[-n:] in self._tails for n in self._sizes):
+        if FUZZY_LENGTH - 1 <= len(word) <= self._longest + 1 and any(word[:n] in self._heads or word[-n:] in self._tails for n in self._sizes):
             near = self._trie.within(word)
             if near:
                 return FUZZY, max(self.terms[term] for _, term in near)
@@ -140,7 +171,7 @@ class Scanner:
 
     def column(self, column: pa.Array) -> np.ndarray:
         data, offsets = text_buffers(column)
-        starts, ends = spans(_INSIDE[data], offsets)
+        starts, ends = spans(inside_words(data), offsets)
         firsts = np.searchsorted(starts, offsets)
         texts = len(offsets) - 1
         hits: list[list] = [[] for _ in range(texts)]
@@ -157,7 +188,7 @@ class Scanner:
             raw, lowered = data.tobytes(), lower.tobytes()
             look_up = self._lexicon.look_up
             for h, a, b in zip(distinct[new].tolist(), starts[one[new]].tolist(), ends[one[new]].tolist()):
-                found = look_up(lowered[a:b].decode().lower()) if b - a <= 200 else None
+                found = look_up(lowered[a:b].decode(errors="replace").lower())
                 if found:
                     self._known[h] = found
             self._seen = np.insert(self._seen, at[new], distinct[new])
@@ -219,7 +250,7 @@ def _contexts(batches):
         seen: Counter = Counter()
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             words = _WORD.findall((text or "").lower())
-            seen.update((w, p, toxic) for w, p in {(w, p) for w, p in zip(words, ["", *words]) if 2 < len(w) <= 40})
+            seen.update((w, p, toxic) for w, p in {(w, p) for w, p in zip(words, ["", *words]) if 2 < len(w)})
         keys = list(seen)
         yield pa.RecordBatch.from_arrays(
             [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32()))],
