@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from weftwork.llm import sql
 from weftwork.llm.common import table
 from weftwork.session import shared_folder
 
@@ -71,6 +72,36 @@ def op10_toxicity(spark, sf_dir):
     return toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
-QUERIES = {q.__name__: q for q in (op1_main_text, op2_importance, op3_neighbours, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity)}
+def op11_hard_negatives(spark, sf_dir):
+    from weftwork.llm.negatives import hard_negatives
 
-SQL: dict[str, str] = {}
+    return hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    from weftwork.llm.merkle import folded, manifest, proof_digest
+
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 0, F.lit(False))
+    lower = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    proofs = manifest(table(spark, sf_dir, "documents"), {"text": F.when(tampered, lower).otherwise(F.col("text"))})
+    proofs = proofs.withColumn("folded_root", folded(F.col("found_leaf"), F.col("proof")))
+    return proofs.select(
+        "doc_id", "leaf", "subroot", "root", proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified")
+    )
+
+
+def op13_secret_scan(spark, sf_dir):
+    from weftwork.llm.ledger import findings, kind_count, span_text
+
+    found = findings(table(spark, sf_dir, "documents"), shared_folder(spark, "ledger"), ["doc_id"])
+    counts = [kind_count(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("spans")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+QUERIES = {q.__name__: q for q in (op1_main_text, op2_importance, op3_neighbours, op4_decontamination, op5_packing, op6_token_files, op7_line_dedup, op8_minhash, op9_suffix_dedup, op10_toxicity, op11_hard_negatives, op12_merkle_manifest, op13_secret_scan)}
+
+SQL: dict[str, str] = {
+    "op11_hard_negatives": sql.HARD_NEGATIVES,
+    "op12_merkle_manifest": sql.merkle_manifest(),
+    "op13_secret_scan": sql.secret_scan(),
+}
