@@ -5,7 +5,7 @@ import random
 import re
 
 from weftwork.llm import queries
-from weftwork.llm.linededup import repeated_lines, without_repeated_lines
+from weftwork.llm.linededup import fingerprints, repeated_lines, without_repeated_lines
 
 FOLDER = "/root/testdata/sf0.01"
 SPACE = " \t\n\x0b\x0c\r"
@@ -159,3 +159,30 @@ def test_every_repeated_run_of_the_documents(spark):
     want = repeats([(r.doc_id, r.text) for r in docs.collect() if r.text is not None and r.doc_id is not None])
     found = {r.doc_id: set(r.drop) for r in repeated_lines(docs).collect()}
     assert not {i: lines - found.get(i, set()) for i, lines in want.items() if lines - found.get(i, set())}
+
+
+def test_many_lines_take_seconds():
+    import time
+
+    rng = random.Random(12)
+    start = time.monotonic()
+    found = fingerprints([rng.getrandbits(64) for _ in range(100_000)], [rng.randrange(1, 9) for _ in range(100_000)], 8, 16)
+    assert len(found) > 10_000 and time.monotonic() - start < 10
+
+
+def test_a_text_of_many_lines(spark):
+    lines = [f"line number {k} of a text that is long enough" for k in range(100_000)]
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["first", *lines[500:], "last"]))]
+    found = {r.doc_id: r for r in without_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[1].lines_dropped == 0 and found[2].lines_dropped == 99_500 and found[2].text == "first\nlast"
+
+
+def test_columns_of_clashing_names(spark):
+    text = "\n".join(f"these are the words of line {k} here" for k in range(9))
+    names = "doc_id long, lines_dropped string, __drop string, row int, found int, drop_id int, text string, version int, mask int"
+    rows = [(k, "mine", "d", 1, 2, 3, text, 4, 5) for k in (1, 2)]
+    found = without_repeated_lines(spark.createDataFrame(rows, names), count_column="_lines_dropped").orderBy("doc_id").collect()
+    assert [r.asDict() | {"text": ""} for r in found] == [
+        dict(zip([n.split()[0] for n in names.split(", ")], row)) | {"text": "", "_lines_dropped": dropped} for row, dropped in zip(rows, (0, 9))
+    ]
+    assert [r.text for r in found] == [text, ""]

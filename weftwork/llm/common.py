@@ -15,3 +15,16 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(spark, purpose)
     frame.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def free_name(name: str, frame: DataFrame) -> str:
+    """``name``, led by as many underscores as it takes to be no column of the frame."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def quoted(name: str) -> str:
+    """A column name of any characters as an expression."""
+    return "`" + name.replace("`", "``") + "`"

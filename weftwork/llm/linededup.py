@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import written
+from weftwork.llm.common import free_name, quoted, written
 from weftwork.llm.textbatch import Hasher, run_hashes, signed, sliced, text_buffers, word_spans
 
 GRAM_WORDS, MIN_WORDS = 8, 16
@@ -75,14 +75,17 @@ def fingerprints(hashes: list[int], weights: list[int], gram_words: int, min_wor
             value = (value * 0x9E3779B97F4A7C15 + h + 1) % (1 << 64)
             value ^= value >> 29
         grams.append(value)
-    chosen, total, end = set(), 0, 0
+    chosen, total, end, last = set(), 0, 0, 0
     for start in range(len(ends)):
         while end < n and total < min_words:
             total += weights[end]
             end += 1
         if total < min_words:
             break
-        chosen.add(min((grams[k], k) for k in range(start, len(ends)) if ends[k] <= end)[1] if ends[start] < end else start)
+        last = max(last, start)
+        while last + 1 < len(ends) and ends[last + 1] <= end:  # ends rise, so the grams within a window lie side by side
+            last += 1
+        chosen.add(min((grams[k], k) for k in range(start, last + 1))[1])
         total -= weights[start]
     return [(k, grams[k]) for k in sorted(chosen)]
 
@@ -185,21 +188,25 @@ def _runs(batches):
 
 
 def _union(batches):
-    """The numbers of the lines that the runs of a text cover."""
+    """The numbers of the lines that the runs of a text cover, and for each line up to the last of them whether it goes."""
     for batch in batches:
-        drops = []
+        drops, masks = [], []
         for runs in batch.column(2):
             begins, ends = (runs.values.field(k).to_numpy() for k in (0, 1))
             covered = np.zeros(int(ends.max()) + 1, np.int64)
             np.add.at(covered, begins, 1)
             np.add.at(covered, ends, -1)
-            drops.append(np.flatnonzero(np.cumsum(covered)).astype(np.int32))
-        columns = [batch.column(0), batch.column(1), pa.array(drops, pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "drop"])
+            covered = np.cumsum(covered[:-1]) > 0
+            drops.append(np.flatnonzero(covered).astype(np.int32))
+            masks.append(covered)
+        columns = [batch.column(0), batch.column(1), pa.array(drops, pa.list_(pa.int32())), pa.array(masks, pa.list_(pa.bool_()))]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "drop", "mask"])
 
 
 def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", gram_words: int = GRAM_WORDS, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(doc_id, version, drop)``: for each text with repeated runs, the numbers of the lines to delete.
+    """``(doc_id, version, drop, mask)``: for each text with repeated runs, the numbers of the lines to delete.
+
+    ``mask`` tells for each line, up to the last one to delete, whether it goes.
 
     ``version`` is a hash of the text, which tells texts apart that share an id; of these, and of repeated rows,
     the first in order of the hash counts as earlier. Rows with a null id or text are not looked at.
@@ -230,7 +237,7 @@ def repeated_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str
     apart = (F.col("doc_id") != F.col("first.doc_id")) | (F.col("version") != F.col("first.version")) | (F.col("at") - F.col("first.at") >= F.col("to") - F.col("at"))
     again = runs.join(earliest, "hash").filter(apart).select("doc_id", "version", F.col("at").alias("begin"), F.col("to").alias("end"))
     found = found.unionAll(again).groupBy("doc_id", "version").agg(F.collect_set(F.struct("begin", "end")).alias("runs"))
-    return found.mapInArrow(_union, "doc_id long, version long, drop array<int>")
+    return found.mapInArrow(_union, "doc_id long, version long, drop array<int>, mask array<boolean>")
 
 
 def without_repeated_lines(
@@ -239,22 +246,23 @@ def without_repeated_lines(
     text_column: str = "text",
     gram_words: int = GRAM_WORDS,
     min_words: int = MIN_WORDS,
+    count_column: str = "lines_dropped",
 ) -> DataFrame:
-    """``docs`` with its repeated runs of lines deleted, and ``lines_dropped``, their number.
+    """``docs`` with its repeated runs of lines deleted, and ``count_column``, their number.
 
     What is left of a text are its other lines, joined by ``\\n``; a text all of whose lines are repeated becomes empty.
-    Rows with a null id or text come back as they are. All columns stay; a column of the name ``lines_dropped`` is replaced.
+    Rows with a null id or text come back as they are. All columns stay, whatever their names; only one that is called
+    as ``count_column`` is replaced.
     """
-    drops = written(repeated_lines(docs, id_column, text_column, gram_words, min_words), "line-drops").select(
-        F.col("doc_id").alias("__drop_id"), F.col("version").alias("__drop_version"), F.col("drop").alias("__drop")
-    )
-    text = F.col(text_column)
-    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.array_contains("__drop", i))
+    drops = written(repeated_lines(docs, id_column, text_column, gram_words, min_words), "line-drops")
+    row, found = free_name("row", docs), free_name("found", docs)
+    rows = docs.select(F.struct(*(F.col(quoted(c)) for c in docs.columns)).alias(row))
+    text = F.col(row)[text_column]
     # Both sides are shuffled at every size: the list of lines grows with the documents.
-    joined = docs.join(
-        drops.hint("merge"), (docs[id_column].cast("long") == F.col("__drop_id")) & (F.xxhash64(docs[text_column]) == F.col("__drop_version")), "left"
-    )
-    columns = [c for c in docs.columns if c != "lines_dropped"]
-    changed = F.when(F.col("__drop").isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_column)
-    dropped = F.when(F.col("__drop").isNull(), 0).otherwise(F.size("__drop")).alias("lines_dropped")
-    return joined.select(*[changed if c == text_column else docs[c] for c in columns], dropped)
+    drops = drops.select(F.col("doc_id").alias("drop_id"), F.col("version").alias("drop_version"), F.struct("drop", "mask").alias(found))
+    same = (F.col(row)[id_column].cast("long") == F.col("drop_id")) & (F.xxhash64(text) == F.col("drop_version"))
+    joined = rows.join(drops.hint("merge"), same, "left")
+    kept = F.filter(F.split(text, "\n", -1), lambda _, i: ~F.coalesce(F.get(F.col(found)["mask"], i), F.lit(False)))
+    changed = F.when(F.col(found).isNull(), text).otherwise(F.array_join(kept, "\n")).alias(text_column)
+    dropped = F.when(F.col(found).isNull(), 0).otherwise(F.size(F.col(found)["drop"])).alias(count_column)
+    return joined.select(*[changed if c == text_column else F.col(row)[c].alias(c) for c in docs.columns if c != count_column], dropped)
