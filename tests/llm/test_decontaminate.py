@@ -79,3 +79,35 @@ def test_reordered_and_awkward(spark):
         assert [(r.doc_id, r.covered) for r in found if r.item_id == 15] == [(7, 7)]
     assert contaminated(docs.limit(0), bench).count() == 0
     assert contaminated(docs, bench.limit(0)).count() == 0
+
+
+def test_a_phrase_of_many_items_and_documents_makes_no_pairs(spark):
+    rng = random.Random(8)
+    phrase = "this text may be copied for any use without a fee"
+    own = lambda n: " ".join(f"v{rng.randrange(10**6)}" for _ in range(n))
+    bench = [(k, f"{own(15)} {phrase} {own(15)}") for k in range(100_000)]
+    docs = [(k, f"{own(20)} {phrase} {own(20)}") for k in range(300)] + [(1000, f"{own(5)} {bench[77][1]} {own(5)}")]
+    found = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string"), block_bytes=64 << 20)
+    assert [(r.doc_id, r.item_id) for r in found.collect()] == [(1000, 77)]
+
+
+def test_candidates_hold_every_item_that_tiles_can_cover():
+    import numpy as np
+
+    from weftwork.llm.decontaminate import Items
+    from weftwork.llm.textbatch import shingles
+
+    rng = random.Random(9)
+    common = Items(list(range(50)), np.concatenate([np.arange(8), *([np.append(np.arange(100 * k + 10, 100 * k + 40), np.arange(8)) for k in range(49)])]).astype(np.uint64),
+                   np.concatenate([[0, 8], 8 + 38 * np.arange(1, 50)]), 5, 75)
+    shared = np.isin(common.seeds, shingles(np.arange(8).astype(np.uint64), np.array([0, 8]), 5)[0])
+    assert common.candidates(shared) == [0]  # the others share no rare seed: they are not even looked at
+    for _ in range(60):
+        lists = [[rng.randrange(9) for _ in range(rng.randrange(5, 25))] for _ in range(20)]
+        ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+        items = Items(list(range(20)), np.array([w for x in lists for w in x], dtype=np.uint64), ends, 5, 75)
+        text = [rng.randrange(9) for _ in range(60)] + lists[3][len(lists[3]) // 5 :] + lists[4][3:] + lists[4][:5]
+        grams, _ = shingles(np.array(text, dtype=np.uint64), np.array([0, len(text)]), 5)
+        found = items.candidates(np.isin(items.seeds, grams))
+        covered = [sum(n for _, _, n in tiles(text, x)) for x in lists]
+        assert {k for k, x in enumerate(lists) if 100 * covered[k] >= 75 * len(x)} <= set(found)
