@@ -115,3 +115,26 @@ def test_chunks(values):
     ids = np.array(values, dtype=np.uint32)
     doc_ids, counts, back, first = read_chunk(write_chunk([5, None], [len(ids) - 0, 0], ids, 99, block=100))
     assert (doc_ids, counts.tolist(), back.tolist(), first) == ([5, None], [len(ids), 0], values, 99)
+
+
+def test_every_id_and_none_come_back(spark):
+    ids = [-(1 << 63), (1 << 63) - 1, 0, None, -1, 5, 6, 7, 8, None]
+    doc_ids, *_ = read_chunk(write_chunk(ids, [0] * len(ids), np.zeros(0, np.uint32), 0))
+    assert doc_ids == ids
+    path = shared_folder(spark, "ids")
+    write_token_files(spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string"), path)
+    assert sorted((r.doc_id for r in read_token_files(spark, path).collect()), key=str) == sorted(ids, key=str)
+
+
+def test_a_worker_holds_one_encoder_of_bounded_size(monkeypatch):
+    import weftwork.llm.tokens as module
+
+    one = module.encoder(vocabulary(KINDS[0][0]), KINDS[0][1])
+    assert module.encoder(vocabulary(KINDS[0][0]), KINDS[0][1]) is one
+    other = module.encoder(vocabulary(KINDS[1][0]), KINDS[1][1])
+    assert list(module._encoders.values()) == [other]
+    monkeypatch.setattr(module, "CACHE_BYTES", 1000)
+    texts = [f"word{k} and more" for k in range(300)]
+    for _ in range(2):  # forgotten between calls, the same ids
+        ids, before = other.column(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(before[:-1], before[1:])] == plain_ids(KINDS[1][0], texts, end=False)

@@ -40,6 +40,8 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before:
             break
         before = state
+    else:
+        raise RuntimeError(f"the components were still changing after {MAX_ROUNDS} rounds")
     return now.groupBy("u").agg(F.min("v").alias("component")).select(F.col("u").alias("node"), "component").unionByName(
         now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

@@ -3,9 +3,10 @@
 A chunk is one byte string that holds whole documents, so it can be read alone:
 
 ====================  ==========================================================================
-``b"WTF1"``           mark
+``b"WTF2"``           mark
 ``<IIQIB``            documents, ids, position of the first id in its shard, ids in a block, planes
-``documents x <q``    document ids; the smallest value stands for null
+``documents x <q``    document ids
+``documents bits``    which documents have an id, eight to a byte
 ``documents x <I``    ids of each document
 ``blocks x planes``   ``<I`` compressed bytes of each plane, then the planes themselves
 ====================  ==========================================================================
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 from weftwork.llm.textbatch import sliced
 from weftwork.llm.tokens import encoder, vocabulary
 
-MARK, HEAD, NO_ID = b"WTF1", "<IIQIB", -(1 << 63)
+MARK, HEAD = b"WTF2", "<IIQIB"
 BLOCK, CHUNK_IDS, END_ID = 65_536, 262_144, 1
 
 _FILE = "shard long, chunk long, first_id long, n_ids long, n_docs long, n_bytes long, content binary"
@@ -63,7 +64,8 @@ def write_chunk(doc_ids: list, counts: list[int], ids: np.ndarray, first: int, b
         [
             MARK,
             struct.pack(HEAD, len(doc_ids), len(ids), first, block, planes),
-            np.array([NO_ID if d is None else d for d in doc_ids], dtype="<i8").tobytes(),
+            np.array([d or 0 for d in doc_ids], dtype="<i8").tobytes(),
+            np.packbits([d is not None for d in doc_ids]).tobytes(),
             np.array(counts, dtype="<u4").tobytes(),
             np.array([len(p) for p in parts], dtype="<u4").tobytes(),
             *parts,
@@ -77,9 +79,13 @@ def read_chunk(content: bytes) -> tuple[list, np.ndarray, np.ndarray, int]:
         raise ValueError("this is no chunk of a token file")
     n_docs, n_ids, first, block, planes = struct.unpack_from(HEAD, content, 4)
     at = 4 + struct.calcsize(HEAD)
-    doc_ids = [None if d == NO_ID else d for d in np.frombuffer(content, "<i8", n_docs, at).tolist()]
-    counts = np.frombuffer(content, "<u4", n_docs, at + 8 * n_docs)
-    at += 12 * n_docs
+    doc_ids = np.frombuffer(content, "<i8", n_docs, at).tolist()
+    at += 8 * n_docs
+    known = np.unpackbits(np.frombuffer(content, np.uint8, -(-n_docs // 8), at), count=n_docs)
+    doc_ids = [d if k else None for d, k in zip(doc_ids, known.tolist())]
+    at += -(-n_docs // 8)
+    counts = np.frombuffer(content, "<u4", n_docs, at)
+    at += 4 * n_docs
     blocks = -(-n_ids // block)
     sizes = np.frombuffer(content, "<u4", blocks * planes, at).tolist()
     at += 4 * blocks * planes
@@ -139,9 +145,10 @@ def write_token_files(
     """
     vocab = tokenizer or vocabulary("word_bpe_49k.json")
     texts = docs.select(
-        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(F.col(text_column)).alias("order")
-    )
-    ordered = texts.repartitionByRange("doc_id", "order").sortWithinPartitions("doc_id", "order").select("doc_id", "text")
+        F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"), F.xxhash64(F.col(text_column)).alias("order"), F.rand(6).alias("tie")
+    )  # the tie lets rows that are equal throughout spread over tasks
+    order = ["doc_id", "order", "tie"]
+    ordered = texts.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     files = ordered.mapInArrow(_encode_shard(vocab, pieces, end_id, block, chunk_ids), _FILE)
     files.write.option("compression", "none").parquet(path)
 
