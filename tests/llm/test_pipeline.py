@@ -1,11 +1,14 @@
 """The pipeline, stage by stage, against plain versions of what each stage has to keep."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from tests.llm.test_decontaminate import plain_tiles, words
 from tests.llm.test_linededup import plain as plain_lines
 from tests.llm.test_minhash import plain as plain_copies
 from tests.llm.test_tokens import check_packed, plain_ids
 from weftwork.llm.common import table, written
+from weftwork.llm import toxicity as toxicity_of
 from weftwork.llm.toxicity import learn, toxicity
 
 FOLDER = "/root/testdata/sf0.01"
@@ -58,3 +61,24 @@ def test_awkward_documents(spark):
     for name, stage in corpus_pipeline.STAGES:
         docs = written(stage(spark, docs, FOLDER), "test-odd")
     assert {r.doc_id for r in docs.collect()} == {None, 1, 2, 3}
+
+
+def test_columns_of_any_name_come_through(spark):
+    names = "doc_id long, text string, lang string, n_chars long, lines_dropped string, __drop string, __gone string, gone string, score string"
+    text = "\n".join(f"these are the words of line {k} here" for k in range(30))
+    rows = [(k, f"{text}\nown words {k}" if k < 3 else f"text {k} " * 12, "en", 5, "a", "b", "c", "d", "e") for k in range(6)]
+    docs = spark.createDataFrame(rows, names)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = written(stage(spark, docs, FOLDER), "test-names")
+        assert docs.columns == [n.split()[0] for n in names.split(", ")]
+        assert {tuple(r)[4:] for r in docs.collect()} == {("a", "b", "c", "d", "e")}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() > 0
+
+
+def test_toxic_documents_go_whatever_their_id(spark):
+    start = table(spark, FOLDER, "documents")
+    model = learn(start, table(spark, FOLDER, "labels"))
+    docs = start.withColumn("doc_id", F.when(F.col("doc_id") % 2 == 0, F.col("doc_id")))
+    clean = {r.text for r in toxicity_of.without_toxic(docs, model).collect()}
+    texts = {r.doc_id: r.text for r in start.collect()}
+    assert clean == {texts[r.doc_id] for r in toxicity(start, model).filter("predicted = 0").collect()}

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from weftwork.llm import queries
+from weftwork.llm import queries, textbatch
 from weftwork.llm.packing import pack
 from weftwork.llm.tokenfile import read_chunk, read_token_files, write_chunk, write_token_files
 from weftwork.llm.tokens import Encoder, vocabulary
@@ -132,7 +132,9 @@ def test_a_worker_holds_one_encoder_of_bounded_size(monkeypatch):
     one = module.encoder(vocabulary(KINDS[0][0]), KINDS[0][1])
     assert module.encoder(vocabulary(KINDS[0][0]), KINDS[0][1]) is one
     other = module.encoder(vocabulary(KINDS[1][0]), KINDS[1][1])
-    assert list(module._encoders.values()) == [other]
+    assert list(textbatch._held.values()) == [other]
+    assert list(textbatch.sliced(iter([]), "text", holds=True)) == [] and list(textbatch._held.values()) == [other]
+    assert list(textbatch.sliced(iter([]), "text")) == [] and not textbatch._held
     monkeypatch.setattr(module, "CACHE_BYTES", 1000)
     texts = [f"word{k} and more" for k in range(300)]
     for _ in range(2):  # forgotten between calls, the same ids

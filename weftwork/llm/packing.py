@@ -113,7 +113,7 @@ class _Windows:
 def _pack_texts(path: str, pieces: str | None, end_id: int, window: int, limit: int, with_ids: bool):
     def run(batches):
         windows, encode = _Windows(0, window, limit, with_ids), encoder(path, pieces)
-        for batch in sliced(batches, "text"):
+        for batch in sliced(batches, "text", holds=True):
             ids, before = encode.column(batch.column(1))
             for k, doc_id in enumerate(batch.column(0).to_pylist()):
                 own = np.append(ids[before[k] : before[k + 1]], np.uint32(end_id))

@@ -4,17 +4,22 @@ A hash of a byte range is ``sum(T[byte] * R**position) * R**-start`` modulo 2**6
 gives the hash of every word or line; a final mix spreads the bits.
 """
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 20  # texts are worked on in parts of about this size, so that memory stays bounded
 
+BLOCK = 1 << 16  # entries of the power tables
+SEGMENT_BYTES = 4 * SLICE_BYTES  # longer arrays are summed up part by part, so that a long text needs no more memory
+
 _R = 0x9E3779B97F4A7C15
 _R_INVERSE = pow(_R, -1, 1 << 64)
 _TABLE = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_powers: dict[int, np.ndarray] = {}
+
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
 
 #: The bytes of white space, 0x20 and 0x09 to 0x0D.
 SPACE = np.zeros(256, dtype=bool)
@@ -24,16 +29,34 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32  # A-Z only
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    """``base**0 .. base**(n-1)`` modulo 2**64, kept for the next batch."""
-    have = _powers.get(base)
-    if have is None or len(have) < n:
-        size = max(n, SLICE_BYTES + 4096)
-        have = np.full(size, base, dtype=np.uint64)
-        have[0] = 1
-        have = np.multiply.accumulate(have)
-        _powers[base] = have
-    return have[:n]
+def _table(base: int) -> np.ndarray:
+    """``base**0 .. base**(BLOCK-1)`` modulo 2**64."""
+    powers = np.full(BLOCK, base, dtype=np.uint64)
+    powers[0] = 1
+    return np.multiply.accumulate(powers)
+
+
+_POWERS, _BACK = _table(_R), _table(_R_INVERSE)
+
+
+def _sums(values: np.ndarray) -> np.ndarray:
+    """Running sums of ``values[k] * _R**k``, with the empty sum first."""
+    out = np.zeros(len(values) + 1, dtype=np.uint64)
+    for start in range(0, len(values), BLOCK):
+        part = values[start : start + BLOCK]
+        scale = np.uint64(pow(_R, start, 1 << 64))
+        np.cumsum(part * _POWERS[: len(part)] * scale, out=out[start + 1 : start + 1 + len(part)])
+        out[start + 1 : start + 1 + len(part)] += out[start]
+    return out
+
+
+def _ranges(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hashes of ranges from running sums: what lies between, moved back to position 0."""
+    far = np.array([pow(_R_INVERSE, k * BLOCK, 1 << 64) for k in range(len(sums) // BLOCK + 1)], dtype=np.uint64)
+    raw = sums[ends] - sums[starts]
+    raw *= _BACK[starts % BLOCK]
+    raw *= far[starts // BLOCK]
+    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,8 +81,31 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8)[ends[0] : ends[-1]], ends - ends[0]
 
 
-def sliced(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The batches in parts of about ``limit`` bytes of text; a longer text stands alone."""
+_held: dict = {}
+
+
+def held(key, make: Callable):
+    """What ``make`` gives, held by the worker for its next tasks, as the only thing that it holds."""
+    if key not in _held:
+        _held.clear()
+        _held[key] = make()
+    return _held[key]
+
+
+def _give_back() -> None:
+    """Return freed memory to the system: a worker lives on between tasks and stages."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTES, holds: bool = False) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``limit`` bytes of text; a longer text stands alone.
+
+    Unless the task ``holds`` something of its own, what the worker held for other tasks is let go first.
+    """
+    if not holds:
+        _held.clear()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         _, offsets = text_buffers(column)
@@ -69,27 +115,38 @@ def sliced(batches: Iterator[pa.RecordBatch], text: str, limit: int = SLICE_BYTE
             end = min(end, batch.num_rows)
             yield batch.slice(start, end - start)
             start = end
+    _give_back()
 
 
 class Hasher:
-    """Hashes of byte ranges of one array."""
+    """Hashes of byte ranges of one array.
+
+    A long array has no sums of its own: the ranges are taken segment by segment of their starts, and only what the
+    ranges of one segment cover is summed up at a time.
+    """
 
     def __init__(self, data: np.ndarray):
-        self._sums = np.zeros(len(data) + 1, dtype=np.uint64)
-        np.cumsum(_TABLE[data] * _power(_R, len(data)), out=self._sums[1:])
-        self._back = _power(_R_INVERSE, len(data) + 1)
+        self._data = data
+        self._sums = _sums(_TABLE[data]) if len(data) <= SEGMENT_BYTES else None
 
     def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        raw = (self._sums[ends] - self._sums[starts]) * self._back[starts]
-        return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+        if self._sums is not None:
+            return _ranges(self._sums, starts, ends)
+        out = np.zeros(len(starts), dtype=np.uint64)
+        segment = starts // SEGMENT_BYTES
+        order = None if (segment[1:] >= segment[:-1]).all() else np.argsort(segment, kind="stable")
+        in_order = segment if order is None else segment[order]
+        edges = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1])) if len(starts) else []
+        for a, b in zip(edges, np.append(edges, len(starts))[1:]):
+            own = slice(a, b) if order is None else order[a:b]
+            low, high = int(starts[own].min()), int(ends[own].max())
+            out[own] = _ranges(_sums(_TABLE[self._data[low:high]]), starts[own] - low, ends[own] - low)
+        return out
 
 
 def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Hashes of runs of 64-bit values, by running sums as above."""
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(mix(values + np.uint64(1)) * _power(_R, len(values)), out=sums[1:])
-    raw = (sums[ends] - sums[starts]) * _power(_R_INVERSE, len(values) + 1)[starts]
-    return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    return _ranges(_sums(mix(values + np.uint64(1))), starts, ends)
 
 
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -109,7 +109,7 @@ def _encode_shard(path: str, pieces: str | None, end_id: int, block: int, chunk_
             row = [shard, chunk, first, size, len(docs), len(content), content]
             return pa.RecordBatch.from_pylist([dict(zip((p.split()[0] for p in _FILE.split(", ")), row))])
 
-        for batch in sliced(batches, "text", 1 << 20):
+        for batch in sliced(batches, "text", holds=True):
             ids, before = encode.column(batch.column(1))
             for k, doc_id in enumerate(batch.column(0).to_pylist()):
                 own = np.append(ids[before[k] : before[k + 1]], np.uint32(end_id))

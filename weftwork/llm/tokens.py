@@ -22,9 +22,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from weftwork.llm.textbatch import SPACE, Hasher, text_buffers, word_spans
+from weftwork.llm.textbatch import SPACE, Hasher, held, text_buffers, word_spans
 
-CACHE = 1_500_000  # pieces that a worker keeps at most; then it starts anew
+CACHE_BYTES = 32 << 20  # of hashes and ids that a worker keeps at most; then it starts anew
 
 #: The UTF-8 forms of white space beyond 0x20 and 0x09-0x0D.
 _OTHER_SPACE = re.compile(
@@ -169,7 +169,7 @@ class Encoder:
                 starts, ends = starts[order], ends[order]
         if not len(starts):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
-        if len(self._hashes) > CACHE:
+        if self._hashes.nbytes + self._at.nbytes + self._count.nbytes + self._ids.nbytes > CACHE_BYTES:
             self._forget()
         distinct, one, inverse = np.unique(Hasher(data).of(starts, ends), return_index=True, return_inverse=True)
         where = np.searchsorted(self._hashes, distinct)
@@ -186,11 +186,6 @@ class Encoder:
         return ids, totals[np.searchsorted(starts, offsets)].astype(np.int64)
 
 
-_encoders: dict[tuple[str, str | None], Encoder] = {}
-
-
 def encoder(path: str, pieces: str | None) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
-    if (path, pieces) not in _encoders:
-        _encoders[path, pieces] = Encoder(path, pieces)
-    return _encoders[path, pieces]
+    """The worker's encoder for a tokenizer file. A worker holds one at a time, and none while it does other work."""
+    return held((path, pieces), lambda: Encoder(path, pieces))

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weftwork.llm.common import written
-from weftwork.llm.textbatch import LOWER, Hasher, sliced, spans, text_buffers
+from weftwork.llm.textbatch import LOWER, SLICE_BYTES, Hasher, sliced, spans, text_buffers
 
 SAMPLE = 10_000  # labelled documents of each class that are learned from
 CONTEXTS = 3  # different words before a term that have to be seen in toxic documents, at least
@@ -51,20 +51,24 @@ _WORD = re.compile("[" + "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in _edges
 def inside_words(data: np.ndarray) -> np.ndarray:
     """Which bytes of UTF-8 texts belong to words."""
     inside = _INSIDE[:256][data]
-    long = data >= 128
-    if long.any():
-        lead = np.flatnonzero(data >= 0xC0)
+    for start in range(0, len(data), SLICE_BYTES):  # characters that begin in a slice; a long text makes no large tables
+        lead = start + np.flatnonzero(data[start : start + SLICE_BYTES] >= 128)
+        if not len(lead):
+            continue
+        inside[lead] &= data[lead] < 0xC0  # bytes within a character keep what its first byte has set
+        lead = lead[data[lead] >= 0xC0]
         size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0)
         code = data[lead].astype(np.int64) & (0x7F >> size)
-        inside[long] = False
         for k in range(1, 4):
             more = size > k
             at = np.minimum(lead[more] + k, len(data) - 1)
             code[more] = code[more] << 6 | data[at] & 0x3F
         word = _INSIDE[np.minimum(code, 0x10FFFF)]
         for k in range(4):
-            at = lead[word & (size > k)] + k
-            inside[at[at < len(data)]] = True
+            own = size > k
+            at, value = lead[own] + k, word[own]
+            there = at < len(data)
+            inside[at[there]] = value[there]
     return inside
 
 
@@ -331,3 +335,18 @@ def toxicity(docs: DataFrame, model: Model, id_column: str = "doc_id", text_colu
     texts = texts.select("doc_id", "text", F.coalesce(held_out(), F.lit(False)).alias("held_out"))
     scored = texts.mapInArrow(_scores(model), "doc_id long, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+def _clean(model: Model, text_column: str):
+    def run(batches):
+        scanner = Scanner(model.lexicon)
+        for batch in sliced(batches, text_column):
+            score = model.score(scanner.column(batch.column(batch.schema.get_field_index(text_column))))
+            yield batch.filter(pa.array(score < 0.5))
+
+    return run
+
+
+def without_toxic(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose score stays below one half, with all their columns, in one pass; null ids are scored too."""
+    return docs.mapInArrow(_clean(model, text_column), docs.schema)
