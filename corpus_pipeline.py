@@ -9,12 +9,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftwork.llm.common import table, written
+from weftwork.llm import toxicity
+from weftwork.llm.common import free_name, quoted, table, written
 from weftwork.llm.decontaminate import contaminated
 from weftwork.llm.linededup import without_repeated_lines
 from weftwork.llm.minhash import near_duplicates
 from weftwork.llm.packing import pack
-from weftwork.llm.toxicity import learn, toxicity
 
 
 #: Ids, 8 bytes each, up to which a list of rejected documents is broadcast; a longer one is joined by a shuffle.
@@ -23,25 +23,25 @@ BROADCAST_IDS = 1_000_000
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is not among ``ids (doc_id)``."""
-    gone = written(ids.filter("doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct(), "rejected")
+    name = free_name("gone", docs)
+    gone = written(ids.filter("doc_id is not null").select(F.col("doc_id").alias(name)).distinct(), "rejected")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone.hint("merge")
-    return docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return docs.join(gone, F.col("doc_id") == F.col(name), "left_anti")
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose score reaches one half go."""
-    scores = toxicity(docs, learn(docs, table(spark, sf_dir, "labels")))
-    return _without(docs, scores.filter("predicted = 1"))
+    """Documents whose score reaches one half go, those with a null id as well."""
+    return toxicity.without_toxic(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeated runs of lines go; a document of which nothing is left goes with them. ``n_chars`` follows the text."""
-    cleaned = without_repeated_lines(docs)
-    left = cleaned.filter((F.col("lines_dropped") == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
+    count = free_name("lines_dropped", docs)
+    dropped = F.col(count)
+    left = without_repeated_lines(docs, count_column=count).filter((dropped == 0) | (F.trim(F.regexp_replace("text", r"\s+", " ")) != ""))
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("lines_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        left = left.withColumn("n_chars", changed)
-    return left.select(docs.columns)
+        left = left.withColumn("n_chars", F.when(dropped > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+    return left.select([quoted(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
