@@ -40,6 +40,41 @@ def q_sequence_columns(spark: SparkSession, folder: str) -> DataFrame:
     return read_sequence(spark, path, 15).select("event_id", "event_type", "user_id", "value")
 
 
+def _sequences_of_two_headers(spark: SparkSession, folder: str, fmt: str) -> str:
+    """Three sequences of events with other columns in another order, the last beyond the cursor."""
+    events, path = table(spark, folder, "events"), shared_folder(spark, "sequences")
+    of = lambda n: events.filter(F.pmod("event_id", F.lit(3)) == n)
+    user, value = F.col("user_id").cast("long").alias("user_id"), F.col("value").cast("decimal(18,2)").cast("string").alias("value")
+    parts = {10: ("event_id", "event_type"), 20: (value, "event_id", user), 30: ("event_type", user, "event_id", "ts")}
+    for n, (number, columns) in enumerate(parts.items()):
+        of(n).select(*columns).write.option("header", "true").format(fmt).save(f"{path}/{number}.{fmt}")
+    return path
+
+
+_HEADERS_SQL = """
+SELECT event_id, event_type, CAST(NULL AS BIGINT) AS user_id, CAST(NULL AS VARCHAR) AS value FROM events WHERE event_id % 3 = 0
+UNION ALL SELECT event_id, NULL, CAST(user_id AS BIGINT), CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) FROM events WHERE event_id % 3 = 1
+"""
+
+
+def _sequence_columns(frame: DataFrame) -> DataFrame:
+    long = lambda c: F.col(c).cast("long").alias(c)
+    return frame.select(long("event_id"), "event_type", long("user_id"), "value")
+
+
+@query(_HEADERS_SQL)
+def q_sequence_columns_csv(spark: SparkSession, folder: str) -> DataFrame:
+    """CSV files of other headers, each read by its own, up to a cursor."""
+    path = _sequences_of_two_headers(spark, folder, "csv")
+    return _sequence_columns(read_sequence(spark, path, 15, "csv", ".csv", header="true"))
+
+
+@query(_HEADERS_SQL)
+def q_sequence_columns_json(spark: SparkSession, folder: str) -> DataFrame:
+    """JSON lines of other keys, up to a cursor."""
+    return _sequence_columns(read_sequence(spark, _sequences_of_two_headers(spark, folder, "json"), 15, "json", ".json"))
+
+
 @query("""
 SELECT event_id, event_type, user_id FROM events
 WHERE event_id > 500 AND event_type NOT IN (SELECT event_type FROM events WHERE value > 95 AND event_type > 'p')

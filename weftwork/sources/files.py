@@ -1,8 +1,11 @@
 """File sources. Listings are frames, so long ones stay on the executors."""
 
+from urllib.parse import unquote
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from weftwork.operators.elements import union_all
 from weftwork.operators.selection import READ_ALL, effective_sequences
@@ -24,9 +27,59 @@ def list_files(spark: SparkSession, path: str, pattern: str = "*", recursive: bo
     )
 
 
-def _reading(spark: SparkSession, fmt: str, **options):
-    """A reader that keeps the columns of every file: formats whose files carry a schema merge them."""
-    return spark.read.format(fmt).options(**({"mergeSchema": "true"} | options))
+#: The formats whose reader merges the schemas of files by itself.
+MERGING = {"parquet", "orc", "json"}
+
+
+def _layouts(spark: SparkSession, fmt: str, path: str | list[str], wanted: Column, **options) -> dict[str, list[str]]:
+    """The files that are wanted, by what tells their schema: the header of CSV files, else the schema in the file.
+
+    Headers come from one pass over the first blocks of the files; what is gathered is one line for each file, as much
+    as Spark's own listing of them holds.
+    """
+    layouts: dict[str, list[str]] = {}
+    listing = {k: v for k, v in options.items() if k in ("pathGlobFilter", "recursiveFileLookup", "encoding", "lineSep")}
+    if fmt == "csv":
+        lines = spark.read.options(**listing).text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
+        lines = lines.filter((F.col("file_block_start") == 0) & wanted).withColumn("line", F.monotonically_increasing_id())
+        files = lines.groupBy("file_path").agg(F.min_by("value", "line").alias("layout")).collect()
+    else:
+        listed = spark.read.format("binaryFile").options(**listing).load(path)
+        found = [unquote(r[0]) for r in listed.select("_metadata.file_path").filter(wanted).collect()]
+        files = [(file, spark.read.format(fmt).options(**options).load(file).schema.json()) for file in found]
+    for file, layout in sorted(files):
+        layouts.setdefault(layout, []).append(unquote(file))
+    return layouts
+
+
+def _with_common_types(frames: list[DataFrame]) -> list[DataFrame]:
+    """The frames with each column in one type: numbers are left to the union, what differs else becomes text."""
+    kinds: dict[str, set] = {}
+    for frame in frames:
+        for field in frame.schema.fields:
+            kinds.setdefault(field.name, set()).add(field.dataType)
+    differing = {name for name, found in kinds.items() if len(found) > 1 and not all(isinstance(t, NumericType) for t in found)}
+    return [f.withColumns({c: F.col(c).cast("string") for c in f.columns if c in differing}) if differing else f for f in frames]
+
+
+def load_files(spark: SparkSession, path: str | list[str], fmt: str, wanted: Column | None = None, **options) -> DataFrame:
+    """The rows of files of any schemas, by column name; a column that a file lacks is null in its rows.
+
+    ``wanted`` is a condition on ``file_path``. Formats that merge schemas are read at once. Files of others are grouped
+    by the schema found in each, and each group is read with its own. CSV files without a header go by position.
+    """
+    wanted = F.lit(True) if wanted is None else wanted
+    named = str(options.get("header", "false")).lower() == "true"
+    if fmt in MERGING or (fmt == "csv" and not named):
+        frame = spark.read.format(fmt).options(**({"mergeSchema": "true"} | options)).load(path)
+        given = frame.columns
+        return frame.select("*", F.col("_metadata.file_path").alias("file_path")).filter(wanted).select(given)
+    layouts = _layouts(spark, fmt, path, wanted, **options)
+    own = {k: v for k, v in options.items() if k not in ("pathGlobFilter", "recursiveFileLookup")}
+    frames = [spark.read.format(fmt).options(**own).load(files) for _, files in sorted(layouts.items())]
+    if not frames:
+        return spark.createDataFrame([], "struct<>")
+    return union_all(_with_common_types(frames))
 
 
 def scan_files(spark: SparkSession, paths: list[str], fmt: str = "parquet", **options) -> DataFrame:
@@ -34,13 +87,13 @@ def scan_files(spark: SparkSession, paths: list[str], fmt: str = "parquet", **op
     frames = []
     for path in paths:
         try:
-            frames.append(_reading(spark, fmt, **options).load(path))
+            frames.append(load_files(spark, path, fmt, **options))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not frames:
         raise FileNotFoundError(f"none of {paths} exists")
-    return union_all(frames)
+    return union_all(frames if fmt in MERGING else _with_common_types(frames))
 
 
 def read_text_lines(spark: SparkSession, path: str, extension: str = ".txt") -> DataFrame:
@@ -66,16 +119,15 @@ def read_sequence(
     """The sequence files a cursor selects, with the columns of all files; one a file lacks is null in its rows.
 
     Selection is a filter on the file path, which Spark applies to the listing, so the rows of other files are not
-    read. Files whose format carries no schema get that which Spark infers from all of them.
+    read. Formats without schema merging are read as `load_files` says, with the columns of the selected files.
     """
-    number = sequence_of(F.col("_metadata.file_path"), extension)
-    reader = _reading(spark, fmt, pathGlobFilter=f"*{extension}", recursiveFileLookup="true", **options)
-    frame = reader.load(path)
+    number = sequence_of(F.col("file_path"), extension)
+    reading = {"pathGlobFilter": f"*{extension}", "recursiveFileLookup": "true"} | options
     if cursor == READ_ALL:
-        return frame.filter(number.isNotNull())
+        return load_files(spark, path, fmt, number.isNotNull(), **reading)
     highest = effective_sequences(sequence_files(spark, path, extension), cursor).agg(F.max("sequence_id")).first()[0]
     # the selected ids are exactly those up to the highest of them
-    return frame.filter(number <= F.lit(highest).cast("bigint"))
+    return load_files(spark, path, fmt, number <= F.lit(highest).cast("bigint"), **reading)
 
 
 def _without_scheme(path: Column) -> Column:
