@@ -34,6 +34,7 @@ from weftwork.operators.metrics import (
     stage_counts,
 )
 from weftwork.operators.selection import last_task_time, latest_row
+from weftwork.sinks.index import delete_from_index, read_index, write_index
 from weftwork.sinks.tables import append_history, read_history
 from weftwork.session import shared_folder
 
@@ -157,6 +158,49 @@ def q_index_batches(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+_INDEX_SQL = """
+SELECT CAST(md5('shop@part~`#' || p_partkey) AS VARCHAR) AS id, 'shop_entity_index' AS collection,
+  'part~`#' || p_partkey AS entity_id, CASE WHEN p_partkey % 3 = 0 THEN 'second' ELSE 'first' END AS version FROM part
+"""
+
+
+def _written_twice(spark: SparkSession, folder: str) -> str:
+    """An index of parts: all of them written, a write that fails in a task, and a third of them written again."""
+    path = shared_folder(spark, "index")
+    number = F.substring_index(F.col("fields")["entity_id"], "#", -1).cast("long")
+    docs = search_documents(_part_elements(spark, folder)).select("collection", "id", "fields", number.alias("number"))
+    marked = lambda frame, version: frame.select(
+        "collection", "id", F.map_concat("fields", F.create_map(F.lit("version"), F.lit(version))).alias("fields")
+    )
+    write_index(marked(docs, "first"), path)
+    broken = docs.withColumn("id", F.when(F.col("number") == 7, F.raise_error(F.lit("lost"))).otherwise(F.col("id")))
+    try:
+        write_index(marked(broken, "broken"), path)
+    except Exception as error:  # the job fails as a whole, whichever class tells it
+        if "lost" not in str(error):
+            raise
+    write_index(marked(docs.filter(F.col("number") % 3 == 0), "second"), path)
+    return path
+
+
+def _of_index(frame: DataFrame) -> DataFrame:
+    return frame.select("id", "collection", F.col("fields")["entity_id"].alias("entity_id"), F.col("fields")["version"].alias("version"))
+
+
+@query(_INDEX_SQL)
+def q_document_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents put in place by a data source: those written again replace the first, a failed write leaves nothing."""
+    return _of_index(read_index(spark, _written_twice(spark, folder)))
+
+
+@query(f"SELECT * FROM ({_INDEX_SQL}) WHERE version = 'first'")
+def q_document_index_deleted(spark: SparkSession, folder: str) -> DataFrame:
+    """The stored documents that a deletion leaves."""
+    path = _written_twice(spark, folder)
+    delete_from_index(spark, path, F.col("fields")["version"] == "second")
+    return _of_index(read_index(spark, path))
+
+
 def _history_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Each order as two cells of its customer, written at the order date."""
     cell = F.array(
