@@ -27,6 +27,7 @@ from weftwork.sinks.messages import element_messages
 from weftwork.sources.kafka import as_messages, raw_records
 from weftwork.streaming.jobs import (
     start_alerts,
+    start_distinct,
     start_load,
     start_running_counts,
     start_transform,
@@ -217,3 +218,75 @@ def q_running_count(spark: SparkSession, folder: str) -> DataFrame:
     start_running_counts(stream, ["user_id"], f"{out}/counts", f"{out}/checkpoint", interval=None).awaitTermination()
     counts = spark.read.parquet(f"{out}/counts")
     return counts.groupBy("user_id").agg(F.max("running_count").alias("running_count"))
+
+
+def _write_quarter(spark: SparkSession, folder: str, path: str, number: int, repeats: bool = False) -> None:
+    """One file of events: every fourth one and, with ``repeats``, a third of those that the file before held."""
+    events, quarter = table(spark, folder, "events"), F.pmod("event_id", F.lit(4))
+    again = (quarter == number - 1) & (F.pmod("event_id", F.lit(3)) == 0) if repeats else F.lit(False)
+    events.filter((quarter == number) | again).coalesce(1).write.mode("append").parquet(path)
+
+
+def _quarters(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """The files of a folder as a stream, one in each batch, in the order in which they were written."""
+    schema = table(spark, folder, "events").schema
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query("""
+WITH q AS (SELECT event_id % 4 AS batch, user_id, count(*) AS n FROM events GROUP BY ALL)
+SELECT CAST(batch AS INTEGER) AS batch, user_id, CAST(sum(n) OVER (PARTITION BY user_id ORDER BY batch) AS BIGINT) AS running_count FROM q
+""")
+def q_running_count_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Events seen so far per user, after each of four batches; the query is started anew after the second."""
+    base = shared_folder(spark, "batches")
+    for numbers in ((0, 1), (2, 3)):
+        for number in numbers:
+            _write_quarter(spark, folder, f"{base}/in", number)
+        stream = _quarters(spark, folder, f"{base}/in").select("user_id")
+        start_running_counts(stream, ["user_id"], f"{base}/counts", f"{base}/checkpoint", interval=None).awaitTermination()
+    return spark.read.parquet(f"{base}/counts").select(F.col("batch_id").cast("int").alias("batch"), "user_id", "running_count")
+
+
+@query(f"""
+SELECT event_id || '@' || event_type || '@' || {_TASK} AS key, strftime(ts, '%Y-%m-%d %H:%M:%S') AS moment FROM (SELECT DISTINCT * FROM events)
+""")
+def q_stream_distinct(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages of four batches that bring a third of each other again, once; the query is started anew after the second."""
+    base = shared_folder(spark, "repeats")
+    for numbers in ((0, 1), (2, 3)):
+        for number in numbers:
+            _write_quarter(spark, folder, f"{base}/in", number, repeats=True)
+        events = _quarters(spark, folder, f"{base}/in").withColumn("moment", F.col("ts").cast("timestamp"))
+        key = message_key(F.col("event_id"), F.col("event_type"), F.col("user_id") % 7, F.col("user_id") % 3)
+        messages = events.select(key.alias("key"), "moment")
+        start_distinct(messages, "moment", "3650 days", ["key"], f"{base}/out", f"{base}/checkpoint", interval=None).awaitTermination()
+    return spark.read.parquet(f"{base}/out").select("key", F.date_format("moment", "yyyy-MM-dd HH:mm:ss").alias("moment"))
+
+
+@query(f"""
+SELECT event_id, CASE event_id % 10
+    WHEN 3 THEN 'the key has not four parts led by a number' WHEN 5 THEN 'the value is no flat JSON object'
+    WHEN 7 THEN CASE WHEN event_type IN {_KINDS} THEN 'an id or a link end is missing' ELSE 'no mapping covers the data schema' END
+    ELSE CASE WHEN event_type IN {_KINDS} THEN 'accepted' ELSE 'no mapping covers the data schema' END END AS outcome
+FROM events
+""")
+def q_stream_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """What becomes of each record when some are broken: accepted, or rejected with the reason."""
+    base = shared_folder(spark, "rejected")
+    for number in range(4):
+        _write_quarter(spark, folder, f"{base}/in", number)
+    messages, last = _messages(_quarters(spark, folder, f"{base}/in")), F.regexp_extract("key", r"(\d)@", 1)
+    broken = messages.select(
+        "topic",
+        F.when(last == "3", F.regexp_replace("key", r"@\d+@\d+$", "")).otherwise(F.col("key")).alias("key"),
+        F.when(last == "5", F.concat(F.lit("<"), "value"))
+        .when(last == "7", F.regexp_replace("value", '"event_id":', '"other":'))
+        .otherwise(F.col("value"))
+        .alias("value"),
+    )
+    start_transform(broken, web_mappings(spark), f"{base}/out", f"{base}/checkpoint", interval=None, with_rejected=True).awaitTermination()
+    event = F.substring_index("key", "@", 1).cast("long").alias("event_id")
+    rejected = spark.read.parquet(f"{base}/out/rejected").select(event, F.col("reason").alias("outcome"))
+    accepted = spark.read.parquet(f"{base}/out/messages").select(event, F.lit("accepted").alias("outcome")).distinct()
+    return rejected.unionByName(accepted)

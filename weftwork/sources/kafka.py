@@ -2,7 +2,7 @@
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.functions.keys import flat_record, message_key_parts
@@ -55,6 +55,11 @@ def as_messages(frame: DataFrame) -> DataFrame:
     )
 
 
+def raw_columns() -> list[Column]:
+    """The parts of a message's key, and its value as a flat map."""
+    return [*message_key_parts(F.col("key"), RECORD_KEY), flat_record(F.col("value")).alias("value")]
+
+
 def raw_records(messages: DataFrame) -> DataFrame:
     """Messages with the key split and the value as a flat map."""
-    return messages.select(*message_key_parts(F.col("key"), RECORD_KEY), flat_record(F.col("value")).alias("value"))
+    return messages.select(*raw_columns())

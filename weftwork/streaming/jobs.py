@@ -19,12 +19,13 @@ from weftwork.constants import PATTERN_ZONE
 from weftwork.operators.cells import element_cells
 from weftwork.operators.dedup import distinct_payloads
 from weftwork.operators.documents import search_documents, stamped
-from weftwork.operators.elements import fan_out
+from weftwork.operators.elements import RECORD_KEYS, fan_out
 from weftwork.operators.metrics import load_metrics, transform_metrics
+from weftwork.operators.rejects import is_message_key, rejected_records
 from weftwork.operators.selection import replay_filter, watched
 from weftwork.sinks.messages import element_messages, elements_of, keyed_elements
 from weftwork.sinks.tables import write_batch
-from weftwork.sources.kafka import raw_records
+from weftwork.sources.kafka import raw_columns, raw_records
 
 TRANSFORM_INTERVAL = "4 seconds"
 ALERT_INTERVAL = "2 seconds"
@@ -60,16 +61,29 @@ def start_transform(
     checkpoint: str,
     interval: str | None = TRANSFORM_INTERVAL,
     send: Callable[[DataFrame, int], None] | None = None,
+    with_rejected: bool = False,
 ) -> StreamingQuery:
     """Raw records to element messages, with the counts of each batch and task.
 
     Messages go to ``out/messages`` or, with ``send``, wherever it writes a
-    batch of ``key, value``. Metrics go to ``out/metrics``.
+    batch of ``key, value``. Metrics go to ``out/metrics``. ``with_rejected``
+    writes the records that give no element to ``out/rejected``, with the
+    reason, so that accepted and rejected ones together are all that came in;
+    records whose key has not all its parts are rejected then as well.
     """
+    keep = (*RECORD_KEYS, "record") if with_rejected else RECORD_KEYS
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         started = _started_at()
-        with _kept(raw_records(batch)) as records, _kept(fan_out(records, compiled_mappings)) as elements:
+        parsed = raw_records(batch)
+        if with_rejected:
+            numbered = batch.select("key", "value", F.monotonically_increasing_id().alias("record"))
+            parsed = numbered.filter(is_message_key(F.col("key"))).select("record", *raw_columns())
+        with _kept(parsed) as records, _kept(fan_out(records, compiled_mappings, keep=keep)) as elements:
+            if with_rejected:
+                accepted = elements.select(F.col("record_record").alias("record"))
+                with _kept(compiled_mappings.select("data_schema_id").distinct()) as covered:
+                    write_batch(rejected_records(numbered, accepted, covered), f"{out}/rejected", batch_id)
             produced = element_messages(elements)
             if send is None:
                 write_batch(produced, f"{out}/messages", batch_id)
@@ -123,7 +137,9 @@ def start_alerts(
 
     The list is read anew for each batch.
     """
-    value = F.get_json_object("value", f"$.body.{property_uuid}.value")
+    # a map by property id, so that an id may hold any characters
+    body = F.from_json("value", "body map<string,struct<value:string>>")["body"]
+    value = F.try_element_at(body, F.lit(property_uuid))["value"]
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         alerts = watched(batch.withColumn("watched_value", value), watchlist, "watched_value")
@@ -132,6 +148,25 @@ def start_alerts(
     return _start(messages, handle, checkpoint, interval, "alerts")
 
 
+def distinct_in_stream(messages: DataFrame, event_time: str, delay: str, columns: list[str]) -> DataFrame:
+    """Messages that are equal in ``columns`` once over all batches, as long as they come within ``delay``.
+
+    The state is a digest for each message, kept until the watermark has passed the message's time by ``delay``; it lies
+    in the query's checkpoint, so a restart goes on with it. What comes later than the watermark is dropped by Spark.
+    """
+    measured = [F.coalesce(F.concat(F.length(c).cast("string"), F.lit(":"), F.col(c)), F.lit("-")) for c in columns]
+    marked = messages.withColumn("_digest", F.md5(F.concat(*measured))).withWatermark(event_time, delay)
+    return marked.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+
+
+def start_distinct(
+    messages: DataFrame, event_time: str, delay: str, columns: list[str], out: str, checkpoint: str, interval: str | None = TRANSFORM_INTERVAL
+) -> StreamingQuery:
+    """Write each message once, whichever batches and runs bring it again."""
+    once = distinct_in_stream(messages, event_time, delay, columns)
+    return _start(once, lambda batch, batch_id: write_batch(batch, out, batch_id), checkpoint, interval, "distinct")
+
+
 def running_counts(stream: DataFrame, keys: list[str]) -> DataFrame:
     """Rows seen so far per key, over all batches."""
     return stream.groupBy(*keys).agg(F.count(F.lit(1)).alias("running_count"))
