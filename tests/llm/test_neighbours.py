@@ -1,10 +1,11 @@
 """Nearest neighbours against brute force: recall, exact scores, order."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from weftwork.llm import queries
-from weftwork.llm.neighbours import nearest
+from weftwork.llm.neighbours import grouped, nearest
 
 
 def brute(ids, vectors, query, k=20):
@@ -65,3 +66,30 @@ def test_awkward_rows(spark):
     assert nearest(frame.limit(0)).count() == 0
     assert nearest(frame.filter("vec_id = 60")).count() == 0
     assert nearest(frame.filter("vec_id = 0")).count() == 0
+
+
+@pytest.mark.parametrize("sample", [20_000, 5_000])
+def test_recall_on_fifty_thousand_vectors(spark, sample):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 32))
+    vectors = (centres[rng.integers(0, 40, 50_000)] + rng.normal(size=(50_000, 32)) * 0.8).astype(np.float32).astype(np.float64)
+    ids = np.arange(50_000)
+    frame = spark.createDataFrame(pa.table({"vec_id": ids, "embedding": pa.array(list(vectors))}))
+    rows = nearest(frame, every=100, sample=sample).collect()
+    hits = total = 0
+    by_query = {}
+    for r in rows:
+        by_query.setdefault(r.query_id, []).append(r)
+    for q in range(0, 50_000, 100):
+        scores = vectors @ vectors[q]
+        scores[q] = -np.inf
+        least = np.partition(scores, -20)[-20] - 1e-9
+        hits += sum(r.score >= least for r in by_query[q])
+        total += 20
+    assert hits >= 0.95 * total
+
+
+def test_leaves_are_grouped_without_loss():
+    group, blocks = grouped(np.array([3, 0, 4, 30, 1, 9, 2, 10, 0]), 10)
+    assert group.tolist() == [0, 0, 0, 1, 2, 2, 3, 4, 4] and blocks.tolist() == [1, 3, 1, 1, 1]
+    assert grouped(np.zeros(0, np.int64), 10)[1].tolist() == []

@@ -3,8 +3,12 @@
 The tree is fitted on a bounded sample of distinct vectors. For the largest inner product, vectors are lengthened by one
 component, so that all have the same norm and the nearest is the one with the largest product. Every vector is put into
 a leaf. A query walks the tree with a priority queue of branches, best first, and visits leaves in the order in which
-they leave the queue. How many it visits is widened until queries of the sample reach the wanted recall on the sample.
-Leaves and their queries are then searched exactly, in blocks of bounded size.
+they leave the queue. How many it visits is widened until queries of the sample reach the wanted recall on the sample;
+of the ``k`` nearest of all vectors the sample holds its share, so that many are looked for there.
+
+Neighbouring leaves form groups of about ``BLOCK`` vectors, and a leaf beyond that is a group of several blocks. A query
+goes once to each group that it visits leaves of, with their numbers, and is held against those leaves exactly. So the
+rows that are shuffled follow the vectors and the groups, not the leaves visited.
 """
 
 import heapq
@@ -19,7 +23,8 @@ from weftwork.llm.common import written
 
 SAMPLE, BRANCHES, LEAF = 20_000, 12, 60  # vectors of the sample; children of a node; vectors of the sample in a leaf
 RECALL, CALIBRATION = 0.97, 300  # wanted recall, and the queries of the sample on which it is measured
-BLOCK = 2048  # vectors, and queries, that are compared at once
+BLOCK = 4096  # vectors, and queries, that are compared in one task
+AT_ONCE = 256  # queries of them whose products stand in memory at a time
 ROUNDS = 12
 
 
@@ -97,15 +102,22 @@ class Tree:
                 count += 1
         return out
 
-    def calibrate(self, sample: np.ndarray, k: int, recall: float, queries: int) -> int:
-        """The least number of leaves that finds ``recall`` of the ``k`` nearest of the sample, widened step by step."""
-        chosen = sample[self._rng.permutation(len(sample))[:queries]]
+    def calibrate(self, sample: np.ndarray, k: int, recall: float, queries: int, total: int) -> int:
+        """The least number of leaves that finds ``recall`` of the nearest of the sample, widened step by step.
+
+        A query finds itself in its own leaf, so it does not count. Of the ``k`` nearest among ``total`` vectors the
+        sample holds its share, and as many are looked for in it.
+        """
+        chosen = self._rng.permutation(len(sample))[:queries]
+        k = min(max(1, round(k * len(sample) / max(total, 1))), len(sample) - 1)
+        if k < 1:
+            return self.leaves
         leaf = self.leaf_of(sample)
-        products = chosen @ sample.T
-        k = min(k, len(sample))
+        products = sample[chosen] @ sample.T
+        products[np.arange(len(chosen)), chosen] = -np.inf
         nearest = np.argpartition(-products, k - 1, axis=1)[:, :k]
         rank = np.full((len(chosen), self.leaves), self.leaves)
-        for i, query in enumerate(chosen):
+        for i, query in enumerate(sample[chosen]):
             order = self.visits(query, self.leaves)
             rank[i, order] = np.arange(len(order))
         needed = np.sort(np.take_along_axis(rank, leaf[nearest], axis=1).ravel())
@@ -143,11 +155,34 @@ def _place(tree: Tree):
     return run
 
 
-def _visit(tree: Tree, limit: int):
+def grouped(counts: np.ndarray, block: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each leaf, from the leaves' vectors, and the blocks of each group: neighbours together up to ``block``."""
+    group, blocks, held = np.zeros(len(counts), np.int64), [], 0
+    for leaf, n in enumerate(counts.tolist()):
+        if not blocks or held + n > block:
+            blocks.append(max(1, -(-n // block)))
+            held = 0
+        group[leaf] = len(blocks) - 1
+        held += n
+    return group, np.array(blocks, dtype=np.int64)
+
+
+def _visit(tree: Tree, limit: int, group: np.ndarray):
+    """For each query one row for each group of leaves that it visits."""
+
     def run(batches):
         for batch in batches:
-            found = [tree.visits(q, limit) for q in _matrix(batch.column(1))] if batch.num_rows else []
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.int64()))], names=["query_id", "vector", "leaves"])
+            rows, groups, leaves = [], [], []
+            for k, query in enumerate(_matrix(batch.column(1)) if batch.num_rows else ()):
+                found = np.array(tree.visits(query, limit), dtype=np.int64)
+                of = group[found]
+                for g in np.unique(of).tolist():
+                    rows.append(k)
+                    groups.append(g)
+                    leaves.append(found[of == g].astype(np.int32))
+            at = pa.array(rows, pa.int64())
+            columns = [batch.column(0).take(at), batch.column(1).take(at), pa.array(groups, pa.int64()), pa.array(leaves, pa.list_(pa.int32()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["query_id", "vector", "cell", "leaves"])
 
     return run
 
@@ -167,26 +202,36 @@ def _lists(rows: list[tuple]) -> pa.Table:
 
 
 def _search(k: int):
-    """The ``k`` best of a block of vectors for each query of a block of queries."""
+    """The ``k`` best of a block of vectors, in the leaves that it visits, for each query of a block of queries."""
 
     def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
         if not vectors.num_rows or not queries.num_rows:
             return _lists([])
-        v, q = _matrix(vectors.column("vector")), _matrix(queries.column("vector"))
-        ids = vectors.column("vec_id").to_numpy()
-        products = q @ v.T
+        v, ids = _matrix(vectors.column("vector")), vectors.column("vec_id").to_numpy()
+        leaves, leaf = np.unique(vectors.column("leaf").to_numpy(), return_inverse=True)
         rows = []
-        for i, query_id in enumerate(queries.column("query_id").to_pylist()):
-            line = products[i]
-            if len(line) > k + 1:  # the product of a matrix may differ in the last bits: leave room at the edge
-                least = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
-                near = np.flatnonzero(line >= least - 1e-9 * (1 + abs(least)))
-            else:
-                near = np.arange(len(line))
-            near = near[ids[near] != query_id]
-            exact = (v[near] * q[i]).cumsum(axis=1)[:, -1] if len(near) else np.zeros(0)
-            top = best(ids[near], exact, k)
-            rows.append((query_id, ids[near][top].tolist(), exact[top].tolist()))
+        for start in range(0, queries.num_rows, AT_ONCE):
+            part = queries.slice(start, AT_ONCE)
+            q, asked = _matrix(part.column("vector")), part.column("leaves").combine_chunks()
+            wanted = asked.flatten().to_numpy()
+            at = np.minimum(np.searchsorted(leaves, wanted), len(leaves) - 1)
+            row = np.repeat(np.arange(len(q)), asked.value_lengths().to_numpy())
+            visited = np.zeros((len(q), len(leaves)), dtype=bool)
+            there = leaves[at] == wanted
+            visited[row[there], at[there]] = True
+            products = q @ v.T
+            products[~visited[:, leaf]] = -np.inf
+            for i, query_id in enumerate(part.column("query_id").to_pylist()):
+                line = products[i]
+                near = np.flatnonzero(line > -np.inf)
+                if len(near) > k + 1:  # the product of a matrix may differ in the last bits: leave room at the edge
+                    least = np.partition(line, len(line) - k - 1)[len(line) - k - 1]
+                    near = np.flatnonzero(line >= least - 1e-9 * (1 + abs(least)))
+                near = near[ids[near] != query_id]
+                if len(near):
+                    exact = (v[near] * q[i]).cumsum(axis=1)[:, -1]
+                    top = best(ids[near], exact, k)
+                    rows.append((query_id, ids[near][top].tolist(), exact[top].tolist()))
         return _lists(rows)
 
     return run
@@ -230,26 +275,33 @@ def nearest(
     if common is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     usable = usable.filter(F.col("size") == common["size"]).select("vec_id", "vector")
+    total = usable.count()
     rows = usable.select("vector").orderBy(F.xxhash64("vec_id", "vector")).limit(sample).collect()  # bounded by ``sample``
     matrix = np.frombuffer(b"".join(r.vector for r in rows), "<f8").reshape(len(rows), -1)
     tree = Tree(matrix, leaf=leaf)
-    visits = tree.calibrate(matrix, k, recall, CALIBRATION)
+    visits = tree.calibrate(matrix, k, recall, CALIBRATION, total)
 
     placed = written(usable.mapInArrow(_place(tree), "vec_id long, vector binary, leaf long"), "leaves")
+    counts = np.zeros(tree.leaves, np.int64)
+    for row in placed.groupBy("leaf").count().collect():  # as many rows as the tree has leaves
+        counts[row["leaf"]] = row["count"]
+    group, blocks = grouped(counts, BLOCK)
     asked = placed.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
-    asked = asked.mapInArrow(_visit(tree, visits), "query_id long, vector binary, leaves array<long>")
-    asked = written(asked.select("query_id", "vector", F.explode("leaves").alias("leaf")), "visits")
-    # As many rows as the tree has leaves: how many blocks of vectors and of queries each has.
-    blocks = lambda frame, name: frame.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(name))
-    sizes = F.broadcast(blocks(placed, "v_blocks").join(blocks(asked, "q_blocks"), "leaf"))
+    # Few bytes mean much walking here, so the queries are not gathered into partitions by their size.
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")
+    asked = written(asked.mapInArrow(_visit(tree, visits, group), "query_id long, vector binary, cell long, leaves array<int>"), "visits")
+    q_blocks = asked.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("q_blocks"))
+    v_blocks = spark.createDataFrame(pa.table({"cell": np.arange(len(blocks)), "v_blocks": blocks}))
+    cells = F.broadcast(v_blocks.join(q_blocks, "cell"))
+    cell_of = F.broadcast(spark.createDataFrame(pa.table({"leaf": np.arange(len(group)), "cell": group})))
     block = lambda column, n: F.pmod(F.xxhash64(column), F.col(n)).cast("int")
-    one = placed.join(sizes, "leaf").select(
-        "leaf", block("vec_id", "v_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("j"), "vec_id", "vector"
+    one = placed.join(cell_of, "leaf").join(cells, "cell").select(
+        "cell", block("vec_id", "v_blocks").alias("i"), F.explode(F.sequence(F.lit(0), F.col("q_blocks") - 1)).alias("j"), "vec_id", "vector", "leaf"
     )
-    two = asked.join(sizes, "leaf").select(
-        "leaf", F.explode(F.sequence(F.lit(0), F.col("v_blocks") - 1)).alias("i"), block("query_id", "q_blocks").alias("j"), "query_id", "vector"
+    two = asked.join(cells, "cell").select(
+        "cell", F.explode(F.sequence(F.lit(0), F.col("v_blocks").cast("int") - 1)).alias("i"), block("query_id", "q_blocks").alias("j"), "query_id", "vector", "leaves"
     )
-    found = one.groupBy("leaf", "i", "j").cogroup(two.groupBy("leaf", "i", "j")).applyInArrow(_search(k), _FOUND)
+    found = one.groupBy("cell", "i", "j").cogroup(two.groupBy("cell", "i", "j")).applyInArrow(_search(k), _FOUND)
     # First the finds of a share of the leaves and blocks, then those of the shares, so that no list grows with the data.
     part = F.pmod(F.monotonically_increasing_id(), F.lit(16)).alias("part")
     lists = F.collect_list(F.struct("ids", "scores")).alias("parts")
