@@ -81,3 +81,35 @@ def test_long_and_empty(spark):
     found = {r.doc_id: (r.n_removed, r.n_spans) for r in without_repeats(frame).collect()}
     assert found == {1: (900, 1), 2: (900, 1), 3: (0, 0)}
     assert without_repeats(frame.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("direct", [0, 10, 10**6])
+def test_suffix_array_with_and_without_recursion(monkeypatch, direct):
+    monkeypatch.setattr(suffixarray, "DIRECT", direct)
+    rng = random.Random(2)
+    for _ in range(200):
+        part = [rng.randrange(rng.choice([1, 2, 3, 26])) for _ in range(rng.randrange(1, 120))]
+        s = part * rng.randrange(1, 4) + part[: rng.randrange(len(part))]
+        assert suffix_array(np.array(s, dtype=np.int64)).tolist() == sorted(range(len(s)), key=lambda i: s[i:])
+
+
+def test_sorting_a_large_shard_takes_bounded_memory():
+    import subprocess
+    import sys
+
+    code = """
+import random, resource
+import pyarrow as pa
+from weftwork.llm.suffixdedup import _sort_shard
+rng = random.Random(1)
+base = [bytes(rng.randrange(97, 123) for _ in range(700)) for _ in range(60)]
+pieces = [b[k : k + 600] for b in base for k in range(0, 100, 3)]
+pieces = pieces[: (1 << 20) // 600]
+shard = pa.table({"doc_id": list(range(len(pieces))), "version": [0] * len(pieces), "first": [0] * len(pieces), "n": [1] * len(pieces), "piece": pieces})
+most = lambda: resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024
+before = most()
+assert _sort_shard(400)(shard).num_rows == len(pieces)
+print(most() - before)
+"""
+    taken = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
+    assert taken < 200  # MB for a shard of 1 MB

@@ -5,12 +5,14 @@ substrings are sorted by inducing, named, and the string of their names is sorte
 LMS suffixes all others are induced. Inducing goes bucket by bucket: all entries of a bucket induce the ones before
 them at once, and what falls into the same bucket is the next part of it. Names beyond a small alphabet are written as
 two digits, so that the recursion too has few buckets; the order of the suffixes at every second position is then the
-order wanted. Each level is at most two thirds as long as the one above on average.
+order wanted. Each level is at most two thirds as long as the one above on average. The recursion ends at strings of up
+to ``DIRECT`` names, where buckets are few names long: they are sorted directly, by ranks of prefixes that double.
 """
 
 import numpy as np
 
 ALPHABET = 600  # symbols beyond which names are written as two digits
+DIRECT = 120_000  # names up to which a string of names is sorted without further recursion
 
 
 def _types(s: np.ndarray) -> np.ndarray:
@@ -20,7 +22,7 @@ def _types(s: np.ndarray) -> np.ndarray:
     rise[:-1] = np.sign(s[1:].astype(np.int64) - s[:-1].astype(np.int64))
     rise[-1] = -1
     # Equal neighbours take the type of the next position that differs.
-    at = np.where(rise != 0, np.arange(n), n)
+    at = np.where(rise != 0, np.arange(n, dtype=np.int32), np.int32(n))
     following = np.minimum.accumulate(at[::-1])[::-1]
     return rise[following] > 0
 
@@ -43,7 +45,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray)
     n, k = len(s), len(sizes)
     ends = np.cumsum(sizes)
     starts = ends - sizes
-    sa = np.full(n, -1, dtype=np.int64)
+    sa = np.full(n, -1, dtype=np.int32)
     lms_symbols = s[lms]
     lms_ends = np.searchsorted(lms_symbols, np.arange(k), side="right")  # lms stand in order of their first symbol
     lms_starts = np.searchsorted(lms_symbols, np.arange(k), side="left")
@@ -92,7 +94,7 @@ def _induce(s: np.ndarray, is_s: np.ndarray, lms: np.ndarray, sizes: np.ndarray)
 def _names(s: np.ndarray, lms_sorted: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """The rank of each LMS substring, in the order of ``lms_sorted``; equal substrings have the same rank."""
     n = len(s)
-    end_of = np.full(n + 1, n, dtype=np.int64)
+    end_of = np.full(n + 1, n, dtype=np.int32)
     end_of[lms[:-1]] = lms[1:] + 1  # up to and with the next leftmost S
     starts, stops = lms_sorted, end_of[lms_sorted]
     sizes = stops - starts
@@ -108,7 +110,24 @@ def _names(s: np.ndarray, lms_sorted: np.ndarray, lms: np.ndarray) -> np.ndarray
         new[deep[differ]] = True
         same = deep[~differ]
         depth += 1
-    return np.cumsum(new) - 1
+    return np.cumsum(new, dtype=np.int32) - 1
+
+
+def _direct(s: np.ndarray) -> np.ndarray:
+    """The suffixes of a short string in order: ranks by prefixes of 1, 2, 4, … symbols until all differ."""
+    n = len(s)
+    rank = np.unique(s, return_inverse=True)[1].astype(np.int64)
+    width = 1
+    while True:
+        following = np.zeros(n, dtype=np.int64)  # a suffix that has ended comes first
+        following[: max(n - width, 0)] = rank[width:] + 1
+        key = rank * (n + 1) + following
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        rank[order] = np.cumsum(np.append(0, key[1:] != key[:-1]))
+        width *= 2
+        if rank[order[-1]] == n - 1 or width >= n:
+            return order
 
 
 def suffix_array(s: np.ndarray) -> np.ndarray:
@@ -130,11 +149,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
         in_order = first[leftmost[first]]
         names = _names(s, in_order, lms)
         if names[-1] + 1 < len(lms):
-            by_place = np.zeros(n, dtype=np.int64)
+            by_place = np.zeros(n, dtype=np.int32)
             by_place[in_order] = names
             reduced = by_place[lms]
             k = int(names[-1]) + 1
-            if k <= ALPHABET:
+            if len(reduced) <= DIRECT:
+                order = _direct(reduced)
+            elif k <= ALPHABET:
                 order = suffix_array(reduced)
             else:
                 base = int(np.ceil(np.sqrt(k)))
@@ -147,22 +168,24 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     return _induce(s, is_s, lms, sizes)
 
 
-def permuted_prefixes(data: np.ndarray, sa: np.ndarray, room: np.ndarray, hasher, cap: int) -> np.ndarray:
+def permuted_prefixes(sa: np.ndarray, room: np.ndarray, hasher, cap: int) -> np.ndarray:
     """For each position, the longest prefix, up to ``cap``, that its suffix shares with a neighbour in ``sa``.
 
-    ``room`` is how far a suffix may be read. The length is found by halving steps over range hashes.
+    ``room`` is how far a suffix may be read; pairs of which one has less than ``cap`` share less and are left at 0. The
+    length is found by halving steps over range hashes, once for each pair of neighbours.
     """
-    n = len(sa)
-    best = np.zeros(n, dtype=np.int64)
-    for other, own in ((sa[:-1], sa[1:]), (sa[1:], sa[:-1])):
-        length = np.zeros(len(own), dtype=np.int64)
-        limit = np.minimum(np.minimum(room[own], room[other]), cap)
-        step = 1 << (cap.bit_length() - 1)
-        while step:
-            fits = np.flatnonzero(length + step <= limit)
-            a, b = own[fits] + length[fits], other[fits] + length[fits]
-            same = hasher.of(a, a + step) == hasher.of(b, b + step)
-            length[fits[same]] += step
-            step >>= 1
-        best[own] = np.maximum(best[own], length)
+    best = np.zeros(len(sa), dtype=np.int32)
+    full = room[sa] >= cap
+    pair = np.flatnonzero(full[:-1] & full[1:])
+    one, two = sa[pair].astype(np.int64), sa[pair + 1].astype(np.int64)
+    length = np.zeros(len(pair), dtype=np.int64)
+    step = 1 << (cap.bit_length() - 1)
+    while step:
+        fits = np.flatnonzero(length + step <= cap)
+        a, b = one[fits] + length[fits], two[fits] + length[fits]
+        same = hasher.of(a, a + step) == hasher.of(b, b + step)
+        length[fits[same]] += step
+        step >>= 1
+    best[one] = length
+    best[two] = np.maximum(best[two], length)
     return best

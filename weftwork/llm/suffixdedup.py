@@ -9,27 +9,32 @@ A byte goes if a string of ``LENGTH`` bytes that covers it also starts anywhere
    repeated as a whole. This settles all but the regions at the ends of repeats and around changes. Of these, only
    such can hold a repeated window as share one of ``PARTS`` strings around the anchor with another region: a window
    reaches ``i`` steps to the left of the anchor, and ``PARTS - 1 - i`` to the right, for some ``i``.
-3. *Suffix arrays.* The different regions of an anchor whose regions are not settled go to one shard. A shard's text is
+3. *Clipping.* What is left is cut out of the texts, and the same is done again with ``STEPS`` strings: a region is
+   clipped to the windows between the first and the last of its steps that it shares.
+4. *Suffix arrays.* The different regions of an anchor whose regions are not settled go to one shard. A shard's text is
    sorted by induced sorting, and a window is repeated if its permuted common prefix reaches ``LENGTH``.
-4. *Hot anchors.* An anchor with more than ``HOT`` different regions would overload a shard. Its windows are hashed and
-   counted one by one instead, with a partial sum in each task.
-5. The spans of a text are merged and cut out.
+5. *Hot anchors.* An anchor with more than ``HOT`` different regions, or more than ``SHARD_BYTES`` of them, would overload
+   a shard. Its windows are hashed and counted one by one instead, with a partial sum in each task.
+6. The spans of a text are merged and cut out.
+
+So most repeats, the exact copies, are settled by counting, and the suffix arrays decide about the edges of repeats.
 """
 
 import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftwork.llm.common import written
 from weftwork.llm.suffixarray import permuted_prefixes, suffix_array
 from weftwork.llm.textbatch import Hasher, mix, signed, sliced, text_buffers
+from weftwork.operators.joins import adaptive_join
 
-LENGTH, GRAM, HOT, PARTS = 400, 64, 3000, 4
+LENGTH, GRAM, HOT, PARTS, STEPS = 400, 64, 3000, 4, 16
 SHARD_BYTES = 1 << 20
-SEGMENT = 1 << 22  # windows of a long text that are looked at at once
+SEGMENT = 1 << 20  # windows of a long text that are looked at at once
 BROADCAST_ROWS, BROADCAST_SPANS = 500_000, 2_000_000
 
 _REGIONS = "doc_id long, version long, first int, last int, anchor long, region long, parts array<long>"
@@ -99,25 +104,58 @@ def _find_regions(length: int, gram: int):
     return run
 
 
-_PIECES = "doc_id long, version long, first int, anchor long, n long, piece binary"
+_PIECES = "doc_id long, version long, first int, anchor long, n long, piece binary, at int, parts longs"
+_PIECES_DDL = _PIECES.replace("longs", "array<long>")
+
 
+def _steps(piece: bytes, anchor: int, length: int, gram: int) -> tuple[int, list[int]]:
+    """Where the anchor lies in a region, and the hashes of its ``STEPS`` strings; 0 where the region does not reach so far."""
+    data = np.frombuffer(piece, np.uint8)
+    hasher = Hasher(data)
+    may = np.arange(len(data) - length, length - gram + 1)  # every window of the region holds its anchor
+    at = int(may[np.flatnonzero(signed(hasher.of(may, may + gram)) == anchor)[0]])
+    step, i = (length - gram) // STEPS, np.arange(STEPS)
+    a, b = at - step * i, at + gram + step * (STEPS - 1 - i)
+    reached = (a >= 0) & (b <= len(data))
+    parts = np.zeros(STEPS, dtype=np.uint64)
+    parts[reached] = mix(hasher.of(a[reached], b[reached]) + (i[reached] + 1).astype(np.uint64))
+    return at, signed(parts).tolist()
 
-def _cut_pieces(length: int):
+
+def _cut_pieces(length: int, gram: int):
     def run(batches):
-        for batch in sliced(batches, "text", 1 << 20):
+        for batch in sliced(batches, "text"):
             out = []
             for doc_id, version, text, wanted in zip(*(c.to_pylist() for c in batch.columns)):
                 data = text.encode()
-                out += [(doc_id, version, w["first"], w["anchor"], w["n"], data[w["first"] : w["last"] + length]) for w in wanted]
-                if len(out) > 20_000:
-                    yield _batch(out, _PIECES)
-                    out = []
+                for w in wanted:
+                    piece = data[w["first"] : w["last"] + length]
+                    out.append((doc_id, version, w["first"], w["anchor"], w["n"], piece, *_steps(piece, w["anchor"], length, gram)))
+                    if len(out) > 10_000:
+                        yield _batch(out, _PIECES)
+                        out = []
             yield _batch(out, _PIECES)
 
     return run
 
 
-_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
+def _clipped(pieces: DataFrame, length: int, gram: int) -> DataFrame:
+    """The pieces, cut down to the windows of the steps whose strings they share with another one."""
+    marks = pieces.select("piece_id", "n", F.posexplode("parts").alias("step", "part")).filter("part <> 0")
+    twice = marks.groupBy("part").agg(F.count("*").alias("places"), F.min("n").alias("least")).filter("places > 1 and least = 1")
+    steps = adaptive_join(marks.select("piece_id", "step", "part"), twice.select("part"), ["part"])
+    steps = steps.groupBy("piece_id").agg(F.min("step").alias("low"), F.max("step").alias("high"))
+    step, rest = (length - gram) // STEPS, (length - gram) % STEPS
+    begin = F.greatest(F.col("at") - step * (F.col("high") + 1) - rest, F.lit(0))
+    end = F.least(F.col("at") - step * F.col("low"), F.length("piece") - length)
+    joined = adaptive_join(pieces.drop("parts"), steps, ["piece_id"]).withColumn("begin", begin).withColumn("end", end)
+    return joined.select(
+        "doc_id", "version", (F.col("first") + F.col("begin")).cast("int").alias("first"), "anchor", "n",
+        F.substring(F.col("piece"), F.col("begin") + 1, F.col("end") - F.col("begin") + length).alias("piece"),
+    )
+
+
+_TYPES = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string(), "longs": pa.list_(pa.int64())}
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
@@ -136,12 +174,14 @@ def _sort_shard(length: int):
         starts = ends - sizes - 1
         data = np.zeros(int(ends[-1]), np.uint8)
         symbols = np.zeros(int(ends[-1]), np.uint16)  # 0 stands behind each region
-        room = np.zeros(int(ends[-1]), np.int64)
+        room = np.zeros(int(ends[-1]), np.int32)
         for p, a in zip(pieces, starts):
             data[a : a + len(p)] = p
             symbols[a : a + len(p)] = p.astype(np.uint16) + 1
             room[a : a + len(p)] = np.arange(len(p), 0, -1)
-        repeated = permuted_prefixes(data, suffix_array(symbols), room, Hasher(data), length) >= length
+        order = suffix_array(symbols)
+        del symbols
+        repeated = permuted_prefixes(order, room, Hasher(data), length) >= length
         rows = []
         keys = [shard.column(c).to_pylist() for c in ("doc_id", "version", "first", "n")]
         for k, (doc_id, version, first, n) in enumerate(zip(*keys)):
@@ -161,17 +201,18 @@ _WINDOWS = "doc_id long, version long, start int, window long, n long"
 def _hash_windows(length: int):
     def run(batches):
         for batch in batches:
-            for doc_id, version, first, _, n, piece in zip(*(c.to_pylist() for c in batch.columns)):
-                data = np.frombuffer(piece, np.uint8)
-                at = np.arange(len(data) - length + 1)
-                hashes = signed(Hasher(data).of(at, at + length))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([doc_id] * len(at), pa.int64()), pa.array([version] * len(at), pa.int64()),
-                        pa.array((at + first).astype(np.int32)), pa.array(hashes), pa.array(np.full(len(at), n, np.int64)),
-                    ],
-                    names=["doc_id", "version", "start", "window", "n"],
-                )
+            for start in range(0, batch.num_rows, 500):
+                part = batch.slice(start, 500)
+                pieces = [np.frombuffer(p, np.uint8) for p in part.column(5).to_pylist()]
+                windows = np.array([len(p) - length + 1 for p in pieces])
+                begins = np.cumsum([0, *(len(p) for p in pieces)])[:-1]
+                within = np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
+                at = np.repeat(begins, windows) + within
+                row = pa.array(np.repeat(np.arange(len(pieces)), windows))
+                hashes = signed(Hasher(np.concatenate(pieces)).of(at, at + length))
+                first = np.repeat(part.column(2).to_numpy(), windows)
+                columns = [part.column(0).take(row), part.column(1).take(row), pa.array((first + within).astype(np.int32)), pa.array(hashes), part.column(4).take(row)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "version", "start", "window", "n"])
 
     return run
 
@@ -186,17 +227,6 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _merge(batches):
-    for batch in batches:
-        rows = []
-        for doc_id, version, spans in zip(*(c.to_pylist() for c in batch.columns)):
-            found = merged([(s["start"], s["stop"]) for s in spans])
-            rows.append((doc_id, version, [a for a, _ in found], [b for _, b in found]))
-        columns = list(zip(*rows)) or [[], [], [], []]
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "version", "starts", "stops"])
-
-
 def _versioned(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
     text = F.coalesce(F.col(text_column), F.lit(""))
     return docs.select(F.col(id_column).cast("long").alias("doc_id"), F.xxhash64(text).alias("version"), text.alias("text"))
@@ -217,29 +247,29 @@ def repeated_spans(
     long_texts = texts.filter(F.octet_length("text") >= length)
     found = written(long_texts.mapInArrow(_find_regions(length, gram), _REGIONS), "regions")
     several = found.groupBy("anchor").agg(F.count("*").alias("places")).filter("places > 1").select("anchor")
-    found = written(found.join(several, "anchor").select("doc_id", "version", "first", "last", "anchor", "region", "parts"), "shared-regions")
+    found = written(adaptive_join(found, several, ["anchor"]).select("doc_id", "version", "first", "last", "anchor", "region", "parts"), "shared-regions")
     kinds = found.groupBy("anchor", "region").agg(
         F.count("*").alias("n"), F.min(F.struct("doc_id", "version", "first", "last", "parts")).alias("one")
     )
     kinds = written(kinds, "region-kinds")
-    whole = found.join(kinds.filter("n > 1").select("anchor", "region"), ["anchor", "region"])
+    whole = adaptive_join(found, kinds.filter("n > 1").select("anchor", "region"), ["anchor", "region"])
     spans = whole.select("doc_id", "version", F.col("first").alias("start"), (F.col("last") + length).cast("int").alias("stop"))
 
     open_anchors = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("kinds > 1 and least = 1")
-    unsettled = written(kinds.join(open_anchors.select("anchor"), "anchor"), "open-regions")
+    unsettled = written(adaptive_join(kinds, open_anchors.select("anchor"), ["anchor"]), "open-regions")
     parts = unsettled.select("anchor", "region", F.explode("one.parts").alias("part")).filter("part <> 0")
     twice = parts.groupBy("part").agg(F.count("*").alias("places")).filter("places > 1").select("part")
-    sharing = parts.join(twice, "part").select("anchor", "region").distinct()
-    unsettled = written(unsettled.join(sharing, ["anchor", "region"]), "sharing-regions")
-    open_anchors = unsettled.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("n").alias("least")).filter("least = 1")
-    unsettled = unsettled.join(open_anchors.select("anchor"), "anchor")
+    sharing = adaptive_join(parts, twice, ["part"]).select("anchor", "region").distinct()
+    unsettled = written(adaptive_join(unsettled, sharing, ["anchor", "region"]), "sharing-regions")
+    open_anchors = unsettled.groupBy("anchor").agg(F.min("n").alias("least")).filter("least = 1").select("anchor")
+    unsettled = adaptive_join(unsettled, open_anchors, ["anchor"])
     wanted = written(
         unsettled.select("one.doc_id", "one.version", "one.first", "one.last", "anchor", "n")
         .groupBy("doc_id", "version")
-        .agg(F.collect_list(F.struct("first", "last", "anchor", "n")).alias("wanted"), F.sum(F.col("last") - F.col("first") + length).alias("bytes")),
+        .agg(F.collect_list(F.struct("first", "last", "anchor", "n")).alias("wanted")),
         "unsettled",
     )
-    rows, volume = wanted.agg(F.count("*"), F.sum("bytes")).first()
+    rows = wanted.count()
     if rows:
         source = long_texts
         if rows <= BROADCAST_ROWS:  # 16 bytes a row: only texts that are needed are shuffled
@@ -247,23 +277,34 @@ def repeated_spans(
             source = long_texts.join(keys, _same(long_texts, keys), "left_semi")
         source = source.dropDuplicates(["doc_id", "version"])
         joined = source.join(wanted, _same(source, wanted)).select(source["doc_id"], source["version"], "text", "wanted")
-        pieces = written(joined.mapInArrow(_cut_pieces(length), _PIECES), "region-texts")
-        hot_anchors = open_anchors.filter(F.col("kinds") > hot).select("anchor")
+        pieces = joined.mapInArrow(_cut_pieces(length, gram), _PIECES_DDL).withColumn("piece_id", F.monotonically_increasing_id())
+        pieces = written(_clipped(written(pieces, "region-texts"), length, gram), "clipped-regions")
+        size = pieces.groupBy("anchor").agg(F.count("*").alias("kinds"), F.sum(F.length("piece")).alias("bytes"), F.min("n").alias("least"))
+        size = written(size.filter("least = 1"), "anchor-sizes")  # others hold nothing that is open
+        too_large = (F.col("kinds") > hot) | (F.col("bytes") > SHARD_BYTES)
+        volume = size.filter(~too_large).agg(F.sum("bytes")).first()[0] or 0
         shards = max(1, -(-int(volume) // SHARD_BYTES))
-        cold = pieces.join(hot_anchors, "anchor", "left_anti").withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
+        cold = adaptive_join(pieces, size.filter(~too_large).select("anchor"), ["anchor"])
+        cold = cold.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
         # Few bytes mean much sorting here, so the shards are not gathered into partitions by their size.
         tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), shards // 64)
         sorted_spans = cold.repartition(tasks, "shard").groupBy("shard").applyInArrow(_sort_shard(length), _SPANS)
         spans = spans.unionByName(sorted_spans)
+        hot_anchors = size.filter(too_large).select("anchor")
         if not hot_anchors.isEmpty():
-            heated = pieces.join(hot_anchors, "anchor").select("doc_id", "version", "first", "anchor", "n", "piece")
+            heated = adaptive_join(pieces, hot_anchors, ["anchor"]).select("doc_id", "version", "first", "anchor", "n", "piece")
             windows = written(heated.mapInArrow(_hash_windows(length), _WINDOWS), "hot-windows")
             twice = windows.groupBy("window").agg(F.sum("n").alias("places")).filter("places > 1").select("window")
-            late = windows.filter("n = 1").join(twice, "window")
+            late = adaptive_join(windows.filter("n = 1"), twice, ["window"])
             spans = spans.unionByName(late.select("doc_id", "version", "start", (F.col("start") + length).cast("int").alias("stop")))
-    by_text = spans.groupBy("doc_id", "version").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-    schema = "doc_id long, version long, starts array<int>, stops array<int>"
-    return written(by_text.select("doc_id", "version", "spans").mapInArrow(_merge, schema), "spans")
+    # Spans that meet become one before those of a text are gathered.
+    text = Window.partitionBy("doc_id", "version").orderBy("start", "stop")
+    reached = F.max("stop").over(text.rowsBetween(Window.unboundedPreceding, -1))
+    run = F.sum(F.when(F.col("start") > F.col("reached"), 1).otherwise(0)).over(text.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = spans.distinct().withColumn("reached", reached).withColumn("run", run)
+    runs = runs.groupBy("doc_id", "version", "run").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    by_text = runs.groupBy("doc_id", "version").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("spans"))
+    return written(by_text.select("doc_id", "version", F.col("spans.start").alias("starts"), F.col("spans.stop").alias("stops")), "spans")
 
 
 def _digests(batches):
