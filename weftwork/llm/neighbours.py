@@ -288,7 +288,7 @@ def nearest(
     group, blocks = grouped(counts, BLOCK)
     asked = placed.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(F.min("vector").alias("vector"))
     # Few bytes mean much walking here, so the queries are not gathered into partitions by their size.
-    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "query_id")
+    asked = asked.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), F.xxhash64("query_id"))
     asked = written(asked.mapInArrow(_visit(tree, visits, group), "query_id long, vector binary, cell long, leaves array<int>"), "visits")
     q_blocks = asked.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("q_blocks"))
     v_blocks = spark.createDataFrame(pa.table({"cell": np.arange(len(blocks)), "v_blocks": blocks}))
