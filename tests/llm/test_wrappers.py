@@ -3,11 +3,13 @@
 import html
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 
-from weftwork.llm import queries
-from weftwork.llm.wrappers import KEY, NEEDED, REPEATED, aligned, folded, main_texts, marked, match, merged, parse, wrapper_of
+from weftwork.llm import queries, wrappers
+from weftwork.llm.wrappers import KEY, NEEDED, REPEATED, aligned, folded, main_texts, marked, match, merged, page_wrapper, parse, wrapper_of
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -162,3 +164,48 @@ def test_copies_and_lists_of_links(spark):
     for parts in (1, 5):
         found = {r.page_id: r.text for r in main_texts(frame.repartition(parts)).collect()}
         assert [found[k] for k in range(len(rows))] == want
+
+
+def test_longest_common_order(monkeypatch):
+    rng = random.Random(3)
+    for table in (250_000, 6):
+        monkeypatch.setattr(wrappers, "TABLE", table)
+        for _ in range(300):
+            a, b = ([rng.randrange(4) for _ in range(rng.randrange(14))] for _ in range(2))
+            pairs = wrappers.common(np.array(a, dtype=np.int32), np.array(b, dtype=np.int32))
+            assert all(a[i] == b[j] for i, j in pairs) and pairs == sorted(pairs)
+            assert all(i < k and j < m for (i, j), (k, m) in zip(pairs, pairs[1:]))
+            size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+            for i in range(len(a)):
+                for j in range(len(b)):
+                    size[i + 1][j + 1] = size[i][j] + 1 if a[i] == b[j] else max(size[i][j + 1], size[i + 1][j])
+            assert len(pairs) == size[-1][-1]
+
+
+def test_pages_of_very_many_irregular_blocks_take_seconds():
+    rng = random.Random(5)
+    tags = ["p", "h2", "h3", "blockquote", "pre", "figure"]
+    pages = []
+    for _ in range(2):
+        blocks = [f"<{t}>text {k} {rng.random()}</{t}>" for k, t in enumerate(rng.choice(tags) for _ in range(20_000))]
+        pages.append(f"<html><body><nav><ul><li><a href='/'>home</a></ul></nav><article>{''.join(blocks)}</article></body></html>")
+    start = time.monotonic()
+    wrapper = merged(page_wrapper(pages[0]), page_wrapper(pages[1]), True)
+    marked(wrapper)
+    for page in pages:
+        out = []
+        match(wrapper, parse(page), out)
+        assert len(out) == 20_000 and not any("home" in x for x in out)
+    assert time.monotonic() - start < 60
+
+
+def test_elements_at_any_depth_are_skipped(spark):
+    rows = []
+    for k in range(6):
+        inner = f"<p>start {k}</p><nav><ul><li><a href='/x'>menu {k}</a></li></ul></nav><p>text of page {k} that goes on</p><form><p>send</p></form><p>end {k}</p>"
+        page = "<html><body><article><h1>title</h1>" + "<div>" * 3000 + inner + "</div>" * 3000 + f"<p>after {k}</p></article></body></html>"
+        rows.append((k, "http://deep.example/x", page))
+    found = {r.page_id: r.text for r in main_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(6):
+        assert found[k].split("\n")[-4:] == [f"start {k}", f"text of page {k} that goes on", f"end {k}", f"after {k}"]
+        assert "menu" not in found[k] and "send" not in found[k]

@@ -16,6 +16,7 @@ import re
 import zlib
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ MAX_HOSTS = 2000  # wrappers that a task holds before it passes them on
 SALTS = 64
 BROADCAST_BYTES = 16 << 20
 LONGEST_PERIOD = 4  # elements in a repeated group
+DEPTH = 200  # levels of a page that its tree has; the blocks of deeper ones stand one after the other in the last level
+TABLE = 250_000  # entries of an alignment table; longer streams are halved first
 
 #: Names of HTML elements by how they are read.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -104,6 +107,7 @@ class Element:
 def parse(page: str) -> Element:
     root = Element("html", "html")
     stack, links = [root], 0
+    skipping = [False]  # for each element of the stack: does it, or one below the tree's last level around it, hold no main text
     parts: list[str] = []
     linked = 0
 
@@ -111,8 +115,8 @@ def parse(page: str) -> Element:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
-            if text:
-                stack[-1].children.append((text, min(linked, len(text))))
+            if text and not skipping[len(stack) - 1]:
+                stack[min(len(stack), DEPTH) - 1].children.append((text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -163,9 +167,13 @@ def parse(page: str) -> Element:
         if name in CLOSES_P and stack[-1].tag == "p":
             stack.pop()
         element = Element(name, key_of(name, m["attrs"] or m["attrs2"] or ""))
-        stack[-1].children.append(element)
-        if len(stack) < 200:
-            stack.append(element)
+        del skipping[len(stack) :]
+        if len(stack) < DEPTH:
+            stack[-1].children.append(element)
+            skipping.append(False)
+        else:
+            skipping.append(skipping[-1] or barred(element.key, True) or doubtful(element.key, True))
+        stack.append(element)
     if at < len(page) and not page[at:].lstrip().startswith("<"):
         text = html.unescape(page[at:])
         parts.append(text)
@@ -231,26 +239,66 @@ def folded(stream: list) -> list:
     return stream
 
 
+def _lengths(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The length of the longest common order of ``a`` with each beginning of ``b``."""
+    row = np.zeros(len(b) + 1, dtype=np.int32)
+    for x in a.tolist():
+        row[1:] = np.maximum.accumulate(np.maximum(row[1:], row[:-1] + (b == x)))
+    return row
+
+
+def common(a: np.ndarray, b: np.ndarray, at_a: int = 0, at_b: int = 0) -> list[tuple[int, int]]:
+    """The places of a longest common order of two streams of numbers.
+
+    Equal ends are taken off first. What is left is filled into a table, or if it would be large, cut in the middle of
+    ``a`` where ``b`` fits both halves best, so that memory follows the streams' length only.
+    """
+    if not len(a) or not len(b):
+        return []
+    n = min(len(a), len(b))
+    head = int(np.argmin(np.append(a[:n] == b[:n], False)))
+    n -= head
+    tail = int(np.argmin(np.append(a[::-1][:n] == b[::-1][:n], False)))
+    pairs = [(at_a + k, at_b + k) for k in range(head)]
+    ends = [(at_a + len(a) - k, at_b + len(b) - k) for k in range(tail, 0, -1)]
+    a, b, at_a, at_b = a[head : len(a) - tail], b[head : len(b) - tail], at_a + head, at_b + head
+    if len(a) and len(b):
+        if len(a) * len(b) > TABLE and len(a) > 1:
+            half = len(a) // 2
+            cut = int(np.argmax(_lengths(a[:half], b) + _lengths(a[half:][::-1], b[::-1])[::-1]))
+            pairs += common(a[:half], b[:cut], at_a, at_b) + common(a[half:], b[cut:], at_a + half, at_b + cut)
+        else:
+            x, y = a.tolist(), b.tolist()
+            size = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+            for i in range(len(x) - 1, -1, -1):
+                for j in range(len(y) - 1, -1, -1):
+                    size[i][j] = size[i + 1][j + 1] + 1 if x[i] == y[j] else max(size[i + 1][j], size[i][j + 1])
+            i = j = 0
+            while i < len(x) and j < len(y):
+                if x[i] == y[j]:
+                    pairs.append((at_a + i, at_b + j))
+                    i, j = i + 1, j + 1
+                elif size[i + 1][j] >= size[i][j + 1]:
+                    i += 1
+                else:
+                    j += 1
+    return pairs + ends
+
+
 def aligned(a: list, b: list, pages: bool) -> list:
     """Two streams as one: common nodes in the longest order that both have, all others optional, then folded again."""
-    if [x[KEY] for x in a] == [x[KEY] for x in b]:
+    keys = [x[KEY] for x in a], [x[KEY] for x in b]
+    if keys[0] == keys[1]:
         return [merged(x, y, pages) for x, y in zip(a, b)]
-    size = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
-    for i in range(len(a) - 1, -1, -1):
-        for j in range(len(b) - 1, -1, -1):
-            size[i][j] = size[i + 1][j + 1] + 1 if a[i][KEY] == b[j][KEY] else max(size[i + 1][j], size[i][j + 1])
+    number: dict[str, int] = {}
+    numbers = [np.array([number.setdefault(key, len(number)) for key in side], dtype=np.int32) for side in keys]
     out, i, j = [], 0, 0
     optional = lambda x: [x[KEY], False, *x[REPEATED:]]
-    while i < len(a) or j < len(b):
-        if i < len(a) and j < len(b) and a[i][KEY] == b[j][KEY]:
-            out.append(merged(a[i], b[j], pages))
-            i, j = i + 1, j + 1
-        elif j == len(b) or i < len(a) and size[i + 1][j] >= size[i][j + 1]:
-            out.append(optional(a[i]))
-            i += 1
-        else:
-            out.append(optional(b[j]))
-            j += 1
+    for k, m in [*common(*numbers), (len(a), len(b))]:
+        out += [optional(x) for x in a[i:k]] + [optional(x) for x in b[j:m]]
+        if k < len(a):
+            out.append(merged(a[k], b[m], pages))
+        i, j = k + 1, m + 1
     out = folded(out)
     if len(out) > MAX_CHILDREN:
         by_key: dict[str, list] = {}
