@@ -137,6 +137,7 @@ def manifest(
     """
     key = F.when(F.col(group).isNull(), F.lit("-")).otherwise(F.concat(F.lit("="), F.col(group)))
     rows = docs.select(key.alias("key"), F.col(order).alias("id"), leaf_hash(fields).alias("hash"), leaf_hash(fields, found).alias("found"))
+    rows = written(rows, "leaves")  # the range partitioning reads its input twice: the hashes, not the texts
     leaves = _numbered(rows, "key", ["id", "hash", "found"]).withColumn("row", F.struct("id", "hash", "found")).drop("id", "found")
     runs, roots = _tree(leaves)
 
