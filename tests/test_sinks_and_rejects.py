@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 from weftwork.catalog.streams import web_mappings
 from weftwork.operators.rejects import INCOMPLETE, SHORT_KEY, UNMAPPED, UNREADABLE
-from weftwork.sinks.index import delete_from_index, read_index, write_index
+from weftwork.sinks.index import _IndexWriter, delete_from_index, read_index, write_index
 from weftwork.sources.files import load_files, read_sequence, scan_files
+from weftwork.sources.kafka import start_policy
 from weftwork.streaming.jobs import start_alerts, start_distinct, start_transform
 
 DOCUMENT = "collection string, id string, fields map<string,string>"
@@ -39,7 +40,6 @@ def test_an_index_replaces_by_id_and_deletes(spark, tmp_path):
 def test_a_failed_write_leaves_nothing_behind(spark, tmp_path):
     path = f"{tmp_path}/index"
     write_index(docs(spark, ("1", "a")), path)
-    before = sorted(p.name for p in (tmp_path / "index" / "data").iterdir())
     bad = spark.range(0, 1000, 1, 4).select(
         F.lit("c").alias("collection"), F.when(F.col("id") == 999, F.raise_error(F.lit("lost"))).otherwise(F.col("id").cast("string")).alias("id"),
         F.create_map(F.lit("v"), F.lit("x")).alias("fields"),
@@ -48,8 +48,18 @@ def test_a_failed_write_leaves_nothing_behind(spark, tmp_path):
         write_index(bad, path)
     assert stored(spark, path) == {("c", "1"): "a"}
     assert len(list((tmp_path / "index" / "log").iterdir())) == 1
-    # the files of the tasks that had ended are gone, and what a broken task left counts for nobody
-    assert len(set(p.name for p in (tmp_path / "index" / "data").iterdir()) - set(before)) <= 1
+    write_index(docs(spark, ("2", "b")), path)  # whatever a task that was still ending has left counts for nobody
+    assert stored(spark, path) == {("c", "1"): "a", ("c", "2"): "b"}
+
+
+def test_an_aborted_write_takes_its_files_away(tmp_path):
+    writer, other = _IndexWriter(str(tmp_path), False), _IndexWriter(str(tmp_path), False)
+    (tmp_path / "data").mkdir()
+    names = [f"{writer._write}-0-1.parquet", f"{writer._write}-1-2.parquet", f"{other._write}-0-1.parquet"]
+    for name in names:
+        (tmp_path / "data" / name).write_bytes(b"")
+    writer.abort([])
+    assert [p.name for p in (tmp_path / "data").iterdir()] == names[2:]
 
 
 def test_an_index_needs_its_keys(spark, tmp_path):
@@ -126,3 +136,12 @@ def test_alerts_on_a_property_whose_id_holds_dots(spark, tmp_path):
     listed = spark.createDataFrame([("7",)], "number string")
     start_alerts(stream, listed, "a.b c", f"{tmp_path}/out", f"{tmp_path}/checkpoint", None).awaitTermination()
     assert [r["key"] for r in spark.read.parquet(f"{tmp_path}/out").collect()] == ["k1"]
+
+
+def test_a_jump_begins_a_checkpoint_of_its_own(spark, tmp_path):
+    value = '{"event_id": 1, "user_id": 2, "event_type": "view", "resId": "r"}'
+    stream = _stream(spark, f"{tmp_path}/in", [("1@view@r@t", value, None)])
+    for policy in (start_policy(), start_policy(), start_policy("MODIFY")):
+        start_transform(stream, web_mappings(spark), f"{tmp_path}/out", f"{tmp_path}/checkpoint", None, policy=policy).awaitTermination()
+    checkpoints = sorted(p.name for p in (tmp_path / "checkpoint").iterdir())
+    assert "standing" in checkpoints and len(checkpoints) == 2

@@ -38,6 +38,7 @@ def load() -> dict[str, Query]:
         dossiers,
         elements,
         expressions,
+        jobs,
         outputs,
         selections,
         streams,

@@ -27,7 +27,7 @@ from weftwork.operators.dossier import build_dossiers, cell_reader
 from weftwork.operators.elements import build_mapped, declared, union_all
 from weftwork.operators.selection import READ_ALL, last_task_time
 from weftwork.plans.rules import DossierRule
-from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents
+from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents, write_sized
 from weftwork.sources.files import read_sequence, read_text_lines
 
 FULL, INCREMENTAL = "FULL", "INC"
@@ -149,5 +149,5 @@ def collect_dossiers(
             since = last_task_time(read_history(spark, history), rule.doc_type, rule.model).first()["last_sync"]
         bounds = [F.timestamp_millis(F.lit(t)) for t in (since, millis)]
         documents = build_dossiers(cell_reader(cells, rule.model, *bounds), rule, resources)
-        stamped(documents).write.mode("overwrite").parquet(f"{out}/documents/{rule.doc_type}/{millis}")
+        write_sized(stamped(documents), f"{out}/documents/{rule.doc_type}/{millis}")
         entry["count"] = spark.read.parquet(f"{out}/documents/{rule.doc_type}/{millis}").count()

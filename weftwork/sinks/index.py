@@ -78,10 +78,13 @@ class _IndexWriter(DataSourceArrowWriter):
         store.move(f"{base}/log/_{self._write}", f"{base}/log/{self._write}.json")  # readers see whole entries only
 
     def abort(self, messages: list) -> None:
+        """Take away what the write's tasks have left so far; a task that is still ending may leave a file nobody names."""
+        from pyarrow import fs
+
         store, base = _filesystem(self._path)
-        for message in messages:
-            if message and message.file:
-                store.delete_file(f"{base}/data/{message.file}")
+        for found in store.get_file_info(fs.FileSelector(f"{base}/data", allow_not_found=True)):
+            if found.base_name.startswith(self._write):
+                store.delete_file(found.path)
 
 
 class DocumentIndex(DataSource):

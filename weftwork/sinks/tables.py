@@ -43,6 +43,14 @@ def delete_documents(spark: SparkSession, path: str, predicate: Column) -> None:
         kept.limit(0).drop("collection").write.mode("overwrite").parquet(f"{path}/collection={collection}")
 
 
+def write_sized(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """Write a frame in files by its bytes, however many tasks made it and whatever one key weighs.
+
+    Adaptive execution measures the shuffle's partitions, joins small ones and splits large ones at its advisory size.
+    """
+    frame.hint("rebalance").write.mode(mode).parquet(path)
+
+
 def write_batch(frame: DataFrame, path: str, batch_id: int) -> None:
     """The output of one micro-batch in a folder of its own, which a batch that runs again replaces."""
     frame.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")

@@ -6,6 +6,7 @@ one that runs again after a failure replaces its own output. An error stops
 the query, and its offsets are not committed.
 """
 
+import uuid
 from collections.abc import Callable
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -25,7 +26,7 @@ from weftwork.operators.rejects import is_message_key, rejected_records
 from weftwork.operators.selection import replay_filter, watched
 from weftwork.sinks.messages import element_messages, elements_of, keyed_elements
 from weftwork.sinks.tables import write_batch
-from weftwork.sources.kafka import raw_columns, raw_records
+from weftwork.sources.kafka import StartPolicy, raw_columns, raw_records
 
 TRANSFORM_INTERVAL = "4 seconds"
 ALERT_INTERVAL = "2 seconds"
@@ -50,6 +51,11 @@ def _start(
     return writer.start()
 
 
+def _checkpoint(base: str, policy: StartPolicy | None) -> str:
+    """The query's checkpoint: under a policy its standing one, or a new one where the stream must jump."""
+    return base if policy is None else policy.checkpoint(base, uuid.uuid4().hex)
+
+
 def _started_at():
     return F.lit(datetime.now(timezone.utc)).cast("timestamp")
 
@@ -62,6 +68,7 @@ def start_transform(
     interval: str | None = TRANSFORM_INTERVAL,
     send: Callable[[DataFrame, int], None] | None = None,
     with_rejected: bool = False,
+    policy: StartPolicy | None = None,
 ) -> StreamingQuery:
     """Raw records to element messages, with the counts of each batch and task.
 
@@ -70,6 +77,8 @@ def start_transform(
     writes the records that give no element to ``out/rejected``, with the
     reason, so that accepted and rejected ones together are all that came in;
     records whose key has not all its parts are rejected then as well.
+    ``policy`` is the one that the source was read with: when it jumps, the
+    query begins a checkpoint of its own, else it resumes the standing one.
     """
     keep = (*RECORD_KEYS, "record") if with_rejected else RECORD_KEYS
 
@@ -94,7 +103,7 @@ def start_transform(
             )
             write_batch(transform_metrics(records, outputs, started), f"{out}/metrics", batch_id)
 
-    return _start(messages, handle, checkpoint, interval, "transform")
+    return _start(messages, handle, _checkpoint(checkpoint, policy), interval, "transform")
 
 
 def start_load(
@@ -106,10 +115,12 @@ def start_load(
     start_sequence: int = 0,
     interval: str | None = TRANSFORM_INTERVAL,
     zone: str = PATTERN_ZONE,
+    policy: StartPolicy | None = None,
 ) -> StreamingQuery:
     """Element messages to cells and search documents, equal messages of a batch once.
 
-    ``changed`` holds the ``element_name`` of types to leave out of a replay.
+    ``changed`` holds the ``element_name`` of types to leave out of a replay;
+    ``policy`` is that of the source, as in `start_transform`.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
@@ -122,7 +133,7 @@ def start_load(
                 documents = stamped(search_documents(elements, patterns or {}, zone), started)
                 write_batch(documents, f"{out}/documents", batch_id)
 
-    return _start(messages, handle, checkpoint, interval, "load")
+    return _start(messages, handle, _checkpoint(checkpoint, policy), interval, "load")
 
 
 def start_alerts(
