@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import functions as F
 
 from weftwork.llm import queries
-from weftwork.llm.resample import kth_largest, resample
+from weftwork.llm.resample import buckets_for, kth_largest, resample
 
 FOLDER = "/root/testdata/sf0.1"
 
@@ -61,3 +61,24 @@ def test_awkward_rows(spark):
     assert len({r.kept for r in found if r.doc_id == 3}) == 1
     assert resample(docs.limit(0), labels).count() == 0
     assert resample(docs, labels.limit(0)).filter(F.col("kept")).count() == 6
+
+
+def test_buckets_grow_with_the_corpus():
+    sizes = [buckets_for(n) for n in (0, 10**6, 10**8, 10**10, 10**14)]
+    assert sizes == [16_384, 16_384, 32_768, 262_144, 33_554_432]
+
+
+def test_gumbel_keys_sample_in_proportion_to_weights(spark):
+    # one document in ten is of the target's words: its weight is higher, so it is drawn more often, but not always
+    rows = [(i, "good words here" if i % 10 == 0 else "other words here") for i in range(20_000)]
+    labels = [(i, int(i % 10 == 0)) for i in range(0, 2000, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = resample(docs, spark.createDataFrame(labels, "doc_id long, quality int"), fraction=0.1).collect()
+    noise = sorted(r.gumbel_key - r.log_weight for r in found)
+    for share in (0.1, 0.5, 0.9):  # quantiles of the standard Gumbel distribution
+        assert abs(noise[int(share * len(noise))] + math.log(-math.log(share))) < 0.05
+    weights = {bool(r.doc_id % 10 == 0): math.exp(r.log_weight) for r in found}
+    kept = [r for r in found if r.kept]
+    first = sorted(found, key=lambda r: -r.gumbel_key)[:400]  # early draws follow the weights of all rows
+    expected = weights[True] / (weights[True] + 9 * weights[False])
+    assert len(kept) == 2000 and abs(sum(r.doc_id % 10 == 0 for r in first) / 400 - expected) < 0.09

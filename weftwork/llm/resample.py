@@ -1,7 +1,8 @@
 """Importance resampling: the ratio of two hashed n-gram models weighs each document, Gumbel top-k samples by weight.
 
-Words (lower-cased A-Z) and pairs of neighbouring words are hashed into ``BUCKETS`` buckets. The raw model counts the
-buckets over all documents, the target model over a bounded sample of documents labelled as good. A document's log
+Words (lower-cased A-Z) and pairs of neighbouring words are hashed into buckets, whose number grows with the root of the
+corpus, as the number of its different words does (`buckets_for`). The raw model counts the buckets over all documents,
+the target model over a bounded sample of documents labelled as good. A document's log
 weight is the sum of ``log target - log raw`` over its n-grams. Adding independent Gumbel noise and taking the k
 largest samples k documents without replacement in proportion to their weights.
 """
@@ -14,11 +15,17 @@ from pyspark.sql import functions as F
 from weftwork.llm.common import written
 from weftwork.llm.textbatch import mix, sliced, text_buffers, word_hashes
 
-BUCKETS = 10_000
+LEAST_BUCKETS, BUCKETS_PER_ROOT = 10_000, 2  # buckets at least, and for each unit of the square root of the corpus in bytes
 SAMPLE = 20_000  # labelled documents at most that the target model is fitted on
 BINS = 4096
 
 
+def buckets_for(corpus_bytes: int) -> int:
+    """The power of two that holds the buckets of a corpus: 2**16 for half a GB, 2**25 (256 MB of ratios) for 100 TB."""
+    wanted = max(LEAST_BUCKETS, BUCKETS_PER_ROOT * int(corpus_bytes**0.5))
+    return 1 << (wanted - 1).bit_length()
+
+
 def ngram_buckets(column: pa.Array, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """The bucket of every n-gram of all texts, and the text of each."""
     words, firsts = word_hashes(*text_buffers(column))
@@ -34,19 +41,23 @@ def _counts(buckets: int):
         total = np.zeros(buckets, dtype=np.int64)
         for batch in sliced(batches, "text"):
             found, _ = ngram_buckets(batch.column(0), buckets)
-            total += np.bincount(found, minlength=buckets)
+            if buckets <= 4 * len(found):
+                total += np.bincount(found, minlength=buckets)
+            else:
+                at, n = np.unique(found, return_counts=True)
+                total[at] += n
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["bucket", "n"])
 
     return run
 
 
-def ngram_counts(texts: DataFrame, buckets: int = BUCKETS) -> np.ndarray:
+def ngram_counts(texts: DataFrame, buckets: int) -> np.ndarray:
     """How many n-grams of ``texts (text)`` fall into each bucket; each task adds up its own."""
     parts = texts.select("text").mapInArrow(_counts(buckets), "bucket long, n long")
     out = np.zeros(buckets, dtype=np.float64)
-    for bucket, n in parts.groupBy("bucket").agg(F.sum("n")).collect():  # ``buckets`` rows at most
-        out[bucket] = n
+    found = parts.groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # ``buckets`` rows at most
+    out[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
@@ -90,7 +101,7 @@ def resample(
     fraction: float | None = None,
     id_column: str = "doc_id",
     text_column: str = "text",
-    buckets: int = BUCKETS,
+    buckets: int | None = None,
     sample: int = SAMPLE,
     seed: int = 11,
 ) -> DataFrame:
@@ -99,9 +110,11 @@ def resample(
     ``kept`` marks the ``fraction`` of rows with the largest keys; without it, the share of good ones among the labels
     (all without labels). Rows whose key equals the last kept one are kept too, so repeated rows share their fate.
     The noise of a row is a function of its id, its text and ``seed``. Null and empty texts weigh 0. Labels with a null
-    id or value are ignored; ids with several labels are good if any is. Other columns are not read.
+    id or value are ignored; ids with several labels are good if any is. Other columns are not read. ``buckets`` are
+    those of `buckets_for` unless given.
     """
     texts = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+    buckets = buckets or buckets_for(texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     known = labels.filter("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     good = known.filter("quality = 1").select(F.col("doc_id").cast("long").alias("doc_id")).orderBy(F.xxhash64("doc_id")).limit(sample)
     good = docs.sparkSession.createDataFrame([(r.doc_id,) for r in good.collect()], "doc_id long")  # bounded by ``sample``
