@@ -141,6 +141,85 @@ def test_words_that_tell_what_a_whole_page_has(page):
     assert [texts_of([p])[0] for p in pages] == ["\n".join(b) for b in blocks]
 
 
+def host(template, n):
+    """Pages of one host from a template, and their main texts: the article ``{a}`` and what stands in double brackets."""
+    rng = random.Random(len(template) + n)
+    stock = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(3, 9))) for _ in range(400)]
+    words = lambda k: " ".join(rng.choice(stock) for _ in range(k))
+    pages, want = [], []
+    for k in range(n):
+        article = f"<h1>{words(5)}</h1>" + "".join(f"<p>{words(rng.randrange(10, 40))}</p>" for _ in range(rng.randrange(3, 8)))
+        values = {
+            "n": k,
+            "a": f"[[{article}]]",
+            "menu": "<a href=/>Home</a> <a href=/n>News</a>",
+            "side": "".join(f"<p>{words(4)}</p>" for _ in range(rng.randrange(1, 4))),
+            "links": "".join(f"<li><a href=/{i}>{words(3)}</a></li>" for i in range(rng.randrange(3, 9))),
+            "remarks": "".join(f"<div><div>{words(1)}</div><p>{words(5)}</p></div>" for _ in range(2 + k % 3)),
+            "advert": ("Buy the new shoes now", "Cheap flights this week", "A better phone")[k % 3],
+            "part": f"<p>{words(12)}</p><p>{words(20)}</p>",
+            "long": words(15),
+            "asked": "".join(f"<div><h3>{words(3)}</h3><p>{words(6)}</p></div>" for _ in range(3)),
+            "items": "".join(f"<li>{words(2)}</li>" for _ in range(4)),
+            "rows": "".join(f"<tr><td>{words(1)}<td>{words(1)}</tr>" for _ in range(4)),
+        }
+        page = template.format(**values)
+        kept = "".join(re.findall(r"\[\[(.*?)\]\]", page, re.S))
+        blocks = (" ".join(re.sub("<[^>]*>", " ", x).split()) for x in re.split(r"</?(?:p|h\d|div|section|ul|li|tr|figcaption|code)\b[^>]*>", kept))
+        want.append("\n".join(b for b in blocks if b))
+        pages.append(page.replace("[[", "").replace("]]", ""))
+    return pages, want
+
+
+def texts_with_articles(pages):
+    whole = None
+    for page in pages:
+        one = page_wrapper(page)
+        whole = one if whole is None else merged(whole, one, True)
+    marked(whole)
+    found = []
+    for page in pages:
+        out = []
+        match(whole, parse(page), out)
+        found.append("\n".join(out))
+    return found
+
+
+BY_SLOTS = [
+    "<div class=k1><ul><li>{menu}</ul></div><div class=k2>{a}</div><div class=k3><h3>Side</h3>{side}<ul>{links}</ul></div><div class=k4>(c) us</div>",
+    "<div class=k1>{menu}</div><div class=k5><div class=k2>{a}</div><div class=k3>{side}</div><div class=k4><ul>{links}</ul></div></div>",
+    "<div class=k1>{menu}</div>{a}<div class=k3>{side}<ul>{links}</ul></div>",
+    "<div class=k1>{menu}</div><div class=k2>{a}[[<ul>{items}</ul><table>{rows}</table>]]</div><div class=k3>{side}</div>",
+    "<nav>x</nav><article>{a}<div class=thread>{remarks}</div></article>",
+    "<nav>x</nav><article>{a}<div class=k7>{remarks}</div></article>",
+    "<div class=werbung>{advert}</div><div class=text>{a}</div><div class=kommentare>{remarks}</div><div class=seitenleiste>{side}</div>",
+    "<article>{a}<div class=werbung>{advert}</div><div class=kommentare>{remarks}</div></article><div class=seitenleiste>{side}</div>",
+    "<article>{a}<div class=anzeige>{advert}</div></article>",
+    "<nav>m</nav><article>{a}[[<div class='social-history'>{part}</div>]]</article>",
+    "<nav>m</nav><article>{a}[[<section class='hidden-gems'><h2>Head {n}</h2>{part}</section>]]</article>",
+    "<nav>m</nav><article>{a}[[<ul><li><a href=x>one linked item {n}</a></li></ul>]]</article>",
+    "<nav>m</nav><article>{a}[[<div class=k4>{asked}</div>]]</article>",
+    "<nav>m</nav><article>{a}[[<ul>{items}</ul><table>{rows}</table><figure><figcaption>Plate {n}</figcaption></figure>]]</article>",
+    "<nav>m</nav><article><div class=k1>{a}</div>[[<div class=k2>{part}</div>]]</article><div class=k3>{side}</div>",
+]
+
+
+@pytest.mark.parametrize("body", BY_SLOTS)
+def test_slots_decide_where_names_do_not(body):
+    for n in (1, 12, 40):
+        pages, want = host(f"<html><body>{body}</body></html>", n)
+        assert texts_with_articles(pages) == want
+
+
+def test_few_texts_that_come_back_are_no_part_of_many_articles():
+    pages, want = host("<body><article>{a}<div class=k8><p>{advert}</p></div>[[<p>{long}</p>]]</article></body>", 12)
+    assert texts_with_articles(pages) == want
+    one, text = host("<body><article>{a}[[<div class=k8>{part}</div>]]</article></body>", 1)
+    near = [one[0].replace("</h1>", f" {k}</h1>") for k in range(30)]  # near copies: nothing of them goes
+    found = texts_with_articles(near)
+    assert [t.split("\n")[1:] for t in found] == [text[0].split("\n")[1:]] * 30
+
+
 def test_copies_and_lists_of_links(spark):
     rows, want = [], []
 

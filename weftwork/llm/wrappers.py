@@ -8,6 +8,10 @@
 4. The wrapper shows which of its slots are main text: those of the article, without menus, adverts, comments and the
    like, without fixed text, which stands on most distinct pages of the host, in different articles. Each page is matched
    with its host's wrapper and gives these slots, without those of its lists that are mostly links.
+
+Names and roles of HTML come first. Where they leave it open, the slots decide by what they hold over all pages of the host:
+how long their texts are, how much of them is in links, and whether the same few texts come back in many articles. An
+element that is named like a part beside the text, but named for something else as well, is judged by its slots too.
 """
 
 import html
@@ -29,6 +33,8 @@ SALTS = 64
 BROADCAST_BYTES = 16 << 20
 LONGEST_PERIOD = 4  # elements in a repeated group
 DEPTH = 200  # levels of a page that its tree has; the blocks of deeper ones stand one after the other in the last level
+SKETCH = 12  # smallest digests of a slot's texts and articles that a wrapper keeps, to tell how many there are
+RECURS = 3  # articles for each text of a slot, from which on its texts are no part of them
 TABLE = 250_000  # entries of an alignment table; longer streams are halved first
 
 #: Names of HTML elements by how they are read.
@@ -57,8 +63,14 @@ SKIPPED_WORDS = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner nav navbar navigation menu footer"
     " sidebar cookie cookies consent gdpr notice notices popup modal overlay newsletter subscribe subscription signup login comment"
     " comments disqus reply replies respond share sharing social related recommended recommendations breadcrumb breadcrumbs pagination"
-    " pager toolbar widget widgets skip search masthead topbar alert hidden copyright discussion reactions outbrain taboola".split()
+    " pager toolbar widget widgets skip search masthead topbar alert hidden copyright discussion reactions outbrain taboola thread threads"
+    " anzeige anzeigen werbung seitenleiste kommentar kommentare fusszeile hinweis hinweise teilen verwandt"
+    " publicite annonce annonces commentaire commentaires partager barre"
+    " publicidad anuncio anuncios comentario comentarios compartir lateral relacionados".split()
 )
+HOLDING = set("div section aside ul ol dl table figure center details".split())  # elements that may stand beside the text within an article
+BOXES = {"div", "section", "center"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 WHOLE = {"html", "body", "main"}  # never skipped for the words of their class and id
 FAR_MORE = 4  # times the text of another element, which then is no match for it
 HEADER_WORDS = {"header", "head", "top"}
@@ -73,10 +85,12 @@ _TAG = re.compile(
 )
 _ATTRIBUTE = re.compile(r"(class|id|role|hidden|aria-hidden|style|itemprop)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_NUMBERED = re.compile(r"(?<![^\s_-])[A-Za-z]+[0-9](?![^\s_-])")
 
 
 def key_of(tag: str, attributes: str) -> str:
-    """What an element is aligned by: its name, and the words of its class, id and role; ``!`` marks hidden ones."""
+    """What an element is aligned by: its name, and the words of its class, id and role; ``!`` marks hidden ones, and a dot
+    the names of classes that end in one digit, which tell columns and parts apart where ids of pages have more."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return tag
     words, role, hidden = [], "", False
@@ -84,6 +98,8 @@ def key_of(tag: str, attributes: str) -> str:
         name, value = name.lower(), next((v for v in values if v), "")
         if name in ("class", "id"):
             words += [w.lower() for w in _WORDS.findall(value)]
+            if name == "class":
+                words += ["." + w.lower() for w in _NUMBERED.findall(value)]
         elif name == "itemprop" and value.lower() == "articlebody":
             words.append("articlebody")
         elif name == "role":
@@ -183,22 +199,34 @@ def parse(page: str) -> Element:
 
 
 # A wrapper node is a list: key, at least once?, repeated?, children, distinct pages, characters, characters in links, digest of a fixed
-# text, digest of the article that it stands in if it is always the same one. Each of n copies of a page counts as 1/n page.
-KEY, NEEDED, REPEATED, CHILDREN, PAGES, CHARS, LINKED, FIXED, ARTICLE = range(9)
+# text, digest of the article that it stands in if it is always the same one, texts, and the smallest digests of its texts
+# and of the articles around them. Each of n copies of a page counts as 1/n page.
+KEY, NEEDED, REPEATED, CHILDREN, PAGES, CHARS, LINKED, FIXED, ARTICLE, COUNT, TEXTS, ARTICLES = range(12)
 TEMPLATE_PAGES = 3  # distinct pages that fixed text stands on, at least
 SLOT = "#"
+SHORT = 40  # characters of a text that is worth half as much as running text
 
 
 def wrapper_of(element: Element, share: float = 1, article: str | None = None) -> list:
     """The wrapper that fits this element alone; its page counts as ``share`` and has this article."""
     children = []
+    around = [int(article.split(":")[1])] if article else []
     for child in element.children:
         if isinstance(child, tuple):
-            fixed = f"{len(child[0])}:{zlib.crc32(child[0].encode(errors='replace'))}"
-            children.append([SLOT, True, False, [], share, len(child[0]), child[1], fixed, article])
+            digest = zlib.crc32(child[0].encode(errors="replace"))
+            children.append([SLOT, True, False, [], share, len(child[0]), child[1], f"{len(child[0])}:{digest}", article, 1, [digest], around])
         else:
             children.append(wrapper_of(child, share, article))
-    return [element.key, True, False, folded(children), share, 0, 0, None, article]
+    return [element.key, True, False, folded(children), share, 0, 0, None, article, 0, [], []]
+
+
+def _sketch(a: list, b: list) -> list:
+    return a if a == b else sorted({*a, *b})[:SKETCH]
+
+
+def _number(sketch: list) -> float:
+    """How many different digests a sketch has seen."""
+    return len(sketch) if len(sketch) < SKETCH else (SKETCH - 1) * 2**32 / max(sketch[-1], 1)
 
 
 def merged(a: list, b: list, pages: bool) -> list:
@@ -208,7 +236,8 @@ def merged(a: list, b: list, pages: bool) -> list:
     count = a[PAGES] + b[PAGES] if pages else max(a[PAGES], b[PAGES])
     article = a[ARTICLE] if a[ARTICLE] == b[ARTICLE] else None
     chars, linked = a[CHARS] + b[CHARS], a[LINKED] + b[LINKED]
-    return [a[KEY], a[NEEDED] and b[NEEDED], a[REPEATED] or b[REPEATED], children, count, chars, linked, fixed, article]
+    seen = [a[COUNT] + b[COUNT], _sketch(a[TEXTS], b[TEXTS]), _sketch(a[ARTICLES], b[ARTICLES])]
+    return [a[KEY], a[NEEDED] and b[NEEDED], a[REPEATED] or b[REPEATED], children, count, chars, linked, fixed, article, *seen]
 
 
 def folded(stream: list) -> list:
@@ -233,7 +262,7 @@ def folded(stream: list) -> list:
                 out.append(whole[0])
             else:
                 pages = max(x[PAGES] for x in whole)
-                out.append(["(" + " ".join(keys) + ")", True, True, whole, pages, 0, 0, None, None])
+                out.append(["(" + " ".join(keys) + ")", True, True, whole, pages, 0, 0, None, None, 0, [], []])
             k += n * period
         stream = out
     return stream
@@ -325,6 +354,96 @@ def doubtful(key: str, in_article: bool) -> bool:
     return bool(names & SKIPPED_WORDS) or not in_article and bool(names & HEADER_WORDS and not names & MAIN_WORDS)
 
 
+def mixed(key: str) -> bool:
+    """Whether some words of its class and id speak of a part beside the text and others of something else."""
+    names = {w for w in key.split(" ")[1:] if w[0] not in "=."}
+    return bool(names & SKIPPED_WORDS) and bool(names - SKIPPED_WORDS)
+
+
+def recurring(slot: list) -> bool:
+    """Whether few texts come back in many articles, as notices and adverts do."""
+    articles = _number(slot[ARTICLES])
+    return articles >= TEMPLATE_PAGES and articles >= RECURS * _number(slot[TEXTS])
+
+
+def _slots(node: list, in_article: bool = True, spare: set = frozenset()) -> list:
+    """The slots of what is not skipped in a node."""
+    if node[KEY] == SLOT:
+        return [node]
+    return [s for c in _kept(node, in_article, spare) for s in _slots(c, in_article, spare)]
+
+
+def typical(slots: list) -> float:
+    """The length of the text that a character of these slots usually stands in."""
+    chars = sum(s[CHARS] for s in slots)
+    return sum(s[CHARS] * s[CHARS] / s[COUNT] for s in slots) / chars if chars else 0
+
+
+def _share(slots: list, part) -> float:
+    chars = sum(s[CHARS] for s in slots)
+    return sum(part(s) for s in slots) / chars if chars else 0
+
+
+def links_share(slots: list) -> float:
+    return _share(slots, lambda s: s[LINKED])
+
+
+def _worth(node: list, spare: set) -> float:
+    """How much a node looks like running text: its characters outside of links, less for short texts, none for recurring ones."""
+    slots = [s for s in _slots(node, False, spare) if not recurring(s)]
+    return sum(max(0, s[CHARS] - 2 * s[LINKED]) * s[CHARS] / (s[CHARS] + SHORT * s[COUNT]) for s in slots if s[CHARS])
+
+
+def _like_comments(node: list) -> bool:
+    """Whether a node holds repeated items of several texts each and no heading: names, times and remarks of readers."""
+
+    def tags(n: list) -> set:
+        return {n[KEY].split(" ")[0]}.union(*(tags(c) for c in n[CHILDREN]))
+
+    items = [c for c in in_line(node[CHILDREN]) if c[REPEATED] and c[KEY].split(" ")[0] in HOLDING | {"li", "article"}]
+    return any(len(_slots(c)) > 1 and not tags(c) & HEADINGS for c in items) and not tags(node) & {"table", "pre"}
+
+
+def surplus(root: list, spare: set, found: bool) -> set:
+    """The ids of elements in a root that hold no main text by what their slots hold.
+
+    These are elements of less than a quarter of the root's text whose texts come back in many articles, or whose repeated
+    items are remarks far shorter than the text; in a root that no name tells (not ``found``) also those mostly of links,
+    and boxes of short texts only if the root is the whole page. Where the root's own texts recur, as in a host full of near copies, nothing goes.
+    """
+    slots = _slots(root, True, spare)
+    total, own = sum(s[CHARS] for s in slots), typical(slots)
+    main = max(slots, key=lambda s: s[CHARS], default=None)  # the slot with the most text
+    out: set = set()
+    if main is None:
+        return out
+    of_page = root[KEY].split(" ")[0] in ("html", "body")
+    copied = _number(main[ARTICLES]) > _number(main[TEXTS])
+
+    def walk(node: list) -> None:
+        for child in _kept(node, True, spare):
+            if child[KEY] == SLOT:
+                continue
+            inner = _slots(child, True, spare)
+            chars = sum(s[CHARS] for s in inner)
+            small = 4 * chars < total and all(s is not main for s in inner)
+            tag = child[KEY].split(" ")[0]
+            if small and chars and tag in HOLDING:
+                short = 2 * typical(inner) < own and tag not in ("table", "figure", "dl")
+                comes_back = not copied and _share(inner, lambda s: s[CHARS] * recurring(s)) > 0.5
+                if comes_back or short and _like_comments(child) or not found and (links_share(inner) > 0.5 or of_page and tag in BOXES and short and not _headed(child)):
+                    out.add(id(child))
+                    continue
+            walk(child)
+
+    walk(root)
+    return out
+
+
+def _headed(node: list) -> bool:
+    return any(c[KEY].split(" ")[0] in HEADINGS or _headed(c) for c in node[CHILDREN])
+
+
 def _kept(node: list, in_article: bool, spare: set) -> list:
     """The children that are not skipped."""
     plain = lambda key: key == SLOT or key.startswith("(")
@@ -359,8 +478,15 @@ def _all_text(node: list, in_article: bool) -> int:
 
 def spared(root: list, in_article: bool) -> set:
     """The ids of doubtful elements that are not skipped, as they hold by far the most of the root's text: their words
-    describe a whole page or article. In an article they have to be named as its body as well, if there is other text."""
+    describe a whole page or article. In an article they have to be named as its body as well, if there is other text, or
+    their words say something else too and their texts are like those of the article."""
     spare: set = set()
+    if in_article:
+        own = typical(_slots(root))
+        for d in _doubts(root, True, spare, []):
+            inner = _slots(d)
+            if own and mixed(d[KEY]) and 2 * typical(inner) >= own and links_share(inner) < 0.3 and not all(map(recurring, inner)):
+                spare.add(id(d))
     while True:
         rest = _totals(root, in_article, spare)[0]
         far = [
@@ -389,8 +515,9 @@ def _roots(node: list, wanted, out: list, doubts: int = 0) -> list:
     return out
 
 
-def main_nodes(wrapper: list) -> tuple[list, set]:
-    """The wrapper elements that hold the article, and the ids of doubtful elements that are not skipped in them.
+def main_nodes(wrapper: list) -> tuple[list, set, bool]:
+    """The wrapper elements that hold the article, the ids of doubtful elements that are not skipped in them, and whether
+    names tell so.
 
     Elements with doubtful words count if nothing else says that it is the article, or only what is far shorter, and
     if they have more text than all that is not skipped beside them.
@@ -418,21 +545,24 @@ def main_nodes(wrapper: list) -> tuple[list, set]:
             break
     if sure:
         roots = [f[2] for f in sure if FAR_MORE * f[0] >= most]
-        return roots, set().union(*(spared(n, True) for n in roots))
+        return roots, set().union(*(spared(n, True) for n in roots)), True
     spare = spared(wrapper, False)
-    node = wrapper  # no element says so: the smallest one that holds most of the text
+    node, titles = wrapper, []  # no element says so: the smallest one that holds most of the running text
     while True:
-        total = _totals(node, False, spare)[0]
-        children = _kept(node, False, spare)
-        inner = [c for c in children if c[KEY] != SLOT and not c[REPEATED] and 10 * _totals(c, False, spare)[0] > 7 * total > 0]
-        if not inner:
-            return [node], spare
-        node = inner[0]
+        total = _worth(node, spare)
+        children = [c for c in in_line(_kept(node, False, spare)) if c[KEY] != SLOT]
+        inner = sorted(((_worth(c, spare), -k, c) for k, c in enumerate(children) if not c[REPEATED]), key=lambda x: x[:2])
+        best = inner.pop() if inner else None
+        if best is None or not total or best[0] <= 0.7 * total and (best[0] <= 0.6 * total or inner and 3 * inner[-1][0] > best[0]):
+            return [*titles, node], spare, False
+        titles += [c for c in children if c is not best[2] and c[KEY].split(" ")[0] == "h1" and not c[REPEATED]]
+        node = best[2]
 
 
 def marked(wrapper: list) -> None:
     """Puts, in the place of the page count, whether a slot is main text (1) or not (0)."""
-    roots, spare = main_nodes(wrapper)
+    roots, spare, found = main_nodes(wrapper)
+    beside = set().union(*(surplus(n, spare, found) for n in roots))
     chosen = {id(n) for n in roots}
     varies = lambda n: n[KEY] == SLOT and n[FIXED] is None or any(varies(c) for c in n[CHILDREN])
     any_slot = any(varies(n) for n in roots)
@@ -442,7 +572,7 @@ def marked(wrapper: list) -> None:
     def walk(node: list, inside: bool, drop: bool) -> None:
         inside = inside or id(node) in chosen
         fixed = node[KEY] == SLOT and node[FIXED] is not None and node[ARTICLE] is None and node[PAGES] > least and any_slot
-        kept = {id(c) for c in _kept(node, True, spare)} if inside and not drop else set()
+        kept = {id(c) for c in _kept(node, True, spare)} - beside if inside and not drop else set()
         for child in node[CHILDREN]:
             whole = inside and not of_articles and child[KEY].split(" ")[0] == "article" and not child[REPEATED]
             walk(child, inside, drop or inside and not whole and id(child) not in kept)
@@ -466,7 +596,7 @@ def _page_totals(element: Element) -> tuple[int, int]:
 
 
 def mostly_links(element: Element) -> bool:
-    if element.tag not in ("ul", "ol", "dl"):
+    if element.tag not in ("ul", "ol", "dl") or sum(isinstance(c, Element) for c in element.children) < 2:
         return False
     chars, linked = _page_totals(element)
     return 2 * linked > chars
