@@ -18,6 +18,7 @@ import html
 import json
 import re
 import zlib
+from bisect import bisect_left
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -605,14 +606,15 @@ def mostly_links(element: Element) -> bool:
 def match(wrapper: list, element: Element, out: list[str]) -> None:
     """Reads the main slots of a page along its wrapper."""
     flat = in_line(wrapper[CHILDREN])
+    places: dict[str, list[int]] = {}
+    for k, node in enumerate(flat):
+        places.setdefault(node[KEY], []).append(k)
     cursor = 0
     for child in element.children:
-        key = SLOT if isinstance(child, tuple) else child.key
-        order = [*range(cursor, len(flat)), *range(cursor)]
-        at = next((k for k in order if flat[k][KEY] == key), None)
-        if at is None:
+        of_key = places.get(SLOT if isinstance(child, tuple) else child.key)
+        if of_key is None:
             continue
-        cursor = at
+        at = cursor = of_key[bisect_left(of_key, cursor) % len(of_key)]  # the next one, or the first one again
         if isinstance(child, tuple):
             if flat[at][PAGES]:
                 out.append(child[0])
