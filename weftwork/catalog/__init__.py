@@ -33,6 +33,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 def load() -> dict[str, Query]:
     from weftwork.catalog import (  # noqa: F401
+        celltables,
         configuration,
         cooccurrence,
         dossiers,

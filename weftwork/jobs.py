@@ -27,6 +27,7 @@ from weftwork.operators.dossier import build_dossiers, cell_reader
 from weftwork.operators.elements import build_mapped, declared, union_all
 from weftwork.operators.selection import READ_ALL, last_task_time
 from weftwork.plans.rules import DossierRule
+from weftwork.sinks.celltable import NOTHING_MERGED, merge_batches
 from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents, write_sized
 from weftwork.sources.files import read_sequence, read_text_lines
 
@@ -101,6 +102,19 @@ def transform_files(
             elements.unpersist()
 
 
+def compact_cells(spark: SparkSession, out: str, period: str = "month") -> None:
+    """The cells of a load stream's batches, merged into one table of cells; a run takes what came since the last one.
+
+    The batches stay; those up to the one before the last merged, as the history has it, may be deleted.
+    """
+    history = read_history(spark, f"{out}/cell-history")
+    last = None
+    if "merged" in history.columns:
+        last = history.filter("status = 'successful'").agg(F.max(F.col("merged").cast("long"))).first()[0]
+    with task_history(spark, f"{out}/cell-history", task="cells") as entry:
+        entry["merged"] = merge_batches(spark, f"{out}/cells", f"{out}/cell-table", NOTHING_MERGED if last is None else last, period)
+
+
 def relate_identifiers(
     spark: SparkSession,
     path: str,

@@ -59,9 +59,9 @@ def element_cells(elements: DataFrame, ts: Column | None = None) -> DataFrame:
     return cells.filter(F.col("value").isNotNull()).select(*CELL_COLUMNS)
 
 
-def latest_cells(cells: DataFrame) -> DataFrame:
-    """The newest value of each (row, qualifier); of equal times the greater value."""
-    keys = ["table_name", "row_key", "family", "qualifier"]
+def latest_cells(cells: DataFrame, *within: str) -> DataFrame:
+    """The newest value of each (row, qualifier), or of each within the columns given; of equal times the greater value."""
+    keys = ["table_name", "row_key", "family", "qualifier", *within]
     return (
         cells.groupBy(*keys)
         .agg(F.max(F.struct("ts", "value")).alias("_c"))
