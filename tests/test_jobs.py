@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weftwork.constants import ENTITY, LINK
-from weftwork.jobs import INCREMENTAL, collect_dossiers, relate_identifiers, transform_files
+from weftwork.jobs import INCREMENTAL, collect_dossiers, relate_identifiers, relate_mapped, transform_files
 from weftwork.operators.cooccur import IdentifierEntity, PairLink
 from weftwork.plans.model import (
     EntityType,
@@ -142,3 +142,21 @@ def test_identifier_lines(spark, tmp_path):
     assert [tuple(r) for r in rows] == [("3", "2", "3", "1")] * 2 and spark.read.parquet(f"{out}/entities").count() == again == 3
     links = spark.read.parquet(f"{out}/links")
     assert links.filter(F.col("collection") == "std_relation_index").first()["id"] == "day@1234@sina.com~`#1234"
+
+
+def test_mapped_files_of_one_resource(spark, tmp_path):
+    data, out = tmp_path / "data", str(tmp_path / "out")
+    table = compiled(mapping_table(spark, *MAPPINGS), definition_table(spark, MODEL))
+    relate_mapped(spark, str(data), table, "task", out)
+    write(data / "people" / "a.parquet", {"id": ["1", "1", None], "name": ["Ann", "Ann", "x"], "resId": ["r", "r", "r"]})
+    write(data / "people" / "b.parquet", {"name": ["Bob"], "id": ["2"]})
+    write(data / "pairs" / "a.parquet", {"a": ["1", "2"], "b": ["2", " "]})
+    for _ in range(2):
+        relate_mapped(spark, str(data), table, "task", out)
+    relate_mapped(spark, str(data), table, "other", out)
+    docs = spark.read.parquet(f"{out}/elements/resource=task").collect()
+    assert {r["fields"]["resid"] for r in docs} == {"task"} and len({r["id"] for r in docs}) == 3
+    assert sorted(r["fields"].get("entity_id") or "" for r in docs) == ["", "human~`#1", "human~`#1", "human~`#2"]
+    entries = spark.read.parquet(f"{out}/history").filter("resourceId = 'task'").collect()
+    assert sorted((r["status"], r["srcCount"], r["elementDataCount"]) for r in entries) == [("successful", "0", "0")] + [("successful", "6", "4")] * 2
+    assert spark.read.parquet(f"{out}/elements").filter("resource = 'other'").count() == 4

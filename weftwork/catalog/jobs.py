@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from weftwork.catalog import query
 from weftwork.catalog.cooccurrence import ENTITIES, LINKS, _MEMBERS_SQL, _PAIRS_SQL, lines
 from weftwork.catalog.shop import MAP_CUSTOMER, MAP_PART, SHOP, customers, parts
-from weftwork.jobs import INCREMENTAL, collect_dossiers, relate_identifiers, transform_files
+from weftwork.jobs import INCREMENTAL, collect_dossiers, relate_identifiers, relate_mapped, transform_files
 from weftwork.operators.cells import element_cells
 from weftwork.operators.elements import build_elements
 from weftwork.plans.model import compiled, definition_table, mapping_table
@@ -56,6 +56,29 @@ def q_job_identifiers(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{base}/out/history").select("srcCount", "countAfterParseJson", "entityDataCount", "linkDataCount", "status")
 
 
+@query("""
+SELECT md5('task@part~`#' || p_partkey) AS id, 'shop_entity_index' AS collection, 'part~`#' || p_partkey AS entity_id, p_brand AS brand,
+  'task' AS resid, CAST((SELECT count(*) FROM part) AS VARCHAR) AS counted
+FROM part
+""")
+def q_job_mapped_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents of parts in files of two layouts, with the resource of the task, after the job has run twice."""
+    base = shared_folder(spark, "mapped-job")
+    made = parts(spark, folder).select("p_partkey", "p_name", "p_brand", F.lit("own").alias("resId"))
+    made.filter("p_partkey % 3 = 0").write.option("header", True).csv(f"{base}/data/part/a")
+    made.filter("p_partkey % 3 <> 0").select("resId", "p_brand", "p_partkey").write.option("header", True).csv(f"{base}/data/part/b")
+    mappings = compiled(mapping_table(spark, MAP_PART), definition_table(spark, SHOP))
+    for _ in range(2):
+        relate_mapped(spark, f"{base}/data", mappings, "task", f"{base}/out", "csv", header=True, recursiveFileLookup=True)
+    field = lambda name: F.try_element_at("fields", F.lit(name))
+    counted = spark.read.parquet(f"{base}/out/history").agg(F.max("elementDataCount")).first()[0]
+    docs = spark.read.parquet(f"{base}/out/elements/resource=task")
+    return docs.select(
+        "id", "collection", field("entity_id").alias("entity_id"), field("g_tk11_brand").alias("brand"), field("resid").alias("resid"),
+        F.lit(counted).alias("counted"),
+    )
+
+
 _SEGMENTS = DossierRule("CUSTOMER", "shop", "customer", "name", (("segment", "d_segment"),))
 _RUNS = (datetime(2024, 1, 15, tzinfo=timezone.utc), datetime(2024, 2, 15, tzinfo=timezone.utc))
 _DOSSIER_SQL = """

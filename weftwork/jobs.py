@@ -29,7 +29,7 @@ from weftwork.operators.selection import READ_ALL, last_task_time
 from weftwork.plans.rules import DossierRule
 from weftwork.sinks.celltable import NOTHING_MERGED, merge_batches
 from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents, write_sized
-from weftwork.sources.files import read_sequence, read_text_lines
+from weftwork.sources.files import load_files, read_sequence, read_text_lines
 
 FULL, INCREMENTAL = "FULL", "INC"
 TREES = ("read", "compact")
@@ -142,6 +142,46 @@ def relate_identifiers(
         entry |= {name: observation.get["n"] for name, observation in seen.items()}
 
 
+def relate_mapped(
+    spark: SparkSession,
+    path: str,
+    compiled_mappings: DataFrame,
+    res_id: str,
+    out: str,
+    fmt: str = "parquet",
+    **options,
+) -> None:
+    """Files of mapped schemas, a folder for each, to documents of one resource, with the counts of the run.
+
+    The task names the resource; one that the records have is not asked for. Elements that come more than once are stored
+    as often, as those of identifier lines are, and readers take one of each id. The documents of a resource replace those
+    of an earlier run; a schema without a folder gives none. The mappings are configuration, and are collected.
+    """
+    with task_history(spark, f"{out}/history", tableName="mapped", resourceId=res_id) as entry:
+        by_schema: dict[str, list] = {}
+        for row in compiled_mappings.collect():
+            by_schema.setdefault(row["data_schema_id"], []).append(declared(row))
+        one = F.count(F.lit(1)).alias("n")
+        read, made = [], Observation("elementDataCount")
+        built = []
+        for schema_id, plans in sorted(by_schema.items()):
+            try:
+                frame = load_files(spark, f"{path}/{schema_id}", fmt, **options)
+            except AnalysisException as error:
+                if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                    raise
+                continue
+            if not frame.columns:
+                continue
+            read.append(Observation(f"source {schema_id}"))
+            built.append(build_mapped(frame.observe(read[-1], one), plans, F.lit(res_id), F.lit(None).cast("string")))
+        entry |= {"srcCount": 0, "elementDataCount": 0}
+        if built:
+            documents = search_documents(union_all(built)).observe(made, one)
+            write_documents(documents, f"{out}/elements/resource={res_id}", mode="overwrite")
+            entry |= {"srcCount": sum(seen.get["n"] for seen in read), "elementDataCount": made.get["n"]}
+
+
 def collect_dossiers(
     spark: SparkSession,
     cells: DataFrame,
