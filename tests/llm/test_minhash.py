@@ -6,7 +6,7 @@ from collections import defaultdict
 
 import pytest
 
-from weftwork.llm import queries
+from weftwork.llm import minhash, queries
 from weftwork.llm.components import components
 from weftwork.llm.minhash import near_duplicates
 
@@ -69,6 +69,43 @@ def test_chains_and_hot_groups(spark):
     assert sorted(map(tuple, found.collect())) == plain(rows)
 
 
+@pytest.mark.parametrize("block", [3, 20])
+def test_blocks_of_large_and_small_components_lose_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    rng = random.Random(block)
+    rows = []
+    for family in range(3):  # chains in which neighbours are linked, so that a bucket holds several pieces at first
+        words = [f"f{family}w{k}" for k in range(150)]
+        for i in range(70):
+            words = list(words)
+            for _ in range(1 + i % 4):
+                words[rng.randrange(150)] = f"x{rng.randrange(99999)}"
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    found = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(map(tuple, found.collect())) == plain(rows)
+
+
+def test_members_meet_all_other_components_once(spark, monkeypatch):
+    monkeypatch.setattr(minhash, "BLOCK", 4)
+    rng = random.Random(5)
+    placed = [(bucket, 100 * bucket + k, 100 * bucket + (0 if k < 13 else 13 if k < 19 else k // 2 * 2), 10) for bucket in (1, 2) for k in range(40)]
+    placed += [(3, 300 + k, 300, 10) for k in range(9)]  # one component: nothing to compare
+    rng.shuffle(placed)
+    blocks = defaultdict(lambda: ([], []))
+    for r in minhash._blocks(spark.createDataFrame(placed, "bucket long, node long, component long, n_shingles long")).collect():
+        blocks[r.bucket, r.i, r.j][r.side].append((r.node, r.component))
+    met = defaultdict(int)
+    for (bucket, i, j), (left, right) in blocks.items():
+        pairs = [(a, b) for a in left for b in (left if i == j else right) if i != j or a < b]
+        for a, b in pairs:
+            if a[1] != b[1]:
+                met[tuple(sorted((a[0], b[0])))] += 1
+            assert not (i.own and j.own and i.component == j.component)
+    wanted = {tuple(sorted((a[1], b[1]))) for a in placed for b in placed if a[0] == b[0] and a[2] != b[2]}
+    assert set(met) == wanted and set(met.values()) == {1}
+
+
 def test_awkward_rows(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "One two"), (5, "one TWO"), (None, "one two"), (6, "É é"), (7, "é É"), (4, "One two")]
     rows += [(8, "a b c d e " * 40000), (9, "A b c d e " * 40000)]

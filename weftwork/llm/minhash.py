@@ -7,9 +7,9 @@ Steps, each a Spark job over all rows:
 2. Texts with the same digest are one class, represented by the smallest id, so exact copies never meet in a bucket.
 3. In every bucket each member is paired with one leader only (another one in every bucket, chosen by hash).
    Pairs whose sketches leave a link possible are confirmed on the full shingle sets.
-4. Buckets whose members are still in several components are compared whole, in blocks of bounded size, on the full
-   shingle sets, each pair in the first bucket that it shares; only links leave a block, one for each member and
-   component. So no rows are made for pairs.
+4. Buckets whose members are still in several components are compared whole, in blocks of bounded size, each pair in
+   the first bucket that it shares and never within a component. Sketches say which members of two blocks may be
+   linked; their full shingle sets decide. Only members and links leave a block, so no rows are made for pairs.
 
 So a group of thousands of near copies costs one pair for each member and bucket, and no link between different
 components that share a bucket is lost. A pair of similarity 0.75 shares no bucket with probability 2e-5
@@ -29,6 +29,7 @@ WIDTH, PERCENT, BANDS, ROWS = 5, 75, 40, 5
 BLOCK, BLOCK_SHINGLES = 256, 1_000_000  # members of a bucket that are compared at once, and their shingles, on average
 BROADCAST_IDS = 1_000_000  # ids, 8 bytes each, up to which the list of candidate texts is broadcast
 
+_LABEL = "struct<own:boolean,component:long,part:int>"  # a block: of one component, or shared by small ones
 _SIGNATURE = "doc_id long, n_shingles long, digest_a long, digest_b long, bands array<long>, sketch binary"
 
 
@@ -116,28 +117,61 @@ def _keep_possible(width: int, percent: int):
     return run
 
 
+class _Members:
+    """Members of one block, or of a pair of blocks, of a bucket, and whom each may be linked with."""
+
+    def __init__(self, group: pa.Table, width: int, percent: int):
+        column = {name: group.column(name).combine_chunks() for name in group.column_names}
+        self.ids, self.component, self.sizes, self.side = (
+            column[c].to_numpy() for c in ("node", "component", "n_shingles", "side")
+        )
+        self.sketch = _matrix(column["sketch"], width)
+        self.keys = column["bands"].values.to_numpy().reshape(len(self.ids), -1)
+        self.bucket, self.percent, self.column = column["bucket"][0].as_py(), percent, column
+        self.within = column["i"][0].as_py() == column["j"][0].as_py()
+        self.left = np.flatnonzero(self.side == 0)
+        self.right = self.left if self.within else np.flatnonzero(self.side == 1)
+
+    def possible(self, x: int) -> np.ndarray:
+        """Members of other components that sketches leave possible, where this bucket is the first one shared."""
+        others = self.right[(self.component[self.right] != self.component[x]) & ((self.ids[self.right] > self.ids[x]) | (not self.within))]
+        if len(others):
+            others = others[_possible(self.sketch[x], self.sketch[others], self.sizes[x], self.sizes[others], self.percent)]
+        if len(others):
+            shared = self.keys[others] == self.keys[x]
+            others = others[self.keys[x][shared.argmax(axis=1)] == self.bucket]
+        return others
+
+
+_OPEN = f"bucket long, i {_LABEL}, j {_LABEL}, node long, component long, side int"
+
+
+def _keep_open(width: int, percent: int):
+    """The members that may be linked with another one here, by sketches alone: no row is made for a pair."""
+
+    def run(group: pa.Table) -> pa.Table:
+        members = _Members(group, width, percent)
+        open_ = np.zeros(len(members.ids), dtype=bool)
+        for x in members.left:
+            others = members.possible(x)
+            open_[others] = True
+            open_[x] |= len(others) > 0
+        return group.select(["bucket", "i", "j", "node", "component", "side"]).filter(pa.array(open_))
+
+    return run
+
+
 def _compare_blocks(width: int, percent: int):
     """Links between different components within a block, or between the two blocks of a pair."""
 
     def run(group: pa.Table) -> pa.Table:
-        column = {name: group.column(name).combine_chunks() for name in group.column_names}
-        ids, component, sizes, side = (column[c].to_numpy() for c in ("node", "component", "n_shingles", "side"))
-        sketch = _matrix(column["sketch"], width)
-        keys = column["bands"].values.to_numpy().reshape(len(ids), -1)
-        sets, ends = column["shingles"].values.to_numpy(), column["shingles"].offsets.to_numpy()
+        members = _Members(group, width, percent)
+        lists = members.column["shingles"]
+        sets, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
         full = np.diff(ends)
-        bucket = column["bucket"][0].as_py()
-        within = column["i"][0].as_py() == column["j"][0].as_py()
-        left = np.flatnonzero(side == 0)
-        right = left if within else np.flatnonzero(side == 1)
         u, v = [], []
-        for x in left:
-            others = right[(component[right] != component[x]) & ((ids[right] > ids[x]) | (not within))]
-            if len(others):
-                others = others[_possible(sketch[x], sketch[others], sizes[x], sizes[others], percent)]
-            if len(others):
-                shared = keys[others] == keys[x]
-                others = others[keys[x][shared.argmax(axis=1)] == bucket]
+        for x in members.left:
+            others = members.possible(x)
             if not len(others):
                 continue
             own = sets[ends[x] : ends[x + 1]]
@@ -147,14 +181,54 @@ def _compare_blocks(width: int, percent: int):
             starts = np.concatenate([[0], np.cumsum(full[others])[:-1]])
             common = np.add.reduceat((own[at] == theirs).astype(np.int64), starts)
             linked = others[100 * common >= percent * (len(own) + full[others] - common)]
-            _, one = np.unique(component[linked], return_index=True)
-            u.extend([ids[x]] * len(one))
-            v.extend(ids[linked[one]])
+            _, one = np.unique(members.component[linked], return_index=True)
+            u.extend([members.ids[x]] * len(one))
+            v.extend(members.ids[linked[one]])
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return run
 
 
+def _blocks(placed: DataFrame) -> DataFrame:
+    """Members of buckets with several components, once for each block that they are compared with.
+
+    ``placed`` is ``(bucket, node, component, n_shingles)``. A component that fills a block by itself has blocks of its
+    own, which are never compared with each other; the other components of the bucket share blocks, each in one of them.
+    So a group of copies that fills a bucket meets the few members outside it, and never itself.
+    """
+    fill = lambda members, volume: F.greatest(F.col(members) / BLOCK, F.col(volume) / BLOCK_SHINGLES)
+    sizes = placed.groupBy("bucket", "component").agg(F.count("*").alias("members"), F.sum("n_shingles").alias("volume"))
+    large = fill("members", "volume") >= 1
+    small = lambda c: F.coalesce(F.sum(F.when(~large, F.col(c))), F.lit(0)).alias(c)
+    parts = F.ceil(fill("members", "volume")).cast("int").alias("parts")
+    layout = sizes.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), small("members"), small("volume"),
+        F.collect_list(F.when(large, F.struct("component", parts))).alias("large"),
+    ).filter("low < high").select("bucket", "large", parts.alias("shared"))
+    members = written(placed.join(layout, "bucket"), "open-members")
+
+    def numbered(own: bool, component, parts):
+        label = lambda k: F.struct(F.lit(own).alias("own"), component.alias("component"), k.cast("int").alias("part"))
+        return F.when(parts > 0, F.transform(F.sequence(F.lit(0), parts - 1), label)).otherwise(F.array().cast(f"array<{_LABEL}>"))
+
+    mine = F.filter("large", lambda c: c["component"] == F.col("component"))[0]
+    part = lambda key, parts: F.pmod(F.xxhash64(key), parts).cast("int").alias("part")
+    block = F.when(
+        F.exists("large", lambda c: c["component"] == F.col("component")),
+        F.struct(F.lit(True).alias("own"), F.col("component").alias("component"), part("node", mine["parts"])),
+    ).otherwise(F.struct(F.lit(False).alias("own"), F.lit(0).cast("long").alias("component"), part("component", F.col("shared"))))
+    every = F.concat(
+        numbered(False, F.lit(0).cast("long"), F.col("shared")),
+        F.flatten(F.transform("large", lambda c: numbered(True, c["component"], c["parts"]))),
+    )
+    met = F.filter(every, lambda b: ~(b["own"] & (b["component"] == F.col("component"))))
+    spread = members.withColumn("block", block).withColumn("other", F.explode(met))
+    return spread.select(
+        "bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        "node", "component", (F.col("block") > F.col("other")).cast("int").alias("side"),
+    )
+
+
 def _shingle_sets(width: int):
     def run(batches):
         for batch in sliced(batches, "text"):
@@ -241,25 +315,18 @@ def near_duplicates(
     edges = written(confirmed(pairs, by_node, width, percent), "links")
     found = components(edges)
 
-    # Buckets that hold several components still: all members, block against block.
+    # Buckets that hold several components still: members of different ones, block against block. Sketches go round
+    # first, and shingle sets only of members that these leave open, to where they are open.
     placed = buckets.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    placed = placed.join(sizes.select("node", "n_shingles"), "node")
-    mixed = placed.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.sum("n_shingles").alias("volume")
-    )
-    mixed = mixed.filter("low < high").select("bucket", "volume")
-    blocks = F.ceil(F.greatest(F.col("size") / BLOCK, F.col("volume") / BLOCK_SHINGLES)).cast("int")
-    open_members = written(placed.join(mixed, "bucket").select("bucket", "node", "component", blocks.alias("blocks")), "open-members")
-    if not open_members.isEmpty():
-        sets = shingle_sets(open_members.select("node"), by_node, width)
-        spread = open_members.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        spread = spread.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-            "bucket", "node", "component",
-            F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-            (F.col("block") > F.col("other")).cast("int").alias("side"),
-        )
-        full = spread.join(chosen, "node").join(sets, "node")
-        late = full.groupBy("bucket", "i", "j").applyInArrow(_compare_blocks(n, percent), "u long, v long")
+    placed = placed.join(sizes.select("node", "n_shingles"), "node").select("bucket", "node", "component", "n_shingles")
+    spread = _blocks(written(placed, "placed"))
+    places = ("bucket", "i", "j")
+    left_open = spread.join(chosen, "node").groupBy(*places).applyInArrow(_keep_open(n, percent), _OPEN)
+    left_open = written(left_open, "left-open")
+    if not left_open.isEmpty():
+        sets = shingle_sets(left_open.select("node"), by_node, width)
+        full = left_open.join(chosen, "node").join(sets, "node")
+        late = full.groupBy(*places).applyInArrow(_compare_blocks(n, percent), "u long, v long")
         found = components(edges.unionByName(written(late, "late-links")))
 
     named = classes.join(found, "node", "left").select(
