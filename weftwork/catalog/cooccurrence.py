@@ -18,7 +18,7 @@ from weftwork.operators.cooccur import (
 )
 from weftwork.operators.dedup import dedup_by_key
 from weftwork.session import shared_folder
-from weftwork.sources.files import read_text_lines
+from weftwork.sources.files import dealt_out, read_text_lines
 
 ENTITIES = [
     IdentifierEntity("phone", "std", "phone_number", "phone"),
@@ -38,6 +38,7 @@ def _member(id_type: str, id_) -> F.struct:
 
 def lines(spark: SparkSession, folder: str) -> DataFrame:
     """One JSON array per order line, with members of a type that is not wanted, without an id, and with a blank one."""
+    read = table(spark, folder, "lineitem").select("l_partkey", "l_suppkey", "l_orderkey", "l_returnflag", "l_linestatus", "l_linenumber")
     part, supplier = F.col("l_partkey"), F.col("l_suppkey")
     members = F.array(
         _member("phone", part),
@@ -50,7 +51,7 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     # a third of the lines holds nothing of use
     useless = F.array(_member("colour", F.col("l_linestatus")))
     shown = F.when(F.col("l_linenumber") % 3 == 0, useless).otherwise(members)
-    return table(spark, folder, "lineitem").select(F.to_json(shown).alias("value"))
+    return dealt_out(read).select(F.to_json(shown).alias("value"))
 
 
 _MEMBERS_SQL = """
@@ -89,20 +90,25 @@ def q_identifier_entities(spark: SparkSession, folder: str) -> DataFrame:
 
 
 _PAIRS_SQL = f"""
-  SELECT type, a, b FROM (
-    SELECT 'phone_mail' AS type, phone AS a, mail AS b FROM ({_MEMBERS_SQL}) WHERE mail <> ' '
-    UNION ALL SELECT 'phone_mail', mail, phone2 FROM ({_MEMBERS_SQL}) WHERE mail <> ' '
-    UNION ALL SELECT 'imsi_phone', phone, imsi FROM ({_MEMBERS_SQL}) WHERE imsi IS NOT NULL
-    UNION ALL SELECT 'imsi_phone', imsi, phone2 FROM ({_MEMBERS_SQL}) WHERE imsi IS NOT NULL
-    UNION ALL SELECT 'phone_phone', phone, phone2 FROM ({_MEMBERS_SQL}))
+  SELECT type, a, b, fields FROM (
+    SELECT 'phone_mail' AS type, phone AS a, mail AS b, 'phone_mail_mailid=' || mail || ';phone_mail_phoneid=' || phone AS fields
+    FROM ({_MEMBERS_SQL}) WHERE mail <> ' '
+    UNION ALL SELECT 'phone_mail', mail, phone2, 'phone_mail_mailid=' || mail || ';phone_mail_phoneid=' || phone2
+    FROM ({_MEMBERS_SQL}) WHERE mail <> ' '
+    UNION ALL SELECT 'imsi_phone', phone, imsi, 'imsi_phone_imsiid=' || imsi || ';imsi_phone_phoneid=' || phone
+    FROM ({_MEMBERS_SQL}) WHERE imsi IS NOT NULL
+    UNION ALL SELECT 'imsi_phone', imsi, phone2, 'imsi_phone_imsiid=' || imsi || ';imsi_phone_phoneid=' || phone2
+    FROM ({_MEMBERS_SQL}) WHERE imsi IS NOT NULL
+    UNION ALL SELECT 'phone_phone', phone, phone2, 'phone_phone_phoneid=' || phone2 FROM ({_MEMBERS_SQL}))
 """
 
 
-@query(f"SELECT type AS relation_type, CAST(count(*) AS BIGINT) AS pairs FROM ({_PAIRS_SQL}) GROUP BY 1")
+@query(f"SELECT type AS relation_type, a AS first, b AS second, CAST(count(*) AS BIGINT) AS pairs FROM ({_PAIRS_SQL}) GROUP BY ALL")
 def q_pairs(spark: SparkSession, folder: str) -> DataFrame:
-    """Pairs of members whose types are linked, counted by link."""
+    """Pairs of members whose types are linked, in array order, with how often each is seen."""
     pairs = mapped_pairs(parse_identifiers(lines(spark, folder)), LINKS)
-    return pairs.groupBy(F.col("link.type_id").alias("relation_type")).agg(F.count(F.lit(1)).alias("pairs"))
+    ends = (F.col("link.type_id").alias("relation_type"), F.col("a.id").alias("first"), F.col("b.id").alias("second"))
+    return pairs.groupBy(*ends).agg(F.count(F.lit(1)).alias("pairs"))
 
 
 @query(f"""
@@ -114,14 +120,17 @@ SELECT DISTINCT 'rel@' || greatest(a, b) || '~`#' || least(a, b) AS id, 'std_rel
   CASE WHEN a >= b THEN source ELSE target END AS from_entity_type,
   CASE WHEN a >= b THEN source ELSE target END || '~`#' || greatest(a, b) AS from_entity_id,
   CASE WHEN a >= b THEN target ELSE source END AS to_entity_type,
-  CASE WHEN a >= b THEN target ELSE source END || '~`#' || least(a, b) AS to_entity_id
+  CASE WHEN a >= b THEN target ELSE source END || '~`#' || least(a, b) AS to_entity_id,
+  'rel' AS resid, fields
 FROM ends
 """)
 def q_pair_links(spark: SparkSession, folder: str) -> DataFrame:
-    """Link documents of pairs, each once."""
+    """Link documents of pairs, each once, with their fields as ``name=id`` in the order of the names."""
     made = pair_links(parse_identifiers(lines(spark, folder)), LINKS, "rel")
     ends = ("from_entity_type", "from_entity_id", "to_entity_type", "to_entity_id")
-    return made.select("id", "collection", "relation_type", "direction_type", *ends).distinct()
+    fields = F.transform(F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    shown = made.withColumn("fields", F.array_join(fields, ";"))
+    return shown.select("id", "collection", "relation_type", "direction_type", *ends, "resid", "fields").distinct()
 
 
 @query(f"""

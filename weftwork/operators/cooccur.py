@@ -106,12 +106,11 @@ def _ordered_links(links: list[PairLink]) -> Column:
     )
 
 
-def _paired(blocks: DataFrame, links: Column, types: list[str]) -> DataFrame:
-    """Mapped pairs of a ``left`` and a ``right`` block; within ``same`` block a member pairs with later ones only."""
+def _paired(blocks: DataFrame, links: Column) -> DataFrame:
+    """Mapped pairs of a ``left`` and a ``right`` block; within the ``same`` block a member pairs with later ones only."""
     first = blocks.select("right", "same", F.posexplode("left").alias("i", "a"))
-    first = first.filter(F.col("a.id_type").isin(types) & has_text(F.col("a.id")))
     later = F.when(F.col("same"), F.slice("right", F.col("i") + 2, F.size("right"))).otherwise(F.col("right"))
-    both = first.select("a", F.explode(later).alias("b")).filter(has_text(F.col("b.id")))
+    both = first.select("a", F.explode(later).alias("b"))
     pair = F.concat("a.id_type", F.lit(NAME_SEPARATOR), "b.id_type")
     return both.select("a", "b", F.try_element_at(links, pair).alias("link")).filter(F.col("link").isNotNull())
 
@@ -119,33 +118,34 @@ def _paired(blocks: DataFrame, links: Column, types: list[str]) -> DataFrame:
 def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK) -> DataFrame:
     """``a, b, link`` for every two members in array order whose types are linked.
 
-    An array of more than ``block`` members becomes one row per pair of blocks,
-    and those rows are spread over the cluster, so no task pairs a long array
-    alone. Where `parse_identifiers` left the length of the line, lines too
-    short for so many members are passed over unparsed when long arrays are
-    looked for.
+    Members of types without a link, or without an id, go before anything is
+    paired. An array that then has more than ``block`` members becomes one row
+    per block, with the members from there on. Those rows are spread over the
+    cluster before they are cut, so no task pairs a long array alone. Where
+    `parse_identifiers` left the length of the line, lines too short for so
+    many members are passed over unparsed when long arrays are looked for.
     """
     by_pair = _ordered_links(links)
+    types = sorted({t for link in links for t in (link.first, link.second)})
+    linked = F.filter("members", lambda m: m["id_type"].isin(types) & has_text(m["id"]))
+    sized = [c for c in ("line_bytes",) if c in records.columns]
+    useful = computed_once(records, sized, {"members": linked})
     members = F.col("members")
-    short = records.filter(F.size(members) <= block).select(
+    short = useful.filter(F.size(members).between(2, block)).select(
         members.alias("left"), members.alias("right"), F.lit(True).alias("same")
     )
-    long = records
-    if "line_bytes" in records.columns:
+    long = useful.filter(F.size(members) > block)
+    if sized:
         long = long.filter(F.col("line_bytes") > block * _MEMBER_BYTES)
-    cut = F.transform(
-        F.sequence(F.lit(0), F.floor((F.size(members) - 1) / block).cast("int")),
-        lambda k: F.slice(members, k * block + 1, block),
-    )
     # the reading task is part of the key, so copies of one array spread too
-    blocks = long.filter(F.size(members) > block).select(F.spark_partition_id().alias("task"), cut.alias("blocks"))
-    left = blocks.select("task", "blocks", F.posexplode("blocks").alias("i", "left"))
-    crossed = left.select(
-        "task", "i", "left", F.posexplode(F.slice("blocks", F.col("i") + 1, F.size("blocks"))).alias("j", "right")
-    ).repartition("task", "i", "j")
+    starts = F.sequence(F.lit(1), F.size(members), F.lit(block))
+    begun = long.select(F.spark_partition_id().alias("task"), F.xxhash64(members).alias("array"), members, F.explode(starts).alias("start"))
+    rest = begun.select("task", "array", "start", F.slice(members, F.col("start"), F.size(members)).alias("rest"))
+    dealt = rest.repartition("task", "array", "start")
+    rights = F.transform(F.sequence(F.lit(1), F.size("rest"), F.lit(block)), lambda k: F.slice("rest", k, block))
+    crossed = dealt.select(F.slice("rest", 1, block).alias("left"), F.posexplode(rights).alias("j", "right"))
     spread = crossed.select("left", "right", (F.col("j") == 0).alias("same"))
-    types = sorted({t for link in links for t in (link.first, link.second)})
-    return _paired(short, by_pair, types).unionByName(_paired(spread, by_pair, types))
+    return _paired(short, by_pair).unionByName(_paired(spread, by_pair))
 
 
 def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: int = BLOCK) -> DataFrame:

@@ -142,3 +142,15 @@ def list_schemas(spark: SparkSession, path: str) -> DataFrame:
     inside = F.substring(full, F.position(base, full) + F.length(base), F.length(full))
     folder = F.when(inside.contains("/"), F.substring_index(inside, "/", 1))
     return files.select(F.substring_index(folder, "=", -1).alias("data_schema_id")).dropna().distinct()
+
+
+def dealt_out(frame: DataFrame) -> DataFrame:
+    """A scan that has fewer splits than the session has cores, dealt out evenly over the cores; any other as it is.
+
+    For small input with costly work on each row. There are fewer splits than cores only while the input is smaller than
+    a split for each core, so nothing large is ever shuffled for this.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    if frame.isStreaming or frame.rdd.getNumPartitions() >= cores:
+        return frame
+    return frame.repartition(cores)
