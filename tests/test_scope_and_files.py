@@ -23,6 +23,7 @@ from weftwork.sinks.tables import (
 )
 from weftwork.sources.config import jdbc_options, matching, read_collection
 from weftwork.sources.files import (
+    dealt_out,
     list_files,
     list_schemas,
     read_sequence,
@@ -219,3 +220,15 @@ def test_shared_folder_is_under_the_checkpoint_dir(spark):
     folder = shared_folder(spark, "x")
     assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
     assert folder != shared_folder(spark, "x")
+
+
+def test_small_scans_are_dealt_out_and_others_stay(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(1000).coalesce(1).write.parquet(f"{tmp_path}/small")
+    small = dealt_out(spark.read.parquet(f"{tmp_path}/small"))
+    assert small.rdd.getNumPartitions() == cores
+    assert sorted(r.id for r in small.collect()) == list(range(1000))
+    many = spark.range(0, 1000, 1, cores + 3)
+    assert dealt_out(many) is many
+    empty = spark.read.schema("id long").parquet(f"{tmp_path}/small").filter("id < 0")
+    assert dealt_out(empty).count() == 0

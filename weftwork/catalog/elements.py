@@ -47,6 +47,7 @@ from weftwork.plans.model import (
     mapping_table,
 )
 from weftwork.sinks.messages import element_messages
+from weftwork.sources.files import dealt_out
 
 
 @query(f"""
@@ -167,8 +168,8 @@ def q_direction(spark: SparkSession, folder: str) -> DataFrame:
 
 def raw_records(spark: SparkSession, folder: str) -> DataFrame:
     """Orders and lines as raw records with a task each."""
-    order = orders(spark, folder)
-    line = lines(spark, folder)
+    order = dealt_out(orders(spark, folder))
+    line = dealt_out(lines(spark, folder))
     return union_all(
         [
             as_records(order, "orders", F.col("o_orderkey"), F.col("o_orderkey") % 3),
@@ -240,7 +241,7 @@ SELECT 'contains', 'contains~`#' || l_orderkey || '~`#' || l_linenumber, CAST(co
 """)
 def q_batch_fanout(spark: SparkSession, folder: str) -> DataFrame:
     """Two mappings of one table over a single scan."""
-    built = build_elements(lines(spark, folder), SHOP, [MAP_CONTAINS, MAP_SUPPLIES])
+    built = build_elements(dealt_out(lines(spark, folder)), SHOP, [MAP_CONTAINS, MAP_SUPPLIES])
     return built.groupBy("type_id", "element_id").agg(F.count(F.lit(1)).alias("copies"))
 
 
