@@ -94,23 +94,31 @@ def q_dossier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query(f"""
-SELECT 'CUSTOMER@' || k AS doc_id, CAST(count(*) AS BIGINT) AS n, count(*) > 7 AS large
-FROM ({_VALUES_SQL}) WHERE k IN (SELECT k FROM ({_ROOT_SQL})) GROUP BY ALL
+WITH found AS (SELECT k, field, value FROM ({_VALUES_SQL}) WHERE k IN (SELECT k FROM ({_ROOT_SQL})))
+SELECT 'CUSTOMER@' || k AS doc_id, field, value, CAST(count(*) AS BIGINT) AS copies, n > 7 AS large,
+  true AS own_ids, true AS parts_fit
+FROM found JOIN (SELECT k, count(*) AS n FROM found GROUP BY k) USING (k) GROUP BY k, field, value, n
 """)
 def q_dossier_parts(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents cut into parts of about seven values: none is lost, and large documents have several."""
+    """Values of documents that are cut into parts of about seven, counted over the parts.
+
+    ``own_ids``: every part of the document has another id; ``parts_fit``: only a document of more values has several.
+    """
     docs = build_dossiers(reader(spark, folder), RULE, part_size=7)
-    sized = field_values(docs).select("doc_id", "part", F.size("values").alias("n"))
-    per_doc = sized.groupBy("doc_id").agg(
-        F.sum("n").cast("bigint").alias("n"), (F.max("part") > 0).alias("several"), (F.sum("n") > 7).alias("large")
+    per_doc = docs.groupBy("doc_id").agg(
+        (F.count_distinct("id") == F.count_distinct("part")).alias("own_ids"), F.max("part").alias("last_part")
     )
-    # a large document may by chance fill one part only, so only the reverse is exact
-    return per_doc.filter(~F.col("several") | F.col("large")).select("doc_id", "n", "large")
+    each = field_values(docs).select("doc_id", "field", F.explode("values").alias("value"))
+    found = each.groupBy("doc_id", "field", "value").agg(F.count(F.lit(1)).alias("copies"))
+    sizes = found.groupBy("doc_id").agg((F.sum("copies") > 7).alias("large"))
+    fits = ((F.col("last_part") == 0) | F.col("large")).alias("parts_fit")
+    whole = found.join(sizes, "doc_id").join(per_doc, "doc_id")
+    return whole.select("doc_id", "field", "value", "copies", "large", "own_ids", fits)
 
 
 @query(f"""
-SELECT 'CUSTOMER@' || k AS doc_id, field, CAST(count(*) AS INTEGER) AS n FROM ({_VALUES_SQL})
-WHERE k IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 19 <> 0
+SELECT 'CUSTOMER@' || k AS doc_id, field, CAST(count(*) AS INTEGER) AS n, string_agg(value, '|' ORDER BY value) AS joined
+FROM ({_VALUES_SQL}) WHERE k IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 19 <> 0
             AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_regionkey < 2)) GROUP BY ALL
 """)
 def q_dossier_excluding(spark: SparkSession, folder: str) -> DataFrame:
@@ -118,7 +126,7 @@ def q_dossier_excluding(spark: SparkSession, folder: str) -> DataFrame:
     listed = table(spark, folder, "nation").filter(F.col("n_regionkey") < 2)
     resources = listed.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("resId"))
     docs = build_dossiers(reader(spark, folder), RULE, resources)
-    return field_values(docs).select("doc_id", "field", F.size("values").alias("n"))
+    return field_values(docs).select("doc_id", "field", F.size("values").alias("n"), _joined("values").alias("joined"))
 
 
 _PEOPLE = """

@@ -292,22 +292,23 @@ def q_type_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query("""
-SELECT 'load.task.resid' AS metric_name, CAST(user_id % 3 AS VARCHAR) AS task_id, CAST(user_id % 7 AS VARCHAR) AS res_id,
-  CAST(count(*) AS BIGINT) AS in_total_records, CAST(count(*) AS BIGINT) AS out_total_records,
-  CAST(count(DISTINCT event_type) AS INTEGER) AS types, true AS open
-FROM events GROUP BY ALL
+SELECT 'load.task.resid' AS metric_name, CAST(task AS VARCHAR) AS task_id, CAST(res AS VARCHAR) AS res_id,
+  CAST(sum(n) AS BIGINT) AS in_total_records, CAST(sum(n) AS BIGINT) AS out_total_records,
+  string_agg(event_type || '=' || n, ';' ORDER BY event_type) AS types, true AS open
+FROM (SELECT user_id % 3 AS task, user_id % 7 AS res, event_type, count(*) AS n FROM events GROUP BY ALL) GROUP BY task, res
 """)
 def q_metric_records(spark: SparkSession, folder: str) -> DataFrame:
     """Metric rows of the load."""
     nested = nested_counts(counts_by_type(_task_events(spark, folder), "event_type"), "event_type")
     rows = metric_records(nested, "load.task.resid", F.current_timestamp())
+    entry = F.transform("elp_type_statistic", lambda e: F.concat(e["elp_type"], F.lit("="), e["count"].cast("string")))
     return rows.select(
         "metric_name",
         "task_id",
         "res_id",
         "in_total_records",
         "out_total_records",
-        F.size("elp_type_statistic").alias("types"),
+        F.array_join(F.array_sort(entry), ";").alias("types"),
         (F.col("end_time").isNull() & F.col("start_time").isNotNull()).alias("open"),
     )
 

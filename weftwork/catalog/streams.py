@@ -83,24 +83,24 @@ _TASK = "CAST(user_id % 7 AS VARCHAR) || '@' || CAST(user_id % 3 AS VARCHAR)"
 
 
 @query(f"""
-SELECT event_id || '@web_entity_visit@' || {_TASK} AS key, 'res' || (user_id % 7) || '@visit~`#' || event_id AS row_key,
-  'visit' AS entity_type, NULL AS to_entity_id, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS value
-FROM events WHERE event_type IN {_KINDS}
+WITH e AS (
+  SELECT *, 'res' || (user_id % 7) AS res, {_TASK} AS task, CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS amount FROM events)
+SELECT event_id || '@web_entity_visit@' || task AS key,
+  '{{"rowkey":"' || res || '@visit~`#' || event_id || '","entity_id":"visit~`#' || event_id
+  || '","entity_type":"visit","owner":"","dsId":"' || res || '","body":{{"kind":{{"value":"' || event_type
+  || '","type":"string"}},' || coalesce('"value":{{"value":"' || amount || '","type":"number"}},', '')
+  || '"user":{{"value":"' || user_id || '","type":"string"}}}}}}' AS value
+FROM e WHERE event_type IN {_KINDS}
 UNION ALL
-SELECT event_id || '@web_relation_made_by@' || {_TASK}, 'res' || (user_id % 7) || '@made_by~`#' || event_id,
-  NULL, 'user~`#' || user_id, NULL
-FROM events WHERE event_type = 'purchase'
+SELECT event_id || '@web_relation_made_by@' || task,
+  '{{"rowkey":"' || res || '@made_by~`#' || event_id || '","relation_id":"made_by~`#' || event_id
+  || '","relation_type":"made_by","direction_type":"1","from_entity_type":"visit","from_entity_id":"visit~`#' || event_id
+  || '","to_entity_type":"user","to_entity_id":"user~`#' || user_id || '","owner":"","dsId":"' || res || '","body":{{}}}}'
+FROM e WHERE event_type = 'purchase'
 """)
 def q_stream_transform(spark: SparkSession, folder: str) -> DataFrame:
-    """Element messages that the transform job writes."""
-    written = spark.read.parquet(f"{_run_transform(spark, folder)}/messages")
-    return written.select(
-        "key",
-        F.get_json_object("value", "$.rowkey").alias("row_key"),
-        F.get_json_object("value", "$.entity_type").alias("entity_type"),
-        F.get_json_object("value", "$.to_entity_id").alias("to_entity_id"),
-        F.get_json_object("value", "$.body.value.value").alias("value"),
-    )
+    """Element messages that the transform job writes, whole."""
+    return spark.read.parquet(f"{_run_transform(spark, folder)}/messages").select("key", "value")
 
 
 @query(f"""
