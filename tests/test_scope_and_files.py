@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from weftwork.operators.documents import latest_documents, stamped
 from weftwork.operators.selection import (
     active_watchlist,
     effective_sequences,
@@ -209,6 +210,28 @@ def test_start_policy():
     assert start_policy().checkpoint("/c", "run1") == start_policy().checkpoint("/c", "run2")
 
 
+def test_a_policy_may_fail_on_lost_offsets():
+    assert start_policy().options()["failOnDataLoss"] == "false"
+    assert start_policy("ADD", fail_on_loss=True).options() == {"startingOffsets": "latest", "failOnDataLoss": "true"}
+
+
+def test_documents_written_again_win_over_the_change_of_clocks(spark):
+    first = F.lit("2024-10-27 00:59:59.25Z").cast("timestamp")  # 02:59 in summer, the later one 02:10 in winter
+    later = F.lit("2024-10-27 01:10:00Z").cast("timestamp")
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+    try:
+        docs = spark.createDataFrame([("c", "1")], "collection string, id string")
+        as_fields = lambda text: F.create_map(F.lit("a"), F.lit(text))
+        both = stamped(docs.withColumn("fields", as_fields("old")), first).unionByName(
+            stamped(docs.withColumn("fields", as_fields("new")), later)
+        )
+        (row,) = latest_documents(both).collect()
+        assert row["fields"] == {"a": "new", "_indexed_at_tdt": "2024-10-27 01:10:00"}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+
+
 def test_jdbc_options_come_from_the_caller():
     options = jdbc_options("d.Driver", "jdbc:x", "(select a from t where is_use = 1) as s", user="u", numPartitions=4)
     assert options == {

@@ -45,10 +45,15 @@ def search_documents(
     )
 
 
+def _utc_text(moment: Column) -> Column:
+    """A time as text in UTC, whatever the zone of the session, so that later times are greater texts."""
+    seconds = (F.unix_micros(moment.cast("timestamp")).cast("decimal(20,0)") / 1_000_000).cast("decimal(18,6)")
+    return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)).cast("string")
+
+
 def stamped(documents: DataFrame, indexed_at: Column | None = None) -> DataFrame:
-    """Documents with the time they were indexed."""
-    moment = F.current_timestamp() if indexed_at is None else indexed_at
-    text = moment.cast("string")
+    """Documents with the time they were indexed, in UTC."""
+    text = _utc_text(F.current_timestamp() if indexed_at is None else indexed_at)
     if "fields" in documents.columns and documents.schema["fields"].dataType.valueType.typeName() == "array":
         text = F.array(text)
     stamp = F.create_map(F.lit(INDEXED_AT_FIELD), text)

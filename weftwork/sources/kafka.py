@@ -14,25 +14,29 @@ ADD, DELETE, MODIFY, OTHER = "ADD", "DELETE", "MODIFY", "OTHER"
 
 @dataclass(frozen=True)
 class StartPolicy:
-    """``startingOffsets`` of a new query, and whether an old checkpoint must not be resumed."""
+    """``startingOffsets`` of a new query, and whether an old checkpoint must not be resumed.
+
+    Offsets that have expired are raised to the earliest ones left; with ``fail_on_loss`` the query fails instead, so
+    that no record is passed over unseen.
+    """
 
     starting_offsets: str
     fresh: bool
+    fail_on_loss: bool = False
 
     def options(self) -> dict[str, str]:
-        # offsets that have expired are raised to the earliest ones left
-        return {"startingOffsets": self.starting_offsets, "failOnDataLoss": "false"}
+        return {"startingOffsets": self.starting_offsets, "failOnDataLoss": str(self.fail_on_loss).lower()}
 
     def checkpoint(self, base: str, run_id: str) -> str:
         """Checkpoint folder: the standing one, or a new one when the stream must jump."""
         return f"{base.rstrip('/')}/{run_id if self.fresh else 'standing'}"
 
 
-def start_policy(operator: str = OTHER, reset: str = "largest") -> StartPolicy:
+def start_policy(operator: str = OTHER, reset: str = "largest", fail_on_loss: bool = False) -> StartPolicy:
     """ADD and MODIFY jump to the latest offsets; otherwise a stream resumes, and ``reset`` decides its first start."""
     if operator in (ADD, MODIFY):
-        return StartPolicy("latest", fresh=True)
-    return StartPolicy({"smallest": "earliest", "largest": "latest"}.get(reset, reset), fresh=False)
+        return StartPolicy("latest", True, fail_on_loss)
+    return StartPolicy({"smallest": "earliest", "largest": "latest"}.get(reset, reset), False, fail_on_loss)
 
 
 def read_kafka(spark: SparkSession, brokers: str, topics: str, policy: StartPolicy, **options) -> DataFrame:
