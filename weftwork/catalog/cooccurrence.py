@@ -54,6 +54,14 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     return dealt_out(read).select(F.to_json(shown).alias("value"))
 
 
+LINES_A_FILE = 100_000  # a packed file is read by one task, so files stay small
+
+
+def write_lines(spark: SparkSession, folder: str, path: str) -> None:
+    """The lines as packed text files."""
+    lines(spark, folder).write.option("compression", "gzip").option("maxRecordsPerFile", LINES_A_FILE).text(path)
+
+
 _MEMBERS_SQL = """
   SELECT CAST(l_partkey AS VARCHAR) AS phone, CASE WHEN l_suppkey % 10 = 0 THEN ' ' ELSE CAST(l_suppkey AS VARCHAR) END AS mail,
     CASE WHEN l_orderkey % 3 <> 0 THEN CAST(l_orderkey AS VARCHAR) END AS imsi,
@@ -128,7 +136,7 @@ def q_pair_links(spark: SparkSession, folder: str) -> DataFrame:
     """Link documents of pairs, each once, with their fields as ``name=id`` in the order of the names."""
     made = pair_links(parse_identifiers(lines(spark, folder)), LINKS, "rel")
     ends = ("from_entity_type", "from_entity_id", "to_entity_type", "to_entity_id")
-    fields = F.transform(F.array_sort(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    fields = F.transform(F.sort_array(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     shown = made.withColumn("fields", F.array_join(fields, ";"))
     return shown.select("id", "collection", "relation_type", "direction_type", *ends, "resid", "fields").distinct()
 
@@ -149,7 +157,7 @@ def q_pair_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def q_text_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Lines written to text files and read back by extension, then parsed."""
     path = shared_folder(spark, "lines")
-    lines(spark, folder).write.text(path)
+    write_lines(spark, folder, path)
     read = read_text_lines(spark, path)
     parsed = parse_identifiers(read).select(F.lit(0).alias("lines"), F.lit(1).alias("parsed"))
     return (

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftwork.catalog import query
-from weftwork.catalog.cooccurrence import ENTITIES, LINKS, _MEMBERS_SQL, _PAIRS_SQL, lines
+from weftwork.catalog.cooccurrence import ENTITIES, LINKS, _MEMBERS_SQL, _PAIRS_SQL, write_lines
 from weftwork.catalog.shop import MAP_CUSTOMER, MAP_PART, SHOP, customers, parts
 from weftwork.jobs import INCREMENTAL, collect_dossiers, relate_identifiers, relate_mapped, transform_files
 from weftwork.operators.cells import element_cells
@@ -50,7 +50,7 @@ FROM counts, range(2)
 def q_job_identifiers(spark: SparkSession, folder: str) -> DataFrame:
     """The counts of every stage of the identifier job, for each of two runs over the same lines."""
     base = shared_folder(spark, "identifier-job")
-    lines(spark, folder).write.text(f"{base}/lines")
+    write_lines(spark, folder, f"{base}/lines")
     for _ in range(2):
         relate_identifiers(spark, f"{base}/lines", ENTITIES, LINKS, "rel", f"{base}/out")
     return spark.read.parquet(f"{base}/out/history").select("srcCount", "countAfterParseJson", "entityDataCount", "linkDataCount", "status")

@@ -13,11 +13,13 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from weftwork.constants import ENTITY, LINK
 from weftwork.operators.cells import element_cells
 from weftwork.operators.cooccur import (
     IdentifierEntity,
     PairLink,
     identifier_entities,
+    in_one_collection,
     pair_links,
     parse_identifiers,
 )
@@ -135,10 +137,10 @@ def relate_identifiers(
         records = parse_identifiers(read_text_lines(spark, path, extension).observe(seen["srcCount"], one))
         records = records.observe(seen["countAfterParseJson"], one)
         found = identifier_entities(records, entity_types, res_id).observe(seen["entityDataCount"], one)
-        write_documents(found, f"{out}/entities/resource={res_id}", mode="overwrite")
+        write_documents(in_one_collection(found, entity_types, ENTITY), f"{out}/entities/resource={res_id}", mode="overwrite")
         unobserved = parse_identifiers(read_text_lines(spark, path, extension))
         linked = pair_links(unobserved, links, res_id).observe(seen["linkDataCount"], one)
-        write_documents(linked, f"{out}/links/resource={res_id}", mode="overwrite")
+        write_documents(in_one_collection(linked, links, LINK), f"{out}/links/resource={res_id}", mode="overwrite")
         entry |= {name: observation.get["n"] for name, observation in seen.items()}
 
 

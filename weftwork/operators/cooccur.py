@@ -90,6 +90,16 @@ def _fields(**values: str) -> Column:
     return F.struct(*[F.lit(v).alias(k) for k, v in values.items()])
 
 
+def in_one_collection(
+    documents: DataFrame, declared: list[IdentifierEntity] | list[PairLink], kind: str
+) -> DataFrame:
+    """Documents with their collection as a constant where all types have one model: a constant folder needs no sort before a write."""
+    models = {d.model for d in declared}
+    if len(models) != 1:
+        return documents
+    return documents.withColumn("collection", collection_name(F.lit(models.pop()), F.lit(kind)))
+
+
 def _lookup(entries: dict, value) -> Column:
     return F.create_map(*[c for key, entry in entries.items() for c in (F.lit(key), value(entry))])
 
