@@ -5,7 +5,21 @@ import glob
 from pyspark.sql import functions as F
 
 from weftwork.catalog.cooccurrence import ENTITIES, LINKS, write_lines
+from weftwork.constants import ENTITY, LINK
 from weftwork.jobs import relate_identifiers
+from weftwork.operators.dossier import combined, table_reader, two_hop
+from weftwork.plans.rules import Extension, Related
+
+
+def test_two_hop_spreads_before_it_reaches(spark):
+    placed = spark.createDataFrame([(str(i), "h", "r") for i in range(50)] * 2, "k string, v string, resid string")
+    held = spark.createDataFrame([("h", str(i), "r") for i in range(5)], "h string, p string, resid string")
+    read = table_reader({(LINK, "l"): placed, (ENTITY, "e"): held})
+    made = two_hop(read, Extension(Related("f", "l", "k", "v"), (Related("g", "e", "h", "p"),)))
+    assert "REPARTITION_BY_NUM" in made._jdf.queryExecution().executedPlan().toString()
+    assert {tuple(r) for r in combined(made).collect()} == {(str(i), "f", "h", 2) for i in range(50)} | {
+        (str(i), "g", str(j), 2) for i in range(50) for j in range(5)
+    }
 
 
 def test_identifier_documents_are_packed(spark, tmp_path):

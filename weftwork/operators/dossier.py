@@ -145,7 +145,9 @@ def two_hop(read: Reader, extension: Extension) -> DataFrame:
     found = combined(held).select(
         F.col("doc_key").alias("hop"), "field", "value", F.col("copies").alias("held")
     )
-    left = hops.select("doc_key", F.col("value").alias("hop"), "copies")
+    # a value may hold many others, so the rows are spread over all tasks first: each then combines its share of what is reached
+    tasks = int(hops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    left = hops.select("doc_key", F.col("value").alias("hop"), "copies").repartition(tasks, "doc_key", "hop")
     reached = adaptive_join(left, found, ["hop"]).select(
         "doc_key", "field", "value", (F.col("copies") * F.col("held")).alias("copies")
     )
