@@ -4,6 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
+from weftwork.catalog import streams
 from weftwork.catalog.cooccurrence import ENTITIES, LINKS, write_lines
 from weftwork.constants import ENTITY, LINK
 from weftwork.jobs import relate_identifiers
@@ -11,6 +12,28 @@ from weftwork.operators.dossier import combined, table_reader, two_hop
 from weftwork.plans.rules import Extension, Related
 
 
+def _events(spark, folder, ids):
+    rows = [(i, i % 3, "view", 1.0) for i in ids]
+    spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double").write.parquet(f"{folder}/events.parquet")
+
+
+def test_quarters_of_several_files(spark, tmp_path):
+    """Every quarter has the same number of files, also one without rows, and each batch holds one quarter."""
+    _events(spark, str(tmp_path), [i for i in range(80) if i % 4 != 1])
+    path, seen = str(tmp_path / "in"), {}
+    for number in range(4):
+        streams._write_quarter(spark, str(tmp_path), path, number, rows=5)
+    assert len(glob.glob(f"{path}/*.parquet")) == 4 * streams._quarter_files(spark, str(tmp_path), 5) == 12
+
+    def handle(batch, batch_id):
+        seen[batch_id] = sorted(r[0] for r in batch.select("event_id").collect())
+
+    stream = streams._quarters(spark, str(tmp_path), path, rows=5).writeStream.foreachBatch(handle)
+    stream.option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    wanted = {n: [] if n == 1 else list(range(n, 80, 4)) for n in range(4)}
+    assert {n: seen.get(n, []) for n in range(4)} == wanted
+
+
 def test_two_hop_spreads_before_it_reaches(spark):
     placed = spark.createDataFrame([(str(i), "h", "r") for i in range(50)] * 2, "k string, v string, resid string")
     held = spark.createDataFrame([("h", str(i), "r") for i in range(5)], "h string, p string, resid string")

@@ -220,17 +220,32 @@ def q_running_count(spark: SparkSession, folder: str) -> DataFrame:
     return counts.groupBy("user_id").agg(F.max("running_count").alias("running_count"))
 
 
-def _write_quarter(spark: SparkSession, folder: str, path: str, number: int, repeats: bool = False) -> None:
-    """One file of events: every fourth one and, with ``repeats``, a third of those that the file before held."""
+QUARTER_ROWS = 100_000  # events in a file of a quarter, about
+
+
+def _quarter_files(spark: SparkSession, folder: str, rows: int) -> int:
+    """The number of files of each quarter: as many as the events ask for, so that a batch is not the work of one task."""
+    return max(1, -(-table(spark, folder, "events").count() // (4 * rows)))
+
+
+def _write_quarter(
+    spark: SparkSession, folder: str, path: str, number: int, repeats: bool = False, rows: int = QUARTER_ROWS
+) -> None:
+    """The files of one batch of events: every fourth one and, with ``repeats``, a third of those that the batch before held."""
     events, quarter = table(spark, folder, "events"), F.pmod("event_id", F.lit(4))
     again = (quarter == number - 1) & (F.pmod("event_id", F.lit(3)) == 0) if repeats else F.lit(False)
-    events.filter((quarter == number) | again).coalesce(1).write.mode("append").parquet(path)
+    chosen, files = events.filter((quarter == number) | again), _quarter_files(spark, folder, rows)
+    (chosen.repartition(files) if files > 1 else chosen.coalesce(1)).write.mode("append").parquet(path)
+    # a task without rows writes no file, and the stream counts files
+    missing = files * (number + 1) - len(spark.read.schema(events.schema).parquet(path).inputFiles()) if files > 1 else 0
+    for _ in range(missing):
+        events.limit(0).coalesce(1).write.mode("append").parquet(path)
 
 
-def _quarters(spark: SparkSession, folder: str, path: str) -> DataFrame:
-    """The files of a folder as a stream, one in each batch, in the order in which they were written."""
+def _quarters(spark: SparkSession, folder: str, path: str, rows: int = QUARTER_ROWS) -> DataFrame:
+    """The files of a folder as a stream, those of a quarter in each batch, in the order in which they were written."""
     schema = table(spark, folder, "events").schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", _quarter_files(spark, folder, rows)).parquet(path)
 
 
 @query("""
