@@ -56,3 +56,9 @@ def test_identifier_documents_are_packed(spark, tmp_path):
         folder = f"{tmp_path}/out/{kind}/resource=rel"
         assert glob.glob(f"{folder}/collection={collection}/*.zstd.parquet")
         assert spark.read.parquet(folder).filter(F.col("collection") == collection).count() == n
+
+
+def test_element_stream_is_spread(spark, tmp_path):
+    _events(spark, str(tmp_path), range(8))
+    stream = streams._element_stream(spark, str(tmp_path))
+    assert stream.isStreaming and "Repartition" in stream._jdf.queryExecution().analyzed().toString()

@@ -36,6 +36,7 @@ from weftwork.streaming.jobs import (
 _VISIT = EntityType("visit", "visit", (Property("kind", "text"), Property("value", "number"), Property("user", "text")))
 _BY = LinkType("made_by", "visit", "user", "visit", "user", True)
 WEB = Model("web", (_VISIT,), (_BY,))
+TASKS_A_CORE = 2  # over which a batch of events is spread; a file of events has few splits
 _KINDS = ("view", "click", "purchase")
 
 
@@ -118,8 +119,9 @@ def q_stream_task_metrics(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _element_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """Element messages as a stream: the transform without its job, stateless throughout."""
-    return element_messages(fan_out(raw_records(_messages(event_stream(spark, folder))), web_mappings(spark)))
+    """Element messages as a stream: the transform without its job, stateless throughout, spread over all cores."""
+    events = event_stream(spark, folder).repartition(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
+    return element_messages(fan_out(raw_records(_messages(events)), web_mappings(spark)))
 
 
 def _run_load(spark: SparkSession, folder: str, changed: DataFrame | None = None, after: int = 0) -> str:
