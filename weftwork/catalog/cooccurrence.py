@@ -134,11 +134,12 @@ FROM ends
 """)
 def q_pair_links(spark: SparkSession, folder: str) -> DataFrame:
     """Link documents of pairs, each once, with their fields as ``name=id`` in the order of the names."""
-    made = pair_links(parse_identifiers(lines(spark, folder)), LINKS, "rel")
+    made = pair_links(parse_identifiers(lines(spark, folder)), LINKS, "rel", copies=False)
     ends = ("from_entity_type", "from_entity_id", "to_entity_type", "to_entity_id")
-    fields = F.transform(F.sort_array(F.map_entries("fields")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    shown = made.withColumn("fields", F.array_join(fields, ";"))
-    return shown.select("id", "collection", "relation_type", "direction_type", *ends, "resid", "fields").distinct()
+    fields = F.sort_array(F.map_entries("fields"))  # one or two; without a lambda the stage is compiled whole
+    each = [F.concat(F.get(fields, F.lit(i))["key"], F.lit("="), F.get(fields, F.lit(i))["value"]) for i in (0, 1)]
+    shown = made.withColumn("fields", F.concat_ws(";", *each))
+    return shown.select("id", "collection", "relation_type", "direction_type", *ends, "resid", "fields")
 
 
 @query(f"""

@@ -105,15 +105,16 @@ def _lookup(entries: dict, value) -> Column:
 
 
 def _ordered_links(links: list[PairLink]) -> Column:
-    """Link by ordered type pair; a pair declared as written wins over the same pair reversed."""
-    ordered = {(link.second, link.first): link for link in reversed(links)}
-    ordered |= {(link.first, link.second): link for link in reversed(links)}
-    return _lookup(
-        {NAME_SEPARATOR.join(pair): link for pair, link in ordered.items()},
-        lambda link: _fields(
-            model=link.model, type_id=link.type_id, source=link.source_entity, target=link.target_entity
-        ),
-    )
+    """Number of the link by ordered type pair; a pair declared as written wins over the same pair reversed."""
+    ordered = {(link.second, link.first): i for i, link in reversed(list(enumerate(links)))}
+    ordered |= {(link.first, link.second): i for i, link in reversed(list(enumerate(links)))}
+    return _lookup({NAME_SEPARATOR.join(pair): i for pair, i in ordered.items()}, F.lit)
+
+
+def _link(links: list[PairLink]) -> Column:
+    """The link type of a numbered pair."""
+    types = [_fields(model=t.model, type_id=t.type_id, source=t.source_entity, target=t.target_entity) for t in links]
+    return F.get(F.array(*types), F.col("number"))
 
 
 def _paired(blocks: DataFrame, links: Column) -> DataFrame:
@@ -122,7 +123,7 @@ def _paired(blocks: DataFrame, links: Column) -> DataFrame:
     later = F.when(F.col("same"), F.slice("right", F.col("i") + 2, F.size("right"))).otherwise(F.col("right"))
     both = first.select("a", F.explode(later).alias("b"))
     pair = F.concat("a.id_type", F.lit(NAME_SEPARATOR), "b.id_type")
-    return both.select("a", "b", F.try_element_at(links, pair).alias("link")).filter(F.col("link").isNotNull())
+    return both.select("a", "b", F.try_element_at(links, pair).alias("number")).filter(F.col("number").isNotNull())
 
 
 def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK) -> DataFrame:
@@ -135,6 +136,11 @@ def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK)
     `parse_identifiers` left the length of the line, lines too short for so
     many members are passed over unparsed when long arrays are looked for.
     """
+    return _numbered_pairs(records, links, block).select("a", "b", _link(links).alias("link"))
+
+
+def _numbered_pairs(records: DataFrame, links: list[PairLink], block: int) -> DataFrame:
+    """`mapped_pairs` with the number of the link in its place."""
     by_pair = _ordered_links(links)
     types = sorted({t for link in links for t in (link.first, link.second)})
     linked = F.filter("members", lambda m: m["id_type"].isin(types) & has_text(m["id"]))
@@ -158,8 +164,30 @@ def mapped_pairs(records: DataFrame, links: list[PairLink], block: int = BLOCK)
     return _paired(short, by_pair).unionByName(_paired(spread, by_pair))
 
 
-def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: int = BLOCK) -> DataFrame:
-    """A link document for each mapped pair; copies are kept.
+def _distinct_pairs(pairs: DataFrame, links: list[PairLink]) -> DataFrame:
+    """One pair for each link document that differs.
+
+    Two pairs make one document only if their links say the same, and they are equal or list the same two members of
+    different types in either order; that order tells nothing where the ids are equal, or where both ends are of one entity type.
+    """
+    said = [(t.model, t.type_id, t.source_entity, t.target_entity) for t in links]
+    first = F.get(F.array(*[F.lit(said.index(t)) for t in said]), F.col("number"))
+    alike = F.get(F.array(*[F.lit(t.source_entity == t.target_entity) for t in links]), F.col("number"))
+    a, b = F.col("a"), F.col("b")
+    turned = (a["id_type"] > b["id_type"]) & ((a["id"] == b["id"]) | alike)
+    ends = {"a_type": (a, b, "id_type"), "a_id": (a, b, "id"), "b_type": (b, a, "id_type"), "b_id": (b, a, "id")}
+    keyed = pairs.select(first.alias("number"), *[F.when(turned, y[f]).otherwise(x[f]).alias(n) for n, (x, y, f) in ends.items()])
+
+    def member(end: str) -> Column:
+        return F.struct(F.col(f"{end}_type").alias("id_type"), F.col(f"{end}_id").alias("id")).alias(end)
+
+    return keyed.distinct().select("number", member("a"), member("b"))
+
+
+def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: int = BLOCK, copies: bool = True) -> DataFrame:
+    """A link document for each mapped pair; copies are kept, or each document comes once.
+
+    Without ``copies`` the pairs are made distinct before documents are built, so types and ids are shuffled only.
 
     The greater id, compared as text, comes first in the label and is the from
     end. The end types follow: the first member stands for the source entity.
@@ -179,7 +207,9 @@ def pair_links(records: DataFrame, links: list[PairLink], res_id: str, block: in
     fields = F.when(
         a["id_type"] == b["id_type"], F.create_map(field(b), b["id"])
     ).otherwise(F.create_map(field(a), a["id"], field(b), b["id"]))
-    return mapped_pairs(records, links, block).select(
+    pairs = _numbered_pairs(records, links, block)
+    pairs = pairs if copies else _distinct_pairs(pairs, links)
+    return pairs.select("a", "b", _link(links).alias("link")).select(
         label.alias("id"),
         collection_name(F.col("link.model"), F.lit(LINK)).alias("collection"),
         label.alias("relation_id"),
