@@ -2,8 +2,11 @@
 
 import json
 
+from pyspark.sql import functions as F
+
 from weftwork.catalog import load
 from weftwork.operators.cooccur import PairLink, pair_links, parse_identifiers
+from weftwork.operators.dossier import documents, field_values
 
 
 def _plan(frame, which="optimizedPlan"):
@@ -43,3 +46,19 @@ def test_pair_links_shuffles_pairs_only(spark, tmp_path):
         "imsi_phone_imsiid=4;imsi_phone_phoneid=1", "imsi_phone_imsiid=4;imsi_phone_phoneid=2", "phone_mail_mailid=2;phone_mail_phoneid=1",
         "phone_mail_mailid=2;phone_mail_phoneid=2", "phone_phone_phoneid=2",
     ]
+
+
+def test_large_keys_come_once_for_each_key(spark):
+    values = spark.range(300).select(
+        F.when(F.col("id") < 200, "hot").otherwise(F.concat(F.lit("k"), (F.col("id") % 20).cast("string"))).alias("doc_key"),
+        F.lit("f").alias("field"), F.col("id").cast("string").alias("value"), F.lit(3).cast("bigint").alias("copies"),
+    )
+    docs = documents(values.select("doc_key").distinct(), values, "T", 7)
+    assert "sequence(0, 31" not in _plan(docs, "analyzed") and "_salt" not in _plan(docs)
+    each = field_values(docs).select("doc_id", F.explode("values").alias("value")).groupBy("doc_id", "value").count()
+    assert each.count() == 300 and {r["count"] for r in each.collect()} == {3}
+
+
+def test_dossier_parts_are_built_once(spark):
+    made = load()["q_dossier_parts"].build(spark, "/root/testdata/sf0.001")
+    assert "dossier-parts" in "".join(made.inputFiles()) and "lineitem" not in "".join(made.inputFiles())

@@ -22,8 +22,10 @@ from weftwork.operators.dossier import (
     two_hop,
 )
 from weftwork.operators.elements import build_elements
+from weftwork.operators.joins import adaptive_join
 from weftwork.plans.model import EntityType, Mapping, Model, Property
 from weftwork.plans.rules import DossierRule, Extension, Related, rule_from_json
+from weftwork.session import shared_folder
 
 PARTS = Extension(
     Related("d_order", "placed", "o_custkey", "o_orderkey"), (Related("d_part", "line", "l_orderkey", "l_partkey"),)
@@ -104,15 +106,17 @@ def q_dossier_parts(spark: SparkSession, folder: str) -> DataFrame:
 
     ``own_ids``: every part of the document has another id; ``parts_fit``: only a document of more values has several.
     """
-    docs = build_dossiers(reader(spark, folder), RULE, part_size=7)
+    path = shared_folder(spark, "dossier-parts")  # stored, so that they are built once for both uses
+    build_dossiers(reader(spark, folder), RULE, part_size=7).write.parquet(path)
+    docs = spark.read.parquet(path)
     per_doc = docs.groupBy("doc_id").agg(
         (F.count_distinct("id") == F.count_distinct("part")).alias("own_ids"), F.max("part").alias("last_part")
     )
     each = field_values(docs).select("doc_id", "field", F.explode("values").alias("value"))
     found = each.groupBy("doc_id", "field", "value").agg(F.count(F.lit(1)).alias("copies"))
-    sizes = found.groupBy("doc_id").agg((F.sum("copies") > 7).alias("large"))
+    sizes = each.groupBy("doc_id").agg((F.count(F.lit(1)) > 7).alias("large"))
     fits = ((F.col("last_part") == 0) | F.col("large")).alias("parts_fit")
-    whole = found.join(sizes, "doc_id").join(per_doc, "doc_id")
+    whole = adaptive_join(found, sizes.join(per_doc, "doc_id"), ["doc_id"])
     return whole.select("doc_id", "field", "value", "copies", "large", "own_ids", fits)
 
 

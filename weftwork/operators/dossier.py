@@ -31,7 +31,6 @@ from weftwork.plans.rules import DossierRule, Extension, Related
 
 VALUE_COLUMNS = ["doc_key", "field", "value", "copies"]
 PART_SIZE = 100_000  # values in one part of a document
-SALTS = 32  # tasks over which the values of a large key are spread before they get their part
 
 # (kind, element type, properties) -> frame with ``resid`` and the properties as columns
 Reader = Callable[[str, str, list[str]], DataFrame]
@@ -214,13 +213,10 @@ def documents(
     large = totals.filter(F.col("total") > part_size).select(
         "doc_key", "large_root", F.ceil(F.col("total") / part_size).cast("int").alias("parts")
     )
-    # each large key is spread over the salts; there are at most as many large
-    # keys as parts, and adaptive execution broadcasts them when they are few
-    salted = rows.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    repeated = large.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # adaptive execution broadcasts the large keys when they are few, and else splits the rows of a hot key
     slices = F.ceil(F.col("copies") / part_size).cast("int")
     placed = (
-        salted.join(repeated, ["doc_key", "_salt"], "left")
+        adaptive_join(rows, large, ["doc_key"], "left")
         .withColumn("parts", F.coalesce("parts", F.lit(1)))
         .filter(F.col("field").isNotNull() | (F.col("parts") == 1))
         .select(
