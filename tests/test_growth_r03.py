@@ -5,8 +5,10 @@ import json
 from pyspark.sql import functions as F
 
 from weftwork.catalog import load
+from weftwork.catalog.elements import shop_mappings
 from weftwork.operators.cooccur import PairLink, pair_links, parse_identifiers
 from weftwork.operators.dossier import documents, field_values
+from weftwork.operators.elements import fan_out
 
 
 def _plan(frame, which="optimizedPlan"):
@@ -62,3 +64,16 @@ def test_large_keys_come_once_for_each_key(spark):
 def test_dossier_parts_are_built_once(spark):
     made = load()["q_dossier_parts"].build(spark, "/root/testdata/sf0.001")
     assert "dossier-parts" in "".join(made.inputFiles()) and "lineitem" not in "".join(made.inputFiles())
+
+
+def test_values_are_read_once_for_each_record(spark):
+    named = {"o_orderkey": "1", "o_custkey": "2", "o_orderstatus": "F", "ordered": "2020-01-01", "resId": "res2", "l_orderkey": "1"}
+    named |= {"l_linenumber": "3", "l_partkey": "4", "l_suppkey": "5", "quantity": "6"}
+    record = "sequence_id long, data_schema_id string, res_id string, task_id string, value map<string,string>"
+    frame = spark.createDataFrame([(1, s, "res2", "0", named) for s in ("orders", "lineitem")], record)
+    made = fan_out(frame, shop_mappings(spark))
+    text = _plan(made)
+    assert all(text.count(f"[{name}]") + text.count(f", {name},") <= 1 for name in named)
+    assert sorted(r.element_id for r in made.collect()) == [
+        "contains~`#1~`#3", "order~`#1", "placed~`#2~`#1", "supplies~`#5~`#4",
+    ]

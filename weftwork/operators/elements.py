@@ -174,6 +174,7 @@ def _one_pass(frame: DataFrame, plans: list[_Plan], tags: Column, res_id, owner,
 
 RECORD_KEYS = ("sequence_id", "data_schema_id", "res_id", "task_id")
 MAX_WRITTEN_OUT = 64  # mappings that are written out as expressions; both ways go over the records once
+MAX_READ_AHEAD = 32  # values of a record that get a column of their own; others are read where they are used
 
 
 def fan_out(
@@ -237,8 +238,13 @@ def declared(row) -> tuple[Model, Mapping]:
 def _written_out(frame: DataFrame, rows: list, values: str, res_id: str, owner: str, keep) -> DataFrame:
     """The elements of a list of compiled mappings."""
 
+    # values that mappings name are read out of the map once for each record, not in every expression of every element
+    ahead: dict[str, str] = {}
+
     def read(name: str) -> Column:
-        return F.try_element_at("_v", F.lit(name))
+        if name not in ahead and len(ahead) < MAX_READ_AHEAD:
+            ahead[name] = f"_v{len(ahead)}"
+        return F.col(ahead[name]) if name in ahead else F.try_element_at("_v", F.lit(name))
 
     carried = tuple(f"record_{c}" for c in keep)
     built = [(row["data_schema_id"], _plan(*declared(row), read)) for row in rows]
@@ -246,15 +252,18 @@ def _written_out(frame: DataFrame, rows: list, values: str, res_id: str, owner:
     by_schema: dict[str, list[int]] = {}
     for i, (schema, _) in enumerate(built):
         by_schema.setdefault(schema, []).append(i)
+    resource, owned_by = read(res_id), read(owner)
     wanted = frame.filter(F.col("data_schema_id").isin(list(by_schema)))
     schema_of = F.col("data_schema_id").alias("_schema")
     record = computed_once(wanted, [schema_of, *[F.col(c).alias(f"record_{c}") for c in keep]], {"_v": F.col(values)})
+    named = [F.try_element_at("_v", F.lit(name)).alias(column) for name, column in ahead.items()]
+    record = record.select("_schema", *carried, "_v", *named)
     if not built:
         return record.select(*carried, *_element({})).filter(F.lit(False))
     tags = F.lit(None)
     for schema, own in by_schema.items():
         tags = F.when(F.col("_schema") == schema, F.array(*[F.lit(i) for i in own])).otherwise(tags)
-    return _one_pass(record, [plan for _, plan in built], tags, read(res_id), read(owner), carried)
+    return _one_pass(record, [plan for _, plan in built], tags, resource, owned_by, carried)
 
 
 def _joined_out(
