@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from weftwork.llm import queries, suffixarray
+from weftwork.llm import queries, suffixarray, suffixdedup
 from weftwork.llm.suffixarray import suffix_array
 from weftwork.llm.suffixdedup import merged, repeated_spans, with_spans, without_repeats
 
@@ -113,3 +113,25 @@ print(most() - before)
 """
     taken = int(subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True).stdout)
     assert taken < 200  # MB for a shard of 1 MB
+
+
+@pytest.mark.parametrize("hot", [3000, 5])
+def test_rows_of_a_common_line_are_not_shuffled_to_one_task(spark, monkeypatch, hot):
+    """A line that fills the texts gives one key most rows; a join by a shuffle must not get them."""
+    rng = random.Random(3)
+    line = "".join(rng.choice("abcdefgh") for _ in range(20))
+    rows = [(i, "".join(rng.choice("abcdefgh") for _ in range(40 + i)) + line * 100) for i in range(40)]
+    rows += [(i, rows[i % 40][1][:90] + "".join(rng.choice("abcdefgh") for _ in range(50))) for i in range(40, 60)]
+    rows += [(70, "z" * 59), (71, None), (None, line * 4), (72, line * 4), (72, line * 4)]
+    most, shuffled = [], suffixdedup.adaptive_join
+
+    def join(left, right, keys, how="inner"):
+        most.append(left.groupBy(*keys).count().agg({"count": "max"}).first()[0] or 0)
+        return shuffled(left, right, keys, how)
+
+    monkeypatch.setattr(suffixdedup, "adaptive_join", join)
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    spans = repeated_spans(frame, length=60, gram=16, hot=hot)
+    found = [tuple(r) for r in with_spans(frame, spans).mapInArrow(suffixdedup._digests, suffixdedup._DIGESTS).collect()]
+    assert sorted(found, key=str) == plain(rows, 60)
+    assert max(most) <= 1000
