@@ -58,8 +58,9 @@ LINES_A_FILE = 100_000  # a packed file is read by one task, so files stay small
 
 
 def write_lines(spark: SparkSession, folder: str, path: str) -> None:
-    """The lines as packed text files."""
-    lines(spark, folder).write.option("compression", "gzip").option("maxRecordsPerFile", LINES_A_FILE).text(path)
+    """The lines as packed text files; a higher level of packing takes twice the time for a tenth of the bytes."""
+    packed = {"compression": "gzip", "zlib.compress.level": "THREE", "maxRecordsPerFile": LINES_A_FILE}
+    lines(spark, folder).write.options(**packed).text(path)
 
 
 _MEMBERS_SQL = """

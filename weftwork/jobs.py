@@ -4,6 +4,7 @@ Each writes its tables and one row of task history, which says how it ended
 also when it fails.
 """
 
+import hashlib
 from collections.abc import Iterator
 from contextlib import contextmanager
 from datetime import datetime, timezone
@@ -19,18 +20,18 @@ from weftwork.operators.cooccur import (
     IdentifierEntity,
     PairLink,
     identifier_entities,
-    in_one_collection,
+    one_collection,
     pair_links,
     parse_identifiers,
 )
 from weftwork.operators.dedup import dedup_by_key
-from weftwork.operators.documents import search_documents, stamped
+from weftwork.operators.documents import index_stamp, search_documents, stamped
 from weftwork.operators.dossier import build_dossiers, cell_reader
 from weftwork.operators.elements import build_mapped, declared, union_all
 from weftwork.operators.selection import READ_ALL, last_task_time
 from weftwork.plans.rules import DossierRule
 from weftwork.sinks.celltable import NOTHING_MERGED, merge_batches
-from weftwork.sinks.tables import append_history, read_history, write_cells, write_documents, write_sized
+from weftwork.sinks.tables import append_history, read_history, stored_between, write_cells, write_documents, write_sized
 from weftwork.sources.files import load_files, read_sequence, read_text_lines
 
 FULL, INCREMENTAL = "FULL", "INC"
@@ -128,19 +129,24 @@ def relate_identifiers(
 ) -> None:
     """Identifier lines to entity and pair-link documents, with the counts of every stage.
 
-    The documents of a resource replace those of an earlier run. The counts are those of this run, observed while the
+    Lines are parsed once; their records are stored packed for both kinds of documents, and given up afterwards. The
+    documents of a resource replace those of an earlier run. The counts are those of this run, observed while the
     documents are written.
     """
     with task_history(spark, f"{out}/history", tableName="relation", resourceId=res_id) as entry:
         one = F.count(F.lit(1)).alias("n")
         seen = {name: Observation(name) for name in ("srcCount", "countAfterParseJson", "entityDataCount", "linkDataCount")}
         records = parse_identifiers(read_text_lines(spark, path, extension).observe(seen["srcCount"], one))
-        records = records.observe(seen["countAfterParseJson"], one)
-        found = identifier_entities(records, entity_types, res_id).observe(seen["entityDataCount"], one)
-        write_documents(in_one_collection(found, entity_types, ENTITY), f"{out}/entities/resource={res_id}", mode="overwrite")
-        unobserved = parse_identifiers(read_text_lines(spark, path, extension))
-        linked = pair_links(unobserved, links, res_id).observe(seen["linkDataCount"], one)
-        write_documents(in_one_collection(linked, links, LINK), f"{out}/links/resource={res_id}", mode="overwrite")
+        between = f"{out}/records/{hashlib.md5(str(res_id).encode()).hexdigest()}"
+        with stored_between(records.observe(seen["countAfterParseJson"], one), between) as parsed:
+            found = identifier_entities(parsed, entity_types, res_id).observe(seen["entityDataCount"], one)
+            write_documents(
+                found, f"{out}/entities/resource={res_id}", mode="overwrite", collection=one_collection(entity_types, ENTITY)
+            )
+            linked = pair_links(parsed, links, res_id, more=index_stamp()).observe(seen["linkDataCount"], one)
+            write_documents(
+                linked, f"{out}/links/resource={res_id}", mode="overwrite", stamp=False, collection=one_collection(links, LINK)
+            )
         entry |= {name: observation.get["n"] for name, observation in seen.items()}
 
 

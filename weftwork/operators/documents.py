@@ -51,9 +51,14 @@ def _utc_text(moment: Column) -> Column:
     return (F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)).cast("string")
 
 
+def index_stamp(indexed_at: Column | None = None) -> dict[str, Column]:
+    """The field that says when a document was indexed, in UTC."""
+    return {INDEXED_AT_FIELD: _utc_text(F.current_timestamp() if indexed_at is None else indexed_at)}
+
+
 def stamped(documents: DataFrame, indexed_at: Column | None = None) -> DataFrame:
     """Documents with the time they were indexed, in UTC."""
-    text = _utc_text(F.current_timestamp() if indexed_at is None else indexed_at)
+    text = index_stamp(indexed_at)[INDEXED_AT_FIELD]
     if "fields" in documents.columns and documents.schema["fields"].dataType.valueType.typeName() == "array":
         text = F.array(text)
     stamp = F.create_map(F.lit(INDEXED_AT_FIELD), text)

@@ -1,5 +1,9 @@
 """Tables of cells, documents, task history and cursors."""
 
+import re
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,10 +18,58 @@ def write_cells(cells: DataFrame, path: str, mode: str = "append") -> None:
     cells.write.mode(mode).partitionBy("table_name").parquet(path)
 
 
-def write_documents(documents: DataFrame, path: str, mode: str = "append", fmt: str = "parquet") -> None:
-    """Documents with their index time, in one folder per collection; their ids repeat each other, so Parquet is packed by zstd."""
-    packed = {"compression": "zstd"} if fmt == "parquet" else {}
-    stamped(documents).write.mode(mode).partitionBy("collection").format(fmt).options(**packed).save(path)
+def _without_rows(frame: DataFrame) -> DataFrame:
+    """The columns of a frame, without the work that makes its rows, nor workers of Python."""
+    return frame.sparkSession.range(0, 0, 1, 1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in frame.schema.fields])
+
+
+#: Columns of documents whose values are too many for a dictionary; it would be built and given up in each file.
+_MANY_VALUES = ("id", "entity_id", "relation_id", "from_entity_id", "to_entity_id", "fields.key_value.value")
+
+
+def write_documents(
+    documents: DataFrame,
+    path: str,
+    mode: str = "append",
+    fmt: str = "parquet",
+    stamp: bool = True,
+    collection: str | None = None,
+) -> None:
+    """Documents with their index time, in one folder per collection; their ids repeat each other, so Parquet is packed by zstd.
+
+    Without ``stamp`` the documents have their `index_stamp` already. With ``collection`` all are of that one, and go
+    straight into its folder: a writer of many folders looks at each row's and copies the row without it.
+    """
+    documents = stamped(documents) if stamp else documents
+    options = {"compression": "zstd"} | {f"parquet.enable.dictionary#{c}": "false" for c in _MANY_VALUES} if fmt == "parquet" else {}
+
+    def put(frame: DataFrame, how: str, **more: str) -> None:
+        frame.write.mode(how).partitionBy("collection").format(fmt).options(**options, **more).save(path)
+
+    if collection is None:
+        return put(documents, mode)
+    if mode not in ("append", "overwrite") or not re.fullmatch(r"[\w.-]+", collection, re.ASCII):  # a folder may need other names
+        return put(documents.withColumn("collection", F.lit(collection)), mode)
+    empty = _without_rows(documents)
+    if mode == "overwrite":  # takes away other collections too
+        put(empty, mode, **{"mapreduce.fileoutputcommitter.marksuccessfuljobs": "false"})
+    documents.drop("collection").write.mode(mode).format(fmt).options(**options).save(f"{path}/collection={collection}")
+    put(empty, "append")  # marks the whole as written
+
+
+RECORDS_A_FILE = 20_000  # readers count 4 MB for opening a file, so many small ones give them many tasks
+
+
+@contextmanager
+def stored_between(frame: DataFrame, path: str) -> Iterator[DataFrame]:
+    """The frame stored for steps that each read it; no rows are left there afterwards."""
+    spark = frame.sparkSession
+    packed = {"compression": "zstd", "parquet.enable.dictionary": "false", "maxRecordsPerFile": RECORDS_A_FILE}
+    frame.write.mode("overwrite").options(**packed).parquet(path)
+    try:
+        yield spark.read.schema(frame.schema).parquet(path)
+    finally:
+        _without_rows(frame).write.mode("overwrite").parquet(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
